@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from tidebook.functions.clock import as_of_column
 from tidebook.operators.latest import latest_by
+from tidebook.sources.wire import parsed_once
 from tidebook.schemas import CDC_BRONZE, CDC_ENVELOPE, SYMBOL_CONFIG, SYMBOL_IMAGE, names
 
 # Fixed values of the envelope format.
@@ -27,27 +28,26 @@ LOG_ORDER = ["source_lsn", "kafka_offset"]
 
 def flatten_envelopes(raw: DataFrame, ingest_ts=None, payload: str = "payload", topic: str = CDC_TOPIC) -> DataFrame:
     """Raw records to audit rows, rejects marked by ``error_type``."""
-    corrupt = T.StructType([*CDC_ENVELOPE.fields, T.StructField("_corrupt", T.StringType())])
-    j = F.from_json(F.col(payload), corrupt, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
-    df = raw.withColumn("_j", j)
-    j = F.col("_j")
-    image = F.coalesce(j["after"], j["before"])
+    fields = T.StructType([*CDC_ENVELOPE.fields, T.StructField("_corrupt", T.StringType())])
+    body = F.from_json(F.col(payload), fields, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
+    df = parsed_once(raw, body, [f"_j_{c}" for c in fields.names])
+    image = F.coalesce("_j_after", "_j_before")
     error = (
         F.when(F.col(payload).isNull(), "tombstone")
-        .when(j.isNull() | j["_corrupt"].isNotNull(), "malformed_json")
-        .when(F.coalesce(j["op"], F.lit("")) == "", "missing_op")
-        .when(~j["op"].isin(OPS), "unknown_op")
+        .when(F.col("_j__corrupt").isNotNull(), "malformed_json")
+        .when(F.coalesce("_j_op", F.lit("")) == "", "missing_op")
+        .when(~F.col("_j_op").isin(OPS), "unknown_op")
         .when(image.isNull(), "empty_payload")
     )
     out = df.select(
-        j["op"].alias("op"),
+        F.col("_j_op").alias("op"),
         F.coalesce(F.nullif(F.get_json_object(image, "$.symbol"), F.lit("")), F.lit(UNKNOWN_SYMBOL)).alias("symbol"),
-        j["before"].alias("before_json"),
-        j["after"].alias("after_json"),
-        F.coalesce(j["source.lsn"], F.lit(0)).alias("source_lsn"),
-        F.coalesce(j["source.ts_ms"], F.lit(0)).alias("source_ts_ms"),
-        F.coalesce(j["source.txId"], F.lit(0)).alias("source_tx_id"),
-        F.coalesce(j["ts_ms"], F.lit(0)).alias("debezium_ts_ms"),
+        F.col("_j_before").alias("before_json"),
+        F.col("_j_after").alias("after_json"),
+        F.coalesce(F.col("_j_source.lsn"), F.lit(0)).alias("source_lsn"),
+        F.coalesce(F.col("_j_source.ts_ms"), F.lit(0)).alias("source_ts_ms"),
+        F.coalesce(F.col("_j_source.txId"), F.lit(0)).alias("source_tx_id"),
+        F.coalesce(F.col("_j_ts_ms"), F.lit(0)).alias("debezium_ts_ms"),
         F.lit(topic).alias("kafka_topic"),
         F.col("kafka_partition"),
         F.col("kafka_offset"),

@@ -80,8 +80,15 @@ def fold_books(
         [diffs.schema[c] for c in plain] + [T.StructField(c, T.DoubleType()) for c in QUOTE]
     )
     group = [*keys, *lane]
+    # Both sides come from the same rows, so the right one needs names of its own.
+    renamed = carried.select(
+        *[F.col(c).alias(f"_k{i}") for i, c in enumerate(group)],
+        *[c for c in carried.columns if c not in group],
+    )
     return (
-        events.groupBy(*group).cogroup(carried.groupBy(*group)).applyInArrow(_folder(plain, depth), schema)
+        events.groupBy(*group)
+        .cogroup(renamed.groupBy(*[f"_k{i}" for i in range(len(group))]))
+        .applyInArrow(_folder(plain, depth), schema)
     )
 
 

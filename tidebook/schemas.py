@@ -22,11 +22,6 @@ _s, _l, _i, _d, _t = (
 # One record of a topic: decoded payload plus its position.
 RAW_RECORD = _struct(("payload", _s), ("kafka_partition", _i), ("kafka_offset", _l))
 
-# Exchange wire format of a depth diff (short keys).
-WIRE_DIFF = _struct(
-    ("e", _s), ("E", _s), ("s", _s), ("U", _s), ("u", _s), ("b", LEVELS), ("a", LEVELS)
-)
-
 # Canonical diff event as published on the raw topic.  Times stay text because
 # producers send ISO-8601, epoch milliseconds, or an alternate field name.
 DIFF_EVENT = _struct(

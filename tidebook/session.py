@@ -30,6 +30,7 @@ def build_session(app_name: str, master: str | None = None, extra: dict | None =
         builder = builder.master(master)
     for key, value in {**SETTINGS, **(extra or {})}.items():
         builder = builder.config(key, value)
+    ship_package()
     return builder.getOrCreate()
 
 
@@ -41,6 +42,7 @@ def prepare(spark: SparkSession) -> SparkSession:
         "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled",
     ):
         spark.conf.set(key, SETTINGS[key])
+    ship_package()
     return spark
 
 
@@ -57,3 +59,12 @@ def shared_dir(spark: SparkSession, name: str) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
         root = tempfile.mkdtemp(prefix="tidebook-")
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def ship_package() -> None:
+    """Send our functions to executors by value, so that workers need no copy of the package."""
+    import sys
+
+    from pyspark import cloudpickle
+
+    cloudpickle.register_pickle_by_value(sys.modules["tidebook"])

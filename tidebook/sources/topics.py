@@ -71,7 +71,7 @@ def stream_files(
 def decode_records(records: DataFrame) -> DataFrame:
     """Broker records to ``payload, kafka_partition, kafka_offset``; tombstones (null value) are skipped."""
     return records.where(F.col("value").isNotNull()).select(
-        F.decode(F.col("value").cast("binary"), F.lit("UTF-8")).alias("payload"),
+        F.decode(F.col("value").cast("binary"), "UTF-8").alias("payload"),
         "kafka_partition",
         "kafka_offset",
     )

@@ -6,17 +6,29 @@ the rejects, so that one scan feeds both outputs (``accepted`` and ``dead_letter
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidebook.functions.clock import as_of_column, epoch_ms
 from tidebook.functions.levels import well_formed
 from tidebook.functions.market import event_key, routing_key
-from tidebook.schemas import DIFF, DIFF_EVENT, WIRE_DIFF, names
+from tidebook.schemas import DIFF, DIFF_EVENT, LEVELS, names
 
 # Fixed values of the wire protocol and topics.
 DEPTH_UPDATE = "depthUpdate"
 RAW_TOPIC = "market.raw.orderbook"
+WIRE_FIELDS = {
+    "e": "_event_type",
+    "E": "_event_ms",
+    "s": "_symbol",
+    "U": "_first",
+    "u": "_last",
+    "b": "_bids",
+    "a": "_asks",
+}
 
 ERRORS = {
     "tombstone": "record has no value",
@@ -29,14 +41,21 @@ ERRORS = {
 }
 
 
-def _parsed(raw: DataFrame, schema, payload: str) -> DataFrame:
-    corrupt = "_corrupt"
+def parsed_once(raw: DataFrame, body: Column, columns: list[str]) -> DataFrame:
+    """Add the fields of struct ``body`` as ``columns``.
+
+    The struct goes through a one-row generator: the optimizer would otherwise push the filters
+    on parsed fields below the projection and repeat the JSON parse for every field they use.
+    """
+    return raw.select("*", F.inline(F.array(body)).alias(*columns))
+
+
+def _parsed(raw: DataFrame, schema: T.StructType, payload: str) -> DataFrame:
+    with_corrupt = T.StructType([*schema.fields, T.StructField("_corrupt", T.StringType())])
     body = F.from_json(
-        F.col(payload),
-        schema.add(corrupt, "string") if corrupt not in schema.names else schema,
-        {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": corrupt},
+        F.col(payload), with_corrupt, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}
     )
-    return raw.withColumn("_j", body)
+    return parsed_once(raw, body, [f"_j_{c}" for c in with_corrupt.names])
 
 
 def _first_error(*checks: tuple[Column, str]) -> Column:
@@ -69,36 +88,35 @@ def parse_diff_events(
     otherwise ``processed_ts`` is the argument, by default the current time.
     """
     processed = F.col("processed_ts") if "processed_ts" in raw.columns else as_of_column(processed_ts)
-    df = _parsed(raw, _copy(DIFF_EVENT), payload)
-    j = F.col("_j")
-    event_ms = epoch_ms(F.coalesce(_blank_to_null(j["exchange_event_ts"]), _blank_to_null(j["event_time"])))
+    df = _parsed(raw, DIFF_EVENT, payload)
+    event_ms = epoch_ms(F.coalesce(_blank_to_null(F.col("_j_exchange_event_ts")), _blank_to_null(F.col("_j_event_time"))))
     ingest_ms = epoch_ms(
-        F.coalesce(_blank_to_null(j["ingest_ts"]), _blank_to_null(j["ingest_time"])), default=processed
+        F.coalesce(_blank_to_null(F.col("_j_ingest_ts")), _blank_to_null(F.col("_j_ingest_time"))), default=processed
     )
-    last_id = j["last_update_id"].try_cast("long")
-    first_id = F.coalesce(j["first_update_id"], F.lit("0")).try_cast("long")
+    last_id = F.col("_j_last_update_id").try_cast("long")
+    first_id = F.coalesce(F.col("_j_first_update_id"), F.lit("0")).try_cast("long")
     error = _first_error(
         (F.col(payload).isNull(), "tombstone"),
-        (j.isNull() | j["_corrupt"].isNotNull(), "malformed_json"),
+        (F.col("_j__corrupt").isNotNull(), "malformed_json"),
         (
-            j["exchange"].isNull() | j["symbol"].isNull() | j["last_update_id"].isNull(),
+            F.col("_j_exchange").isNull() | F.col("_j_symbol").isNull() | F.col("_j_last_update_id").isNull(),
             "missing_field",
         ),
         (last_id.isNull() | first_id.isNull(), "bad_number"),
-        (~(well_formed(j["bids"]) & well_formed(j["asks"])), "bad_levels"),
+        (~(well_formed(F.col("_j_bids")) & well_formed(F.col("_j_asks"))), "bad_levels"),
         (event_ms.isNull(), "bad_timestamp"),
     )
     out = df.select(
-        F.coalesce(j["event_id"], F.lit("")).alias("event_id"),
-        j["exchange"].alias("exchange"),
-        j["symbol"].alias("symbol"),
+        F.coalesce(F.col("_j_event_id"), F.lit("")).alias("event_id"),
+        F.col("_j_exchange").alias("exchange"),
+        F.col("_j_symbol").alias("symbol"),
         F.timestamp_millis(event_ms).alias("exchange_event_ts"),
         F.timestamp_millis(ingest_ms).alias("ingest_ts"),
         processed.alias("processed_ts"),
         first_id.alias("first_update_id"),
         last_id.alias("last_update_id"),
-        F.coalesce(j["bids"], F.array()).alias("bids"),
-        F.coalesce(j["asks"], F.array()).alias("asks"),
+        F.coalesce(F.col("_j_bids"), F.array()).alias("bids"),
+        F.coalesce(F.col("_j_asks"), F.array()).alias("asks"),
         F.lit(topic).alias("kafka_topic"),
         F.col("kafka_partition"),
         F.col("kafka_offset"),
@@ -113,21 +131,24 @@ def parse_wire_diffs(
 ) -> DataFrame:
     """Exchange wire messages to diffs.  Other event types are filtered out, bad ones are rejects."""
     processed = F.col("processed_ts") if "processed_ts" in raw.columns else as_of_column(ingest_ts)
-    df = _parsed(raw, _copy(WIRE_DIFF), payload)
-    j = F.col("_j")
-    event_ms = epoch_ms(j["E"])
-    first_id, last_id = j["U"].try_cast("long"), j["u"].try_cast("long")
-    symbol = F.lower(j["s"])
-    required = [j[c].isNull() for c in ("e", "E", "s", "U", "u", "b", "a")]
-    missing = required[0]
-    for condition in required[1:]:
-        missing = missing | condition
+    # Keys differ only in case (e/E, u/U), which struct fields cannot: read the object as a map.
+    as_map = raw.select("*", F.explode(F.array(F.from_json(F.col(payload), "map<string,string>"))).alias("_m"))
+    fields = F.col("_m")
+    values = [
+        F.from_json(F.try_element_at(fields, F.lit(c)), LEVELS) if c in "ba" else F.try_element_at(fields, F.lit(c))
+        for c in WIRE_FIELDS
+    ]
+    df = parsed_once(as_map, F.struct(*values), list(WIRE_FIELDS.values()))
+    event_ms = epoch_ms(F.col("_event_ms"))
+    first_id, last_id = F.col("_first").try_cast("long"), F.col("_last").try_cast("long")
+    symbol = F.lower("_symbol")
+    missing = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in WIRE_FIELDS.values()])
     error = _first_error(
         (F.col(payload).isNull(), "tombstone"),
-        (j.isNull() | j["_corrupt"].isNotNull(), "malformed_json"),
+        (fields.isNull(), "malformed_json"),
         (missing, "missing_field"),
         (last_id.isNull() | first_id.isNull(), "bad_number"),
-        (~(well_formed(j["b"]) & well_formed(j["a"])), "bad_levels"),
+        (~(well_formed(F.col("_bids")) & well_formed(F.col("_asks"))), "bad_levels"),
         (event_ms.isNull(), "bad_timestamp"),
     )
     out = df.select(
@@ -139,14 +160,14 @@ def parse_wire_diffs(
         processed.alias("processed_ts"),
         first_id.alias("first_update_id"),
         last_id.alias("last_update_id"),
-        j["b"].alias("bids"),
-        j["a"].alias("asks"),
+        F.col("_bids").alias("bids"),
+        F.col("_asks").alias("asks"),
         F.lit(topic).alias("kafka_topic"),
         F.col("kafka_partition"),
         F.col("kafka_offset"),
         F.col(payload).alias("original_payload"),
         error.alias("error_type"),
-        j["e"].alias("_event_type"),
+        "_event_type",
     ).withColumn("error_message", _message(F.col("error_type")))
     other_event = F.col("error_type").isNull() & (F.col("_event_type") != DEPTH_UPDATE)
     return out.where(~other_event).drop("_event_type")
@@ -169,9 +190,3 @@ def dead_letters(parsed: DataFrame, payload: str = "original_payload") -> DataFr
         "error_message",
         F.col("processed_ts").alias("ingest_ts"),
     )
-
-
-def _copy(schema):
-    from pyspark.sql import types as T
-
-    return T.StructType(list(schema.fields))
