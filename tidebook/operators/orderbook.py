@@ -26,8 +26,8 @@ QUOTE = [
     "best_bid_qty",
     "best_ask_price",
     "best_ask_qty",
-    "_bid_volume",
-    "_ask_volume",
+    "bid_volume",
+    "ask_volume",
 ]
 _SLICE = 4096
 _COARSE = 4096
@@ -54,7 +54,7 @@ def finish_ticker(quotes: DataFrame) -> DataFrame:
     return (
         quotes.withColumn("spread", market.spread(bid, ask))
         .withColumn("mid_price", market.mid_price(bid, ask))
-        .withColumn("imbalance", market.imbalance(F.col("_bid_volume"), F.col("_ask_volume")))
+        .withColumn("imbalance", market.imbalance(F.col("bid_volume"), F.col("ask_volume")))
         .select(*names(BOOK_TICKER))
     )
 
@@ -221,7 +221,7 @@ def book_from_snapshots(
         "*",
         market.spread(F.col("best_bid_price"), F.col("best_ask_price")).alias("spread"),
         market.mid_price(F.col("best_bid_price"), F.col("best_ask_price")).alias("mid_price"),
-        market.imbalance(F.col("_bid_volume"), F.col("_ask_volume")).alias("imbalance"),
+        market.imbalance(F.col("bid_volume"), F.col("ask_volume")).alias("imbalance"),
     )
     return ticker.select(*names(BOOK_TICKER), "snapshot_id")
 

@@ -17,11 +17,18 @@ from tidebook.schemas import DIFF, names
 from tidebook.sources.wire import ERRORS, RAW_TOPIC, dead_letters, parse_diff_events
 
 _REJECT_SHARDS = 64
-_LEVELS = ["_bid_px", "_bid_qty", "_ask_px", "_ask_qty"]
+# The state runner renames columns that start with an underscore.
+_LEVELS = ["bid_px", "bid_qty", "ask_px", "ask_qty"]
 _PLAIN = [c for c in names(DIFF) if c not in ("bids", "asks")]
 _CARRIED = [*_PLAIN, "original_payload", "error_type", "error_message"]
-_STATE = (
-    "last_id long, bid_px array<string>, bid_qty array<double>, ask_px array<string>, ask_qty array<double>"
+_STATE = T.StructType(
+    [
+        T.StructField("last_id", T.LongType()),
+        T.StructField("bid_px", T.ArrayType(T.StringType())),
+        T.StructField("bid_qty", T.ArrayType(T.DoubleType())),
+        T.StructField("ask_px", T.ArrayType(T.StringType())),
+        T.StructField("ask_qty", T.ArrayType(T.DoubleType())),
+    ]
 )
 OUTPUT = T.StructType(
     [DIFF[c] for c in _PLAIN]
@@ -42,7 +49,7 @@ class BookProcessor(StatefulProcessor):
         self.ttl_ms = ttl_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.state = handle.getValueState("book", T._parse_datatype_string(_STATE), self.ttl_ms)
+        self.state = handle.getValueState("book", _STATE, self.ttl_ms)
 
     def handleInputRows(self, key, rows, timerValues):
         batch = pd.concat(list(rows), ignore_index=True)
@@ -130,19 +137,19 @@ def ticker_rows(
     ).otherwise(F.pmod(F.coalesce("kafka_offset", F.lit(0)), F.lit(_REJECT_SHARDS)))
     ready = tag_records(raw, processed_ts, late_seconds, topic).select(
         *_CARRIED,
-        lv.prices(F.col("bids")).alias("_bid_px"),
-        lv.quantities(F.col("bids")).alias("_bid_qty"),
-        lv.prices(F.col("asks")).alias("_ask_px"),
-        lv.quantities(F.col("asks")).alias("_ask_qty"),
-        shard.cast("int").alias("_shard"),
+        lv.prices(F.col("bids")).alias("bid_px"),
+        lv.quantities(F.col("bids")).alias("bid_qty"),
+        lv.prices(F.col("asks")).alias("ask_px"),
+        lv.quantities(F.col("asks")).alias("ask_qty"),
+        shard.cast("int").alias("shard"),
     )
     # Levels of rejects may not be numbers; drop them before they are read.
     ready = ready.select(
         *_CARRIED,
-        *[F.when(F.col("_shard") == -1, F.col(c)).alias(c) for c in _LEVELS],
-        "_shard",
+        *[F.when(F.col("shard") == -1, F.col(c)).alias(c) for c in _LEVELS],
+        "shard",
     )
-    return ready.groupBy("exchange", "symbol", "_shard").transformWithStateInPandas(
+    return ready.groupBy("exchange", "symbol", "shard").transformWithStateInPandas(
         statefulProcessor=BookProcessor(depth, ttl_ms),
         outputStructType=OUTPUT,
         outputMode="Append",
