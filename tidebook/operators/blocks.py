@@ -27,7 +27,7 @@ _COMBINE = {"max": F.max, "min": F.min, "sum": F.sum}
 
 
 def with_block(df: DataFrame, sequence: str, span: int = BLOCK_SPAN) -> DataFrame:
-    return df.withColumn(BLOCK, F.floor(F.col(sequence) / F.lit(span)).cast("long"))
+    return df.withColumn(BLOCK, F.expr(f"`{sequence}` div {span}L"))
 
 
 def _merge(how: str, carry: Column, inside: Column) -> Column:
@@ -45,22 +45,26 @@ def running(
     lane: list[str],
     order: list[str],
     inclusive: bool = False,
+    ordinal: bool = False,
 ) -> DataFrame:
     """Add, per row, aggregates of the rows before it in its key (``inclusive``: up to it).
 
     ``values`` maps an output column to ``("max"|"min"|"sum", expression)``.  ``lane`` are the
     columns that order the blocks of a key, the last one being the block number; ``order``
-    orders rows inside a block.
+    orders rows inside a block.  ``ordinal`` also adds ``_ord``, the position of the block in its
+    key (from 1), and ``_blocks``, the number of blocks of the key.
     """
     summary = df.groupBy(*keys, *lane).agg(
         *[_COMBINE[how](expr).alias(f"_c_{name}") for name, (how, expr) in values.items()]
     )
     per_key = Window.partitionBy(*keys).orderBy(*lane)
     before = per_key.rowsBetween(Window.unboundedPreceding, -1)
+    position = _position(keys, lane) if ordinal else []
     carry = summary.select(
         *keys,
         *lane,
         *[_COMBINE[how](F.col(f"_c_{name}")).over(before).alias(f"_c_{name}") for name, (how, _) in values.items()],
+        *position,
     )
     inside = (
         Window.partitionBy(*keys, *lane)
@@ -74,19 +78,18 @@ def running(
             _merge(how, F.col(f"_c_{name}"), _COMBINE[how](expr).over(inside)).alias(name)
             for name, (how, expr) in values.items()
         ],
+        *(["_ord", "_blocks"] if ordinal else []),
     )
 
 
-def block_index(df: DataFrame, keys: list[str], lane: list[str]) -> DataFrame:
-    """The blocks of every key with their position ``_ord`` (from 1) and the key's block count."""
+def _position(keys: list[str], lane: list[str]) -> list[Column]:
     per_key = Window.partitionBy(*keys)
-    return (
-        df.groupBy(*keys, *lane)
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .select(
-            *keys,
-            *lane,
-            F.row_number().over(per_key.orderBy(*lane)).cast("long").alias("_ord"),
-            F.count(F.lit(1)).over(per_key).alias("_blocks"),
-        )
-    )
+    return [
+        F.row_number().over(per_key.orderBy(*lane)).cast("long").alias("_ord"),
+        F.count(F.lit(1)).over(per_key).alias("_blocks"),
+    ]
+
+
+def block_index(df: DataFrame, keys: list[str], lane: list[str]) -> DataFrame:
+    """The blocks of every key with ``_ord`` and ``_blocks``; reads only the key columns."""
+    return df.groupBy(*keys, *lane).agg(F.count(F.lit(1)).alias("_rows")).select(*keys, *lane, *_position(keys, lane))

@@ -17,8 +17,9 @@ from tidebook.functions import levels as lv
 from tidebook.functions import market
 from tidebook.operators.blocks import BLOCK, BLOCK_SPAN, KEYS, block_index, running, with_block
 from tidebook.operators.book import Book
-from tidebook.operators.sequence import ARRIVAL, is_late, monotone_dedup
+from tidebook.operators.sequence import ARRIVAL, deduped_blocks, is_late
 from tidebook.schemas import BOOK_TICKER, names
+from tidebook.session import settle
 
 BID, ASK = 0, 1
 QUOTE = [
@@ -40,10 +41,10 @@ def book_ticker(
     span: int = BLOCK_SPAN,
 ) -> DataFrame:
     """One ticker per accepted, on-time diff once both sides of the book have a level."""
-    kept = monotone_dedup(diffs, span, keep_blocks=True)
+    kept = deduped_blocks(diffs, span)
     if late_seconds is not None:
         kept = kept.where(~is_late(late_seconds))
-    kept = kept.withColumn("_pos", F.col("kafka_offset") - F.col(BLOCK) * F.lit(span))
+    kept = kept.withColumn("_pos", F.col("kafka_offset") - F.col(BLOCK) * F.lit(span)).drop("_last_seen")
     blocks = block_index(with_block(diffs, "kafka_offset", span), KEYS, ARRIVAL)
     return finish_ticker(fold_books(kept, blocks, KEYS, ARRIVAL, depth))
 
@@ -64,11 +65,11 @@ def fold_books(
 ) -> DataFrame:
     """Fold ordered diffs into quotes.
 
-    ``diffs`` is cut into groups ``keys + lane``; ``_pos`` (below 2^31) orders a group and
-    ``blocks`` gives the position of each group in its key.
+    ``diffs`` is cut into groups ``keys + lane``; ``_pos`` (below 2^31) orders a group, ``_ord``
+    and ``_blocks`` place the group in its key, and ``blocks`` lists the groups with their ``_ord``.
     """
     carried = _books_at_block_start(diffs, blocks, keys, lane)
-    plain = [c for c in diffs.columns if c not in ("bids", "asks")]
+    plain = [c for c in diffs.columns if c not in ("bids", "asks", "_ord", "_blocks")]
     events = diffs.select(
         *plain,
         lv.prices(F.col("bids")).alias("_bid_px"),
@@ -94,11 +95,19 @@ def fold_books(
 
 def _books_at_block_start(diffs: DataFrame, blocks: DataFrame, keys: list[str], lane: list[str]) -> DataFrame:
     """Levels alive when each block starts: ``keys, lane, _side, _px, _qty, _born_ord, _born_seq``."""
-    updates = diffs.select(
-        *keys, *lane, "_pos", F.inline(F.concat(_typed("bids", BID), _typed("asks", ASK)))
+    # The last block of a key hands nothing on; a key with one block costs nothing here.
+    updates = diffs.where(F.col("_ord") < F.col("_blocks")).select(
+        *keys,
+        *lane,
+        "_ord",
+        "_blocks",
+        "_pos",
+        F.inline(F.concat(_typed("bids", BID), _typed("asks", ASK))),
     ).select(
         *keys,
         *lane,
+        "_ord",
+        "_blocks",
         "_side",
         "_px",
         "_qty",
@@ -116,8 +125,9 @@ def _books_at_block_start(diffs: DataFrame, blocks: DataFrame, keys: list[str],
             F.max_by("_qty", "_seq").alias("_qty"),
             F.max((F.col("_qty") == 0).cast("int")).alias("_deleted"),
             F.max("_birth").alias("_birth"),
+            F.max("_ord").alias("_ord"),
+            F.max("_blocks").alias("_blocks"),
         )
-        .join(blocks, [*keys, *lane])
     )
     history = Window.partitionBy(*keys, "_side", "_px").orderBy("_ord")
     alive = F.col("_qty") != 0
@@ -157,7 +167,7 @@ def _books_at_block_start(diffs: DataFrame, blocks: DataFrame, keys: list[str],
             )
         ).alias("_ord"),
     )
-    return spread_out.join(blocks.drop("_blocks"), [*keys, "_ord"]).drop("_ord")
+    return spread_out.join(blocks.select(*keys, *lane, "_ord"), [*keys, "_ord"]).drop("_ord")
 
 
 def _typed(levels: str, side: int):
@@ -185,9 +195,10 @@ def _folder(plain: list[str], depth: int):
         rows, quotes = [], []
         for start in range(0, events.num_rows, _SLICE):
             part = events.slice(start, _SLICE)
-            columns = [part[c].to_pylist() for c in ("_bid_px", "_bid_qty", "_ask_px", "_ask_qty")]
-            for offset, update in enumerate(zip(*columns)):
-                book.apply(*update)
+            bids = _flat(part, "_bid_px", "_bid_qty")
+            asks = _flat(part, "_ask_px", "_ask_qty")
+            for offset, update in enumerate(zip(bids, asks)):
+                book.apply(*update[0], *update[1])
                 quote = book.quote(depth)
                 if quote is not None:
                     rows.append(start + offset)
@@ -201,6 +212,23 @@ def _folder(plain: list[str], depth: int):
     return fold
 
 
+def _flat(part: pa.Table, prices: str, quantities: str):
+    """Per row the price texts and quantities, cut from flat buffers (nested conversion is slow)."""
+    px, qty = (_one_array(part[c]) for c in (prices, quantities))
+    ends = px.offsets.to_numpy()
+    ends = (ends - ends[0]).tolist()
+    texts = px.flatten().dictionary_encode()
+    known = texts.dictionary.to_pylist()
+    px_flat = [known[i] for i in texts.indices.to_numpy().tolist()]
+    qty_flat = qty.flatten().to_numpy(zero_copy_only=False).tolist()
+    for a, b in zip(ends, ends[1:]):
+        yield px_flat[a:b], qty_flat[a:b]
+
+
+def _one_array(column: pa.ChunkedArray) -> pa.Array:
+    return column.chunk(0) if column.num_chunks == 1 else column.combine_chunks()
+
+
 def book_from_snapshots(
     snapshots: DataFrame,
     diffs: DataFrame,
@@ -213,9 +241,10 @@ def book_from_snapshots(
     gap; after a gap the book is unusable until the instrument's next snapshot.  Snapshots
     themselves emit no ticker.  Adds ``snapshot_id``, the snapshot the book started from.
     """
-    rows = _sessions(snapshots, diffs, span)
     keys = [*KEYS, "snapshot_id"]
-    blocks = block_index(rows, keys, [BLOCK])
+    sessions = settle(_sessions(snapshots, diffs, span), "sessions")
+    blocks = block_index(sessions, keys, [BLOCK])
+    rows = sessions.join(blocks, [*keys, BLOCK])
     folded = fold_books(rows, blocks, keys, [BLOCK], depth).where(~F.col("_is_snapshot"))
     ticker = folded.select(
         "*",
@@ -228,36 +257,32 @@ def book_from_snapshots(
 
 def _sessions(snapshots: DataFrame, diffs: DataFrame, span: int) -> DataFrame:
     """Snapshots and the diffs usable after them, with ``snapshot_id``, ``_block`` and ``_pos``."""
-    both = monotone_dedup(diffs, span).withColumn("_is_snapshot", F.lit(False)).unionByName(
-        snapshots.withColumn("first_update_id", F.col("last_update_id")).withColumn("_is_snapshot", F.lit(True)),
-        allowMissingColumns=True,
+    kept = deduped_blocks(diffs, span, ordinal=False).drop(BLOCK)
+    starts = snapshots.withColumns(
+        {
+            "first_update_id": F.col("last_update_id"),
+            "_last_seen": F.lit(None).cast("long"),
+            "_is_snapshot": F.lit(True),
+        }
     )
+    both = kept.withColumn("_is_snapshot", F.lit(False)).unionByName(starts, allowMissingColumns=True)
     # Offsets no longer matter: ids are unique and rising, so they order and cut the sequence.
+    # Every step below reads its input twice, so the input is written once.
+    both = settle(with_block(both, "last_update_id", span), "sequence")
     lane, order = [BLOCK], ["last_update_id", "_is_snapshot"]
-    both = with_block(both, "last_update_id", span)
-    both = running(both, {"_prev": ("max", F.col("last_update_id"))}, KEYS, lane, order)
-    gap = (
-        ~F.col("_is_snapshot")
-        & F.col("_prev").isNotNull()
-        & (F.col("first_update_id") > F.col("_prev") + 1)
-    )
-    both = running(
-        both,
-        {
-            "snapshot_id": ("max", F.when(F.col("_is_snapshot"), F.col("last_update_id"))),
-            "_gap_id": ("max", F.when(gap, F.col("last_update_id"))),
-        },
-        KEYS,
-        lane,
-        order,
-        inclusive=True,
-    )
+    snapshot_id = {"snapshot_id": ("max", F.when(F.col("_is_snapshot"), F.col("last_update_id")))}
+    both = running(both, snapshot_id, KEYS, lane, order, inclusive=True)
+    # The id before a diff is the last accepted diff's or the snapshot's, whichever is higher.
+    before = F.greatest("_last_seen", "snapshot_id")
+    gap = ~F.col("_is_snapshot") & (F.col("first_update_id") > before + 1)
+    gap_id = {"_gap_id": ("max", F.when(gap, F.col("last_update_id")))}
+    both = running(both, gap_id, KEYS, lane, order, inclusive=True)
     usable = F.col("snapshot_id").isNotNull() & (
         F.col("_gap_id").isNull() | (F.col("_gap_id") <= F.col("snapshot_id"))
     )
     # A snapshot shares its id with at most one diff, hence the factor two.
     position = (F.col("last_update_id") - F.col(BLOCK) * F.lit(span)) * 2 + F.col("_is_snapshot").cast("long")
-    return both.where(usable).withColumn("_pos", position).drop("_prev", "_gap_id")
+    return both.where(usable).withColumn("_pos", position).drop("_last_seen", "_gap_id")
 
 
 def image_metrics(snapshots: DataFrame, depth: int = market.TOP_DEPTH) -> DataFrame:

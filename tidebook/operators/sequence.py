@@ -12,13 +12,14 @@ ARRIVAL = ["kafka_partition", BLOCK]
 ARRIVAL_ORDER = ["kafka_offset", "last_update_id"]
 
 
-def _with_last_seen(diffs: DataFrame, span: int) -> DataFrame:
+def _with_last_seen(diffs: DataFrame, span: int, ordinal: bool = False) -> DataFrame:
     return running(
         with_block(diffs, "kafka_offset", span),
         {"_last_seen": ("max", F.col("last_update_id"))},
         KEYS,
         ARRIVAL,
         ARRIVAL_ORDER,
+        ordinal=ordinal,
     )
 
 
@@ -26,14 +27,18 @@ def _fresh():
     return F.col("_last_seen").isNull() | (F.col("last_update_id") > F.col("_last_seen"))
 
 
-def monotone_dedup(diffs: DataFrame, span: int = BLOCK_SPAN, keep_blocks: bool = False) -> DataFrame:
+def monotone_dedup(diffs: DataFrame, span: int = BLOCK_SPAN) -> DataFrame:
     """Keep a diff only when its id exceeds every id that arrived before it for the instrument.
 
     Rejected ids never raise the maximum, so the running maximum of all arrivals equals the
     "last accepted id" of a sequential reader.
     """
-    kept = _with_last_seen(diffs, span).where(_fresh()).drop("_last_seen")
-    return kept if keep_blocks else kept.drop(BLOCK)
+    return deduped_blocks(diffs, span, ordinal=False).select(*diffs.columns)
+
+
+def deduped_blocks(diffs: DataFrame, span: int = BLOCK_SPAN, ordinal: bool = True) -> DataFrame:
+    """``monotone_dedup`` that also keeps ``_last_seen`` and the block columns."""
+    return _with_last_seen(diffs, span, ordinal).where(_fresh())
 
 
 def lag_seconds():

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job relies on.  Partition counts are left to AQE: start high,
 # let it coalesce, and let it split skewed join partitions.
@@ -61,6 +61,17 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def settle(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once to the shared folder and read it back.
+
+    Cuts the lineage where later steps read their input several times; the files outlive
+    any lost executor.
+    """
+    path = shared_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def ship_package() -> None:
     """Send our functions to executors by value, so that workers need no copy of the package."""
     import sys
