@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidebook.functions import market
@@ -31,6 +33,20 @@ class TickerSinks:
     servers: str | None = None
 
 
+@contextmanager
+def _held(batch: DataFrame):
+    """Keep a micro-batch while it is written, so that its state is not computed once per sink.
+
+    The extra column is needed: a bare micro-batch carries the sort order of the plan it came
+    from, whose columns the cache cannot map to its own.
+    """
+    held = batch.withColumn("_held", F.lit(True)).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield held.drop("_held")
+    finally:
+        held.unpersist()
+
+
 def _trigger(writer, available_now: bool, interval: str):
     return writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=interval)
 
@@ -68,15 +84,11 @@ def start_ticker_job(
 
     def write(batch: DataFrame, batch_id: int) -> None:
         tag = _batch_tag(name, batch_id)
-        # The book state must not be folded once per sink.
-        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            ticks = tickers(batch)
+        with _held(batch) as held:
+            ticks = tickers(held)
             tables.append_ticks(ticks, sinks.silver, tag)
             _publish(topics.to_messages(ticks), sinks.ticker_topic, sinks.servers, tag)
-            _publish(topics.dead_letter_messages(letters(batch)), sinks.dead_letters, sinks.servers, tag)
-        finally:
-            batch.unpersist()
+            _publish(topics.dead_letter_messages(letters(held)), sinks.dead_letters, sinks.servers, tag)
 
     writer = rows.writeStream.queryName(name).option("checkpointLocation", checkpoint).foreachBatch(write)
     return _trigger(writer, available_now, interval).start()
@@ -98,12 +110,9 @@ def start_bars_job(
     commit: str = COMMIT_INTERVAL,
 ) -> StreamingQuery:
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            if not batch.isEmpty():
-                tables.upsert_bars(batch, path)
-        finally:
-            batch.unpersist()
+        with _held(batch) as held:
+            if not held.isEmpty():
+                tables.upsert_bars(held, path)
 
     bars = bars_stream(ticks, interval, watermark)
     writer = (
@@ -132,16 +141,11 @@ def start_changes_job(
 
     def write(batch: DataFrame, batch_id: int) -> None:
         tag = _batch_tag(name, batch_id)
-        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            audit = audit_rows(batch)
+        with _held(batch) as held:
+            audit = audit_rows(held)
             tables.append_audit(audit, audit_path, tag)
             tables.upsert_changes(audit, state_path, batch_id)
-            _publish(
-                topics.dead_letter_messages(rejected_envelopes(batch)), dead_letter_path, servers, tag
-            )
-        finally:
-            batch.unpersist()
+            _publish(topics.dead_letter_messages(rejected_envelopes(held)), dead_letter_path, servers, tag)
 
     writer = flattened.writeStream.queryName(name).option("checkpointLocation", checkpoint).foreachBatch(write)
     return _trigger(writer, available_now, interval).start()
