@@ -12,15 +12,16 @@ from pyspark.sql import functions as F
 from tidebook.functions.market import TOP_DEPTH, imbalance
 
 
+_NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
+
+
 def well_formed(levels: Column) -> Column:
     """True when every level is a pair of numbers, or the list is absent."""
     return F.coalesce(
         F.forall(
             levels,
             lambda x: F.coalesce(
-                (F.size(x) == 2)
-                & x.getItem(0).try_cast("double").isNotNull()
-                & x.getItem(1).try_cast("double").isNotNull(),
+                (F.size(x) == 2) & x.getItem(0).rlike(_NUMBER) & x.getItem(1).rlike(_NUMBER),
                 F.lit(False),
             ),
         ),

@@ -8,7 +8,9 @@ instrument is spread over as many tasks as it has blocks.
 
 from __future__ import annotations
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -70,13 +72,7 @@ def fold_books(
     """
     carried = _books_at_block_start(diffs, blocks, keys, lane)
     plain = [c for c in diffs.columns if c not in ("bids", "asks", "_ord", "_blocks")]
-    events = diffs.select(
-        *plain,
-        lv.prices(F.col("bids")).alias("_bid_px"),
-        lv.quantities(F.col("bids")).alias("_bid_qty"),
-        lv.prices(F.col("asks")).alias("_ask_px"),
-        lv.quantities(F.col("asks")).alias("_ask_qty"),
-    )
+    events = diffs.select(*plain, F.flatten("bids").alias("_bids"), F.flatten("asks").alias("_asks"))
     schema = T.StructType(
         [diffs.schema[c] for c in plain] + [T.StructField(c, T.DoubleType()) for c in QUOTE]
     )
@@ -96,22 +92,21 @@ def fold_books(
 def _books_at_block_start(diffs: DataFrame, blocks: DataFrame, keys: list[str], lane: list[str]) -> DataFrame:
     """Levels alive when each block starts: ``keys, lane, _side, _px, _qty, _born_ord, _born_seq``."""
     # The last block of a key hands nothing on; a key with one block costs nothing here.
-    updates = diffs.where(F.col("_ord") < F.col("_blocks")).select(
-        *keys,
-        *lane,
-        "_ord",
-        "_blocks",
-        "_pos",
-        F.inline(F.concat(_typed("bids", BID), _typed("asks", ASK))),
-    ).select(
-        *keys,
-        *lane,
-        "_ord",
-        "_blocks",
-        "_side",
-        "_px",
-        "_qty",
-        (F.shiftleft("_pos", 32) + F.col("_idx")).alias("_seq"),
+    sides = F.array(
+        *[F.struct(F.lit(n).alias("_side"), F.col(c).alias("_levels")) for n, c in ((BID, "bids"), (ASK, "asks"))]
+    )
+    place = [*keys, *lane, "_ord", "_blocks"]
+    updates = (
+        diffs.where(F.col("_ord") < F.col("_blocks"))
+        .select(*place, "_pos", F.inline(sides))
+        .select(*place, "_side", "_pos", F.posexplode("_levels").alias("_idx", "_level"))
+        .select(
+            *place,
+            "_side",
+            F.col("_level")[0].alias("_px"),
+            F.col("_level")[1].cast("double").alias("_qty"),
+            (F.shiftleft("_pos", 32) + F.col("_idx")).alias("_seq"),
+        )
     )
     # What a block leaves behind per level: last quantity, whether it was deleted on the way,
     # and where its current life began.
@@ -170,18 +165,6 @@ def _books_at_block_start(diffs: DataFrame, blocks: DataFrame, keys: list[str],
     return spread_out.join(blocks.select(*keys, *lane, "_ord"), [*keys, "_ord"]).drop("_ord")
 
 
-def _typed(levels: str, side: int):
-    return F.transform(
-        F.col(levels),
-        lambda x, i: F.struct(
-            F.lit(side).alias("_side"),
-            i.alias("_idx"),
-            F.element_at(x, 1).alias("_px"),
-            F.element_at(x, 2).cast("double").alias("_qty"),
-        ),
-    )
-
-
 def _folder(plain: list[str], depth: int):
     def fold(events: pa.Table, carried: pa.Table) -> pa.Table:
         book = Book()
@@ -195,10 +178,8 @@ def _folder(plain: list[str], depth: int):
         rows, quotes = [], []
         for start in range(0, events.num_rows, _SLICE):
             part = events.slice(start, _SLICE)
-            bids = _flat(part, "_bid_px", "_bid_qty")
-            asks = _flat(part, "_ask_px", "_ask_qty")
-            for offset, update in enumerate(zip(bids, asks)):
-                book.apply(*update[0], *update[1])
+            for offset, (bids, asks) in enumerate(zip(_updates(part["_bids"]), _updates(part["_asks"]))):
+                book.apply(*bids, *asks)
                 quote = book.quote(depth)
                 if quote is not None:
                     rows.append(start + offset)
@@ -212,21 +193,18 @@ def _folder(plain: list[str], depth: int):
     return fold
 
 
-def _flat(part: pa.Table, prices: str, quantities: str):
-    """Per row the price texts and quantities, cut from flat buffers (nested conversion is slow)."""
-    px, qty = (_one_array(part[c]) for c in (prices, quantities))
-    ends = px.offsets.to_numpy()
-    ends = (ends - ends[0]).tolist()
-    texts = px.flatten().dictionary_encode()
+def _updates(column: pa.ChunkedArray):
+    """Per row the price texts and quantities of ``[price, qty, price, qty, ...]``, cut from flat buffers."""
+    lists = column.chunk(0) if column.num_chunks == 1 else column.combine_chunks()
+    ends = lists.offsets.to_numpy()
+    ends = ((ends - ends[0]) // 2).tolist()
+    flat = lists.flatten()
+    texts = flat.take(pa.array(np.arange(0, len(flat), 2))).dictionary_encode()
     known = texts.dictionary.to_pylist()
-    px_flat = [known[i] for i in texts.indices.to_numpy().tolist()]
-    qty_flat = qty.flatten().to_numpy(zero_copy_only=False).tolist()
+    prices = [known[i] for i in texts.indices.to_numpy().tolist()]
+    quantities = pc.cast(flat.take(pa.array(np.arange(1, len(flat), 2))), pa.float64()).to_numpy().tolist()
     for a, b in zip(ends, ends[1:]):
-        yield px_flat[a:b], qty_flat[a:b]
-
-
-def _one_array(column: pa.ChunkedArray) -> pa.Array:
-    return column.chunk(0) if column.num_chunks == 1 else column.combine_chunks()
+        yield prices[a:b], quantities[a:b]
 
 
 def book_from_snapshots(

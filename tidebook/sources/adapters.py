@@ -39,8 +39,8 @@ def ticks_of(events: DataFrame) -> DataFrame:
         F.lit("sim").alias("exchange"),
         F.col("event_type").alias("symbol"),
         F.col("ts").alias("exchange_event_ts"),
-        F.expr("ts + make_dt_interval(0, 0, 0, event_id % 45)").alias("ingest_ts"),
-        F.expr("ts + make_dt_interval(0, 0, 0, event_id % 45)").alias("processed_ts"),
+        F.expr("timestampadd(SECOND, cast(event_id % 45 as int), ts)").alias("ingest_ts"),
+        F.expr("timestampadd(SECOND, cast(event_id % 45 as int), ts)").alias("processed_ts"),
         F.expr("event_id + 1").alias("last_update_id"),
         F.col("event_id").alias("first_update_id"),
         F.expr("100 + value").alias("best_bid_price"),
@@ -101,7 +101,7 @@ def depth_diffs(spark: SparkSession, sf_dir: str, stream: bool = False) -> DataF
         "event_type AS symbol",
         "ts AS exchange_event_ts",
         "ts AS ingest_ts",
-        "ts + make_dt_interval(0, 0, 0, event_id % 45) AS processed_ts",
+        "timestampadd(SECOND, cast(event_id % 45 as int), ts) AS processed_ts",
         "event_id + 1 AS first_update_id",
         "event_id + 1 AS last_update_id",
         f"{_BIDS} AS bids",
