@@ -163,6 +163,39 @@ def test_ticker_stream_equals_batch(spark, folder, cuts):
     assert late == expected_late > 0
 
 
+def test_idle_state_can_expire(spark, folder):
+    """The expiring form of the state runs and gives the same tickers while nothing is idle."""
+    from pyspark.sql import types as T
+
+    rows = random_diffs(3, n=40, late=False)
+    schema = T.StructType([*RAW_RECORD.fields, T.StructField("processed_ts", T.TimestampType())])
+    _put(spark.createDataFrame([(_payload(r), 0, r[12], r[5]) for r in rows], schema), f"{folder}/in", 0)
+    raw, sinks = _stream(spark, f"{folder}/in", schema), jobs.TickerSinks(f"{folder}/silver")
+    query = jobs.start_ticker_job(raw, sinks, f"{folder}/state", ttl_ms=jobs.STATE_TTL_MS, interval="1 second")
+    for _ in range(60):
+        if query.awaitTermination(1) or os.path.exists(f"{folder}/state/commits/0"):
+            break
+    query.stop()
+    with pytest.raises(ValueError):
+        jobs.start_ticker_job(raw, sinks, f"{folder}/other", ttl_ms=1000, available_now=True)
+    assert quotes_of(spark.read.schema(BOOK_TICKER).parquet(f"{folder}/silver")) == sequential_quotes(rows)
+
+
+def test_bars_from_the_ticker_topic(spark, folder):
+    """Ticker messages in, bars out: the topic form of the second job."""
+    from tidebook.sources.wire import ticker_stream
+
+    rows = [tick("a", 7 * i, 100.0 + i % 9, float(i % 3), u=i) for i in range(30)]
+    messages = topics.to_messages(ticks(spark, rows)).select(F.col("value").alias("payload"))
+    bad = spark.createDataFrame([("{",), (None,), ("[]",)], "payload string")
+    _put(messages.unionByName(bad), f"{folder}/in", 0)
+    source = ticker_stream(_stream(spark, f"{folder}/in", "payload string"))
+    query = ohlcv(source).writeStream.format("memory").queryName("topic_bars").trigger(availableNow=True).start()
+    query.awaitTermination()
+    closed = ohlcv(ticks(spark, rows)).where(F.col("window_end") <= F.lit(at(7 * 29 - 5)))
+    assert _rows(spark.table("topic_bars")) == _rows(closed)
+
+
 def test_processor_state_round_trip():
     class State:
         value = None

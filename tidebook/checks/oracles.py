@@ -439,6 +439,15 @@ ORACLES: dict[str, str] = {
         WHERE payload IS NOT NULL""",
     "keyed_messages": f"""WITH {TICKS} SELECT exchange || '#' || symbol AS key, event_id,
         {ISO.format("exchange_event_ts")} AS exchange_event_ts, mid_price, kafka_offset FROM ticks""",
+    "ticker_topic_source": f"""WITH {TICKS} SELECT * REPLACE (
+        date_trunc('milliseconds', exchange_event_ts) AS exchange_event_ts,
+        date_trunc('milliseconds', ingest_ts) AS ingest_ts, date_trunc('milliseconds', processed_ts) AS processed_ts)
+        FROM ticks""",
+    "cdc_changelog": f"""WITH {CDC} SELECT symbol, k AS source_lsn, 'INSERT' AS row_kind, status FROM audit
+        WHERE op IN ('r', 'c')
+        UNION ALL SELECT symbol, k, unnest(['UPDATE_BEFORE', 'UPDATE_AFTER']), status FROM audit WHERE op = 'u'
+        UNION ALL SELECT symbol, k, 'DELETE', status FROM audit WHERE op = 'd'""",
+    "materialized_marts": f"WITH {TICKS}, {bars('6 hours')} SELECT {BAR} FROM bars",
     "monotone_dedup": f"""WITH {SEQ}, {seq("seq_all")}, {SEEN} SELECT exchange, symbol, last_update_id, kafka_offset
         FROM flags WHERE NOT is_stale""",
     "late_routing": f"""WITH {DIFFS} SELECT event_id, symbol, CAST(lag_s AS DOUBLE) AS lag_s,

@@ -319,6 +319,13 @@ def keyed_messages(spark, d):
     return messages.select("key", body.alias("_b")).select("key", "_b.*")
 
 
+@query
+def ticker_topic_source(spark, d):
+    """Ticker messages parsed back to all their columns."""
+    messages = topics.to_messages(adapters.book_ticker(spark, d))
+    return wire.parse_ticker_messages(messages.withColumnRenamed("value", "payload"))
+
+
 # Sequence rules
 
 
@@ -414,6 +421,22 @@ def cdc_current_state(spark, d):
     return _state(spark, d)
 
 
+@query
+def cdc_changelog(spark, d):
+    rows = changes.changelog(_audit(spark, d))
+    status = F.get_json_object("image_json", "$.status").alias("status")
+    return rows.select("symbol", "source_lsn", "row_kind", status)
+
+
+@query
+def materialized_marts(spark, d):
+    """Bars stored as a table, liquidity as a view over it by name."""
+    out = shared_dir(spark, "models")
+    stored = tables.as_table(staging.mart_ohlcv(bars.ohlcv(adapters.book_ticker(spark, d), "6 hours")), out, ["symbol"])
+    tables.as_view(stored, "mart_ohlcv")
+    return _bars(spark.table("mart_ohlcv"))
+
+
 # Replay
 
 

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 # Offsets per block.  Bounds both the rows of a task group and, for the book fold,
 # the share of carried levels: blocks x book depth stays far below the number of diffs.
-BLOCK_SPAN = 131_072
+BLOCK_SPAN = 65_536
 
 KEYS = ["exchange", "symbol"]
 BLOCK = "_block"

@@ -8,8 +8,8 @@ from pyspark.sql import types as T
 
 from tidebook.functions.clock import as_of_column
 from tidebook.operators.latest import latest_by
-from tidebook.sources.wire import parsed_once
 from tidebook.schemas import CDC_BRONZE, CDC_ENVELOPE, SYMBOL_CONFIG, SYMBOL_IMAGE, names
+from tidebook.sources.wire import parsed_once
 
 # Fixed values of the envelope format.
 OPS = ["r", "c", "u", "d"]
@@ -76,6 +76,20 @@ def rejected_envelopes(flattened: DataFrame) -> DataFrame:
     )
 
 
+def changelog(audit: DataFrame) -> DataFrame:
+    """Events as changelog rows: insert, update before/after, delete.  An absent old image gives no row."""
+
+    def row(kind: str, image: str):
+        return F.when(F.col(image).isNotNull(), F.struct(F.lit(kind).alias("row_kind"), F.col(image).alias("image_json")))
+
+    rows = (
+        F.when(F.col("op").isin("r", "c"), F.array(row("INSERT", "after_json")))
+        .when(F.col("op") == "u", F.array(row("UPDATE_BEFORE", "before_json"), row("UPDATE_AFTER", "after_json")))
+        .otherwise(F.array(row("DELETE", "before_json")))
+    )
+    return audit.select("symbol", *LOG_ORDER, F.inline(F.array_compact(rows)))
+
+
 def last_changes(audit: DataFrame) -> DataFrame:
     """The last event per symbol in log order, deletions included."""
     return latest_by(audit.select("symbol", "op", "after_json", *LOG_ORDER), ["symbol"], LOG_ORDER)

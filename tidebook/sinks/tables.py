@@ -17,6 +17,18 @@ _FOLDERS_PER_JOB = 500
 TARGET_BYTES = 128 * 1024 * 1024  # fixed value: size compaction aims at
 
 
+def as_view(df: DataFrame, name: str) -> None:
+    """A model evaluated on every read, so that its "now" moves."""
+    df.createOrReplaceTempView(name)
+
+
+def as_table(df: DataFrame, path: str, partitions: list[str] | None = None) -> DataFrame:
+    """A model stored on every run; returns the stored rows."""
+    writer = df.write.mode("overwrite")
+    (writer.partitionBy(*partitions) if partitions else writer).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def with_event_date(df: DataFrame, time_column: str) -> DataFrame:
     return df.withColumn("event_date", F.to_date(time_column))
 

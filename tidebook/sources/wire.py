@@ -15,11 +15,12 @@ from pyspark.sql import types as T
 from tidebook.functions.clock import as_of_column, epoch_ms
 from tidebook.functions.levels import well_formed
 from tidebook.functions.market import event_key, routing_key
-from tidebook.schemas import DIFF, DIFF_EVENT, LEVELS, names
+from tidebook.schemas import BOOK_TICKER, DIFF, DIFF_EVENT, LEVELS, names
 
 # Fixed values of the wire protocol and topics.
 DEPTH_UPDATE = "depthUpdate"
 RAW_TOPIC = "market.raw.orderbook"
+WATERMARK = "5 seconds"
 WIRE_FIELDS = {
     "e": "_event_type",
     "E": "_event_ms",
@@ -173,6 +174,22 @@ def parse_wire_diffs(
     return out.where(~other_event).drop("_event_type")
 
 
+def diff_stream(raw: DataFrame, watermark: str = WATERMARK, **options) -> DataFrame:
+    """Accepted diffs with an event-time watermark."""
+    return accepted(parse_diff_events(raw, **options)).withWatermark("exchange_event_ts", watermark)
+
+
+def parse_ticker_messages(raw: DataFrame, payload: str = "payload") -> DataFrame:
+    """Ticker messages of the normalised topic back to ticker rows; unreadable ones are ignored."""
+    body = F.from_json(F.col(payload), BOOK_TICKER, {"mode": "PERMISSIVE"})
+    rows = raw.select(F.inline(F.array(body)))
+    return rows.where(F.col("exchange").isNotNull() & F.col("symbol").isNotNull())
+
+
+def ticker_stream(raw: DataFrame, watermark: str = WATERMARK) -> DataFrame:
+    return parse_ticker_messages(raw).withWatermark("exchange_event_ts", watermark)
+
+
 def accepted(parsed: DataFrame) -> DataFrame:
     return parsed.where(F.col("error_type").isNull()).select(*names(DIFF))
 

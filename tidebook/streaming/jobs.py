@@ -14,11 +14,10 @@ from tidebook.functions import market
 from tidebook.operators.bars import ohlcv
 from tidebook.operators.changes import audit_rows, flatten_envelopes, rejected_envelopes
 from tidebook.sinks import tables, topics
-from tidebook.sources.wire import RAW_TOPIC
+from tidebook.sources.wire import RAW_TOPIC, WATERMARK
 from tidebook.streaming.ticker import letters, ticker_rows, tickers
 
 # Fixed values of the stream jobs.
-WATERMARK = "5 seconds"
 COMMIT_INTERVAL = "60 seconds"
 STATE_TTL_MS = 3_600_000
 
@@ -80,6 +79,8 @@ def start_ticker_job(
 
     ``name`` identifies the job across restarts; it marks which batches the silver table has.
     """
+    if ttl_ms and available_now:
+        raise ValueError("state that expires with the clock keeps an available-now run from ending")
     rows = ticker_rows(raw, processed_ts, late_seconds, ttl_ms=ttl_ms, topic=topic)
 
     def write(batch: DataFrame, batch_id: int) -> None:
