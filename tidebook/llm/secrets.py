@@ -33,13 +33,11 @@ def base_spans(text: Column) -> Column:
 
 
 def _steps(value: Column) -> Column:
-    """Index of each pair of neighbours in a table of ``len(ALPHABET)`` squared."""
+    """Index of each pair of neighbours in a table of ``len(ALPHABET)`` squared; linear in the length."""
     n = len(ALPHABET)
     codes = F.transform(F.split(value, ""), lambda c: F.instr(F.lit(ALPHABET), c) - 1)
-    return F.transform(
-        F.slice(codes, F.lit(2), F.greatest(F.size(codes) - 1, F.lit(0))),
-        lambda c, i: F.element_at(codes, i + 1) * n + c,
-    )
+    rest = F.greatest(F.length(value) - 1, F.lit(0))
+    return F.zip_with(F.slice(codes, F.lit(1), rest), F.slice(codes, F.lit(2), rest), lambda a, b: a * n + b)
 
 
 def train_ratio(docs: DataFrame, text_col: str = "text", sample: int = SAMPLE_DOCS) -> list[float]:
