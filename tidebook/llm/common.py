@@ -101,3 +101,10 @@ def apart(spans: Column, others: Column) -> Column:
 
 def every(columns: list[Column]) -> Column:
     return functools.reduce(lambda a, b: a & b, columns)
+
+
+def bounded_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Lower the rows of an Arrow batch, so that a Python worker holds few whole texts at a time."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(spark.conf.get(key, "10000")) > rows:
+        spark.conf.set(key, str(rows))

@@ -4,10 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidebook.llm import fingerprint, pii, secrets, sharding
+from tidebook.llm import fingerprint, pii, secrets, sharding, toxicity
 from tidebook.llm.common import table
 
 
+def op1_factorization_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score_documents(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pii_digest(pii.find_pii(table(spark, sf_dir, "documents")))
 
@@ -26,6 +31,7 @@ def op9_scaled_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_factorization_machine": op1_factorization_machine,
     "op5_pii": op5_pii,
     "op6_secret_scan": op6_secret_scan,
     "op8_virtual_slots": op8_virtual_slots,
