@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidebook.llm import fingerprint, pii, secrets, sharding, toxicity
+from tidebook.llm import fingerprint, pieces, pii, secrets, sharding, toxicity
 from tidebook.llm.common import table
 
 
@@ -30,11 +30,16 @@ def op9_scaled_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.fingerprint_documents(table(spark, sf_dir, "documents"))
 
 
+def op10_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encode_documents(table(spark, sf_dir, "documents"), pieces.load_vocabulary())
+
+
 QUERIES = {
     "op1_factorization_machine": op1_factorization_machine,
     "op5_pii": op5_pii,
     "op6_secret_scan": op6_secret_scan,
     "op8_virtual_slots": op8_virtual_slots,
     "op9_scaled_sketch": op9_scaled_sketch,
+    "op10_sentence_pieces": op10_sentence_pieces,
 }
 ORACLES: dict[str, str] = {}
