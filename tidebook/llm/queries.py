@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidebook.llm import fingerprint, pieces, pii, secrets, sharding, toxicity
+from tidebook.llm import fingerprint, jaccard, pieces, pii, secrets, sharding, toxicity
 from tidebook.llm.common import table
 
 
@@ -13,6 +13,10 @@ def op1_factorization_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_documents(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
 
 
+def op4_jaccard_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_join(table(spark, sf_dir, "documents"), k=3, percent=90)
+
+
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pii_digest(pii.find_pii(table(spark, sf_dir, "documents")))
 
@@ -36,6 +40,7 @@ def op10_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_factorization_machine": op1_factorization_machine,
+    "op4_jaccard_regions": op4_jaccard_regions,
     "op5_pii": op5_pii,
     "op6_secret_scan": op6_secret_scan,
     "op8_virtual_slots": op8_virtual_slots,
