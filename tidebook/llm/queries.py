@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidebook.llm import fingerprint, jaccard, pieces, pii, secrets, sharding, toxicity
+from tidebook.llm import fingerprint, jaccard, pieces, pii, quotes, resampling, secrets, sharding, templates, toxicity
 from tidebook.llm.common import table
 
 
@@ -13,6 +13,14 @@ def op1_factorization_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_documents(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
 
 
+def op2_quotation_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quotes.link_quotes(table(spark, sf_dir, "conversations"))
+
+
+def op3_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_jaccard_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_join(table(spark, sf_dir, "documents"), k=3, percent=90)
 
@@ -26,6 +34,10 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_digest(secrets.find_secrets(docs, secrets.train_ratio(docs)))
 
 
+def op7_template_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return templates.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op8_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"))
 
@@ -40,9 +52,12 @@ def op10_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_factorization_machine": op1_factorization_machine,
+    "op2_quotation_links": op2_quotation_links,
+    "op3_importance_resampling": op3_importance_resampling,
     "op4_jaccard_regions": op4_jaccard_regions,
     "op5_pii": op5_pii,
     "op6_secret_scan": op6_secret_scan,
+    "op7_template_leaks": op7_template_leaks,
     "op8_virtual_slots": op8_virtual_slots,
     "op9_scaled_sketch": op9_scaled_sketch,
     "op10_sentence_pieces": op10_sentence_pieces,
