@@ -169,7 +169,7 @@ def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, k: int, percen
         near.select("a", "b", "n_a", "n_b", "sketch_a", "sketch_b").mapInPandas(window, "a long, b long"), "pairs"
     )
     wanted = near.select(F.col("a").alias("node")).union(near.select("b")).distinct()
-    wanted = wanted.join(nodes.select("node", F.col("rep").alias("doc_id"), "d1", "d2"), "node")
+    wanted = wanted.join(nodes.select("node", "doc_id", "d1"), "node")
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -259,9 +259,9 @@ def jaccard_join(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text(F.col("text")).alias("text"))
     rows = signatures(docs, k, percent)
     able = rows.where("n > 0 and doc_id is not null")
-    classes = settle(able.groupBy("d1", "d2").agg(F.min("row").alias("node"), F.min("doc_id").alias("rep")), "classes")
-    picked = rows.select(F.col("row").alias("node"), F.col("doc_id").alias("from_id"), "n", "anchors", "sketch")
-    nodes = settle(picked.join(classes, "node").withColumn("rep_of_set", F.col("rep")).withColumn("rep", F.col("from_id")).drop("from_id"), "nodes")
+    classes = settle(able.groupBy("d1", "d2").agg(F.min("row").alias("node"), F.min("doc_id").alias("smallest")), "classes")
+    picked = rows.select(F.col("row").alias("node"), "doc_id", "n", "anchors", "sketch")
+    nodes = settle(picked.join(classes, "node"), "nodes")
 
     held = nodes.select("node", F.explode("anchors").alias("region"))
     regions = held.groupBy("region").agg(
@@ -281,11 +281,11 @@ def jaccard_join(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     more = verified(_open_pairs(regions, nodes, labels, percent), nodes, docs, k, percent)
     labels = components(links.union(more))
 
-    labelled = nodes.select("node", "rep_of_set", "d1", "d2").join(labels, "node", "left").withColumn(
+    labelled = nodes.select("node", "smallest", "d1", "d2").join(labels, "node", "left").withColumn(
         "label", F.coalesce("label", "node")
     )
     labelled = settle(labelled, "labelled")
-    smallest = settle(labelled.groupBy("label").agg(F.min("rep_of_set").alias("component_id")), "smallest")
+    smallest = settle(labelled.groupBy("label").agg(F.min("smallest").alias("component_id")), "smallest")
     sets = settle(labelled.join(smallest, "label").select("d1", "d2", "component_id"), "sets")
     known = able.select("doc_id", "n", "d1", "d2").join(sets, ["d1", "d2"]).select(
         "doc_id", F.col("n").alias("n_shingles"), "component_id"
@@ -294,3 +294,15 @@ def jaccard_join(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
         "doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id")
     )
     return known.union(alone)
+
+
+def one_of_each(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
+    """doc_id, text, lang, source and n_chars of the document with the smallest id in each component.
+
+    Rows that repeat an id count once (the least by text and the other columns); rows without id stay.
+    """
+    columns = ["text", "lang", "source", "n_chars"]
+    docs = docs.select("doc_id", *columns)
+    kept = jaccard_join(docs, k, percent).where("doc_id = component_id").select("doc_id").distinct()
+    first = docs.join(kept, "doc_id", "left_semi").groupBy("doc_id").agg(F.min(F.struct(*columns)).alias("d"))
+    return first.select("doc_id", *[f"d.{c}" for c in columns]).unionByName(docs.where("doc_id is null"))

@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidebook.llm.common import bounded_batches, hash_sample, whole_text
@@ -19,7 +18,6 @@ MIN_STEPS = 800
 MIN_ROWS = 3
 MIN_RATIO = 0.7
 PREFIXES = (4, 5)
-SCORED = "doc_id long, held_out boolean, score double, predicted int"
 
 
 @dataclass(frozen=True)
@@ -141,35 +139,31 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_ROWS) -> Machin
     return train(training_rows(docs, labels, sample).toPandas())
 
 
+def with_score(docs: DataFrame, machine: Machine) -> DataFrame:
+    """Adds ``_score`` to rows that have ``text``; only hashed terms go to Python, other columns stay."""
+    bounded_batches(docs.sparkSession)
+    shared = docs.sparkSession.sparkContext.broadcast(machine)
+
+    @F.pandas_udf("double")
+    def score(hashed: pd.Series) -> pd.Series:
+        lists = hashed.tolist()
+        sizes = [len(t) for t in lists]
+        flat = np.concatenate(lists).astype(np.int64) if sum(sizes) else np.zeros(0, np.int64)
+        return pd.Series(shared.value.score(flat, np.repeat(np.arange(len(lists)), sizes), len(lists)))
+
+    return docs.withColumn("_terms", terms(whole_text(F.col("text")))).withColumn("_score", score("_terms")).drop("_terms")
+
+
 def score_documents(docs: DataFrame, machine: Machine) -> DataFrame:
     """doc_id, held_out, score and predicted of every row, whole texts.
 
     A null or empty text has no terms and scores by the bias; a null id stays null and counts as held
     out; repeated rows score alike; other columns are not read; an empty table gives no rows.
     """
-    spark: SparkSession = docs.sparkSession
-    bounded_batches(spark)
-    shared = spark.sparkContext.broadcast(machine)
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        model = shared.value
-        for rows in batches:
-            lists = rows["terms"].tolist()
-            sizes = [len(t) for t in lists]
-            flat = np.concatenate(lists).astype(np.int64) if sum(sizes) else np.zeros(0, np.int64)
-            score = model.score(flat, np.repeat(np.arange(len(lists)), sizes), len(lists))
-            yield pd.DataFrame(
-                {
-                    "doc_id": rows["doc_id"].astype("Int64"),
-                    "held_out": rows["held_out"],
-                    "score": score,
-                    "predicted": (score >= 0.5).astype(np.int32),
-                }
-            )
-
-    ready = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"),
+    scored = with_score(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), machine)
+    return scored.select(
+        "doc_id",
         held_out(F.col("doc_id")).alias("held_out"),
-        terms(whole_text(F.col("text"))).alias("terms"),
+        F.col("_score").alias("score"),
+        (F.col("_score") >= 0.5).cast("int").alias("predicted"),
     )
-    return ready.mapInPandas(run, SCORED)
