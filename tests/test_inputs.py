@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from datetime import timedelta
 
 import pytest
 from helpers import at, diff, diffs, tick, ticks
@@ -229,10 +230,7 @@ def test_time_ranges(spark):
     assert replay.time_offset_ranges(records, at(4.5), at(4.6)).isEmpty()
 
 
-@pytest.mark.parametrize("pushed,broadcast", [(64, 10_000), (0, 10_000), (0, 0)])
-def test_range_reads_agree(spark, monkeypatch, pushed, broadcast):
-    monkeypatch.setattr(replay, "_PUSHED", pushed)
-    monkeypatch.setattr(replay, "_BROADCAST", broadcast)
+def test_range_reads(spark):
     ranges = spark.createDataFrame([(0, 2, 5), (2, 0, 1)], "kafka_partition int, start_offset long, end_offset long")
     got = replay.read_ranges(_records(spark), ranges)
     assert sorted((r["kafka_partition"], r["kafka_offset"]) for r in got.collect()) == [(0, 2), (0, 3), (0, 4), (2, 0)]
@@ -244,7 +242,7 @@ def test_range_reads_agree(spark, monkeypatch, pushed, broadcast):
 def test_cap_by_blocks_equals_top_n(spark, n):
     records = _records(spark)
     top = records.orderBy("kafka_partition", "kafka_offset").limit(n).collect()
-    assert sorted(replay._first_by_blocks(records, n, span=4).collect()) == sorted(top)
+    assert sorted(replay.first_events(records, n, span=4).collect()) == sorted(top)
 
 
 def test_replay_runs_and_counts(spark):
@@ -254,7 +252,7 @@ def test_replay_runs_and_counts(spark):
     request = replay.ReplayRequest(at(0), at(9), max_events=5)
     stats = replay.run_replay(ticks_df, records, request, lambda df: published.extend(df.collect())).first()
     assert (stats["events_read"], stats["events_produced"], stats["offset_source"]) == (5, 5, "silver")
-    assert stats["partitions_replayed"] == [0, 1] and len(published) == 5
+    assert stats["partitions_replayed"] == [0, 1, 2] and len(published) == 5
     dry = replay.run_replay(ticks_df, records, replay.ReplayRequest(at(0), at(9), dry_run=True), None).first()
     assert (dry["events_read"], dry["events_produced"]) == (9, 0)
     lost = _lineage(spark, [(-1, -1)])
@@ -262,6 +260,14 @@ def test_replay_runs_and_counts(spark):
     assert (fallback["events_read"], fallback["offset_source"]) == (6, "topic_time")
     with pytest.raises(ValueError):
         replay.run_replay(lost, records, replay.ReplayRequest(at(9), at(9)), None)
+    nothing = replay.run_replay(ticks_df, records, replay.ReplayRequest(dry_run=True), None).first()
+    assert nothing["events_read"] == 0 and nothing["end_ts"] - nothing["start_ts"] == timedelta(hours=1)
+
+
+def test_open_ranges_become_latest(spark):
+    ranges = replay.time_offset_ranges(_records(spark, 12), at(9), at(99)).collect()
+    _, end = topics.offsets_json("t", [(r["kafka_partition"], r["start_offset"], r["end_offset"]) for r in ranges])
+    assert set(json.loads(end)["t"].values()) == {-1}
 
 
 def test_replay_default_window(spark):

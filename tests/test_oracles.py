@@ -6,7 +6,9 @@ import pytest
 from conftest import SMALL
 from oracle_check import compare, connect
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from tidebook.checks.oracles import ORACLES
+from tidebook.checks.queries import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -15,12 +17,12 @@ def engine():
 
 
 def test_every_query_has_a_twin():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, engine, name):
-    assert compare(spark, engine, name, queries()[name], oracle_sql()[name], SMALL) == []
+    assert compare(spark, engine, name, QUERIES[name], ORACLES[name], SMALL) == []
 
 
 def test_entry(spark):

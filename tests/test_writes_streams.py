@@ -15,7 +15,8 @@ from tidebook.operators.bars import ohlcv
 from tidebook.operators.changes import audit_rows, current_state, flatten_envelopes
 from tidebook.plans.backfill import run_backfill
 from tidebook.schemas import BOOK_TICKER, RAW_RECORD
-from tidebook.sinks import tables, topics
+from tidebook.sinks import files, tables, topics
+from tidebook.sources.tables import recent, time_range
 from tidebook.sources.topics import stream_files
 from tidebook.streaming import jobs
 from tidebook.streaming.ticker import BookProcessor
@@ -43,17 +44,113 @@ def test_backfill_replaces_only_its_dates(spark, folder):
     assert low == {"2024-01-01": 100.0, "2024-01-02": 1100.0, "2024-01-03": 100.0}
 
 
-def test_bars_merge_by_key(spark, folder):
+def test_stored_bars_stay(spark, folder):
+    """A bar is emitted once: appending again, even with another value, leaves the stored one."""
     path, df = f"{folder}/bars", _day_ticks(spark)
     bars = ohlcv(df)
-    tables.upsert_bars(bars.where("window_start < '2024-01-01 00:01:00'"), path)
-    tables.upsert_bars(bars, path)
+    tables.append_bars(bars.where("window_start < '2024-01-01 00:01:00'"), path)
+    tables.append_bars(bars, path)
     changed = bars.where("symbol = 'a' and window_start = '2024-01-02 00:00:00'").withColumn("volume", F.lit(77.0))
-    for _ in range(2):
-        tables.upsert_bars(changed, path)
+    tables.append_bars(changed, path)
+    assert _rows(spark.read.parquet(path).drop("event_date")) == _rows(bars)
+    run_backfill(df.withColumn("best_bid_qty", F.lit(77.0)), path, date(2024, 1, 2), date(2024, 1, 3))
+    assert spark.read.parquet(path).where("volume >= 77").count() > 0
+
+
+def _scan_filters(df):
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return [line for line in plan.split("\n") if "PartitionFilters" in line]
+
+
+def test_reads_and_key_checks_are_pruned_by_date(spark, folder):
+    path, df = f"{folder}/ticks", _day_ticks(spark)
+    tables.append_ticks(df, path, "a")
     stored = spark.read.parquet(path)
-    assert stored.count() == bars.count()
-    assert [r["volume"] for r in stored.where("symbol = 'a' and window_start = '2024-01-02 00:00:00'").collect()] == [77.0]
+    for scan in (time_range(stored, at(0), at(60)), recent(stored, 10, at(86_400))):
+        assert all("event_date" in line.split("PartitionFilters")[1].split("]")[0] for line in _scan_filters(scan))
+    assert time_range(stored, at(0), at(60)).count() == 2 * 2
+    day = tables.with_event_date(df.where("exchange_event_ts >= '2024-01-02' and exchange_event_ts < '2024-01-03'"), "exchange_event_ts")
+    checked = tables.without_stored(day, path, tables.TICK_PARTITIONS, tables.TICK_KEY)
+    assert any("2024-01-02" in line or "19724" in line for line in _scan_filters(checked)) and checked.isEmpty()
+
+
+def test_compaction_keeps_files_that_arrive_meanwhile(spark, folder, monkeypatch):
+    path, df = f"{folder}/t", _slices(spark, folder, "t")
+    late = df.where("symbol = 'a'").withColumn("last_update_id", F.col("last_update_id") + 10_000)
+    swap = tables._swap
+
+    def slow(*args):
+        if late is not None:
+            late.coalesce(1).write.mode("append").partitionBy(*tables.TICK_PARTITIONS).parquet(path)
+        monkeypatch.setattr(tables, "_swap", swap)
+        swap(*args)
+
+    monkeypatch.setattr(tables, "_swap", slow)
+    tables.compact(spark, path, tables.TICK_PARTITIONS)
+    assert _rows(spark.read.parquet(path)) == _rows(df.unionByName(late))
+
+
+@pytest.mark.parametrize("step", [1, 2, 3, 4])
+def test_compaction_that_died_is_put_right(spark, folder, monkeypatch, step):
+    path, df = f"{folder}/t", _slices(spark, folder, "t")
+    calls, rename = [], files.rename
+
+    def failing(*args):
+        calls.append(args)
+        if len(calls) == step:
+            raise RuntimeError("executor lost")
+        rename(*args)
+
+    monkeypatch.setattr(files, "rename", failing)
+    with pytest.raises(RuntimeError):
+        tables.compact(spark, path, tables.TICK_PARTITIONS)
+    monkeypatch.setattr(files, "rename", rename)
+    tables.recover(spark, path)
+    assert _rows(spark.read.parquet(path)) == _rows(df)
+    tables.compact(spark, path, tables.TICK_PARTITIONS)
+    assert _rows(spark.read.parquet(path)) == _rows(df)
+    assert tables.small_file_folders(spark, path).isEmpty()
+
+
+def test_compaction_into_several_files_of_closed_dates_only(spark, folder):
+    path, df = f"{folder}/t", _slices(spark, folder, "t")
+    size = tables.file_sizes(spark, path).groupBy("folder").agg(F.sum("bytes")).first()[1]
+    found = tables.compact(spark, path, tables.TICK_PARTITIONS, target_bytes=size // 2, before=date(2024, 1, 3))
+    assert found.count() == 4 and found.agg(F.min("needed_files")).first()[0] >= 2
+    assert _rows(spark.read.parquet(path)) == _rows(df)
+    with pytest.raises(ValueError):
+        tables.compact(spark, path, tables.TICK_PARTITIONS, before=date(9999, 1, 1))
+
+
+def test_registered_tables_are_compacted(spark, folder):
+    path, df = f"{folder}/book", _slices(spark, folder, "book")
+    assert tables.compact_all(spark, {"book_ticker": path}) == {"book_ticker": 6}
+    assert _rows(spark.read.parquet(path)) == _rows(df)
+    with pytest.raises(KeyError):
+        tables.compact_all(spark, {"other": path})
+
+
+def _slices(spark, folder, name):
+    df = tables.with_event_date(_day_ticks(spark), "exchange_event_ts")
+    for i in range(4):
+        df.where(f"last_update_id % 4 = {i}").coalesce(1).write.mode("append").partitionBy(*tables.TICK_PARTITIONS).parquet(f"{folder}/{name}")
+    return df
+
+
+def test_dead_letters_never_stop_the_job(spark, folder, monkeypatch):
+    def broken(*args):
+        raise OSError("no space")
+
+    rows = random_diffs(5, n=40, late=False)
+    from pyspark.sql import types as T
+
+    schema = T.StructType([*RAW_RECORD.fields, T.StructField("processed_ts", T.TimestampType())])
+    records = [(_payload(r), 0, r[12], r[5]) for r in rows] + [("{", 0, 999, at(0))]
+    _put(spark.createDataFrame(records, schema), f"{folder}/in", 0)
+    monkeypatch.setattr(topics, "dead_letter_messages", broken)
+    sinks = jobs.TickerSinks(f"{folder}/silver", dead_letters=f"{folder}/dlq")
+    jobs.start_ticker_job(_stream(spark, f"{folder}/in", schema), sinks, f"{folder}/state", available_now=True).awaitTermination()
+    assert quotes_of(spark.read.schema(BOOK_TICKER).parquet(f"{folder}/silver")) == sequential_quotes(rows)
 
 
 def test_a_retried_batch_adds_nothing(spark, folder):
@@ -69,17 +166,20 @@ def test_state_versions(spark, folder):
         return audit_rows(flatten_envelopes(_raw(spark, payloads), at(0)))
 
     path = f"{folder}/config"
-    tables.upsert_changes(batch(_envelope("c", after=_image("A"), lsn=1), _envelope("c", after=_image("B"), lsn=2)), path, 0)
+    tables.upsert_changes(batch(_envelope("c", after=_image("A"), lsn=1), _envelope("c", after=_image("B"), lsn=2)), path)
     for _ in range(2):  # the second run is a retry
-        tables.upsert_changes(batch(_envelope("d", before=_image("A"), lsn=9), _envelope("u", after=_image("B", "BREAK"), lsn=8)), path, 1)
-    tables.upsert_changes(batch(_envelope("u", after=_image("A"), lsn=5)), path, 2)  # older than the deletion
+        tables.upsert_changes(batch(_envelope("d", before=_image("A"), lsn=9), _envelope("u", after=_image("B", "BREAK"), lsn=8)), path)
+    tables.upsert_changes(batch(_envelope("u", after=_image("A"), lsn=5)), path)  # older than the deletion
     assert [(r["symbol"], r["status"]) for r in tables.read_state(spark, path).collect()] == [("B", "BREAK")]
     for version in range(3, 7):
-        tables.upsert_changes(batch(_envelope("u", after=_image("B", f"S{version}"), lsn=10 + version)), path, version)
+        tables.upsert_changes(batch(_envelope("u", after=_image("B", f"S{version}"), lsn=10 + version)), path)
     assert len(tables.complete_versions(spark, path)) <= 4
     assert tables.read_state(spark, path).first()["status"] == "S6"
+    # A new checkpoint counts its batches from 0 again; the newest state is still built upon.
+    tables.upsert_changes(batch(_envelope("u", after=_image("B", "S9"), lsn=90)), path)
+    assert [r["status"] for r in tables.read_state(spark, path).where("symbol = 'B'").collect()] == ["S9"]
     os.makedirs(f"{path}/version={99:020d}")  # unfinished
-    assert tables.read_state(spark, path).first()["status"] == "S6"
+    assert tables.read_state(spark, path).first()["status"] == "S9"
 
 
 def test_compaction(spark, folder):

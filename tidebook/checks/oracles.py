@@ -387,6 +387,9 @@ ORACLES: dict[str, str] = {
     "silver_scan": f"""WITH {TICKS} SELECT kafka_partition, kafka_offset FROM ticks
         WHERE exchange_event_ts >= TIMESTAMP '2024-01-10' AND exchange_event_ts < TIMESTAMP '2024-01-12'
         AND symbol = 'view'""",
+    "silver_scan_stored": f"""WITH {TICKS} SELECT kafka_partition, kafka_offset FROM ticks
+        WHERE exchange_event_ts >= TIMESTAMP '2024-01-10' AND exchange_event_ts < TIMESTAMP '2024-01-12'
+        AND symbol = 'view'""",
     "recent_rows": f"""WITH {TICKS} SELECT event_id, exchange_event_ts FROM ticks
         WHERE exchange_event_ts > {AS_OF} - INTERVAL '600 minutes'""",
     "liquidity_snapshot": f"{MART} SELECT * REPLACE (coalesce(imbalance, 0) AS imbalance) FROM liquidity",
@@ -493,6 +496,13 @@ ORACLES: dict[str, str] = {
         CAST(NULL AS VARCHAR) AS symbol, count(*) AS events_read, CAST(0 AS BIGINT) AS events_produced,
         string_agg(DISTINCT CAST(r.kafka_partition AS VARCHAR), ',' ORDER BY CAST(r.kafka_partition AS VARCHAR))
         AS partitions_replayed, 'silver' AS offset_source FROM records r JOIN ranges g ON {IN_RANGE}""",
+    "replay_stats_for_symbol": f"""WITH {RECORDS}, {ranges("symbol = 'view'")} SELECT TRUE AS dry_run,
+        'market.raw.orderbook' AS source_topic, 'market.raw.orderbook' AS target_topic,
+        TIMESTAMP '2024-01-10' AS start_ts, TIMESTAMP '2024-01-12 06:00:00' AS end_ts, 'VIEW' AS symbol,
+        (SELECT count(*) FROM records r JOIN ranges g ON {IN_RANGE}
+         WHERE r.symbol = 'view' AND r.kafka_partition <> 3) AS events_read, CAST(0 AS BIGINT) AS events_produced,
+        string_agg(CAST(kafka_partition AS VARCHAR), ',' ORDER BY kafka_partition) AS partitions_replayed,
+        'silver' AS offset_source FROM ranges""",
     "dq_report": _dq_report(),
     "dq_violations": f"""WITH {TICKS}, t AS (SELECT *, CASE WHEN kafka_offset % 11 = 0 THEN NULL ELSE kafka_partition END
         AS lineage FROM ticks),
@@ -522,6 +532,8 @@ ORACLES: dict[str, str] = {
              WHEN max_loaded_at < {AS_OF} - INTERVAL '2 minutes' THEN 'warn' ELSE 'pass' END AS status FROM m""",
     "stream_ohlcv": f"""{HOUR_BAR} SELECT {BAR}, CAST(window_start AS DATE) AS event_date FROM bars
         WHERE window_end <= (SELECT max(exchange_event_ts) FROM ticks) - INTERVAL '5 seconds'""",
+    "stream_bars_retried": f"""{HOUR_BAR} SELECT {BAR}, CAST(window_start AS DATE) AS event_date FROM bars
+        WHERE window_end <= (SELECT max(exchange_event_ts) FROM ticks) - INTERVAL '5 seconds'""",
     "stream_ticker": f"""WITH {DIFFS}, {PAYLOADS}, usable AS (SELECT * FROM parsed
         WHERE (epoch_us(processed_ts) // 1000) - (epoch_us(exchange_event_ts) // 1000) <= 30000), {lifetimes("symbol")}
         SELECT {TICKER} FROM ticker""",

@@ -168,6 +168,15 @@ def silver_scan(spark, d):
     return rows.select("kafka_partition", "kafka_offset")
 
 
+@query
+def silver_scan_stored(spark, d):
+    """The same scan over tickers stored by date; only the folders in the range are read."""
+    path = f"{shared_dir(spark, 'silver')}/ticks"
+    tables.append_ticks(adapters.book_ticker(spark, d), path, "load")
+    rows = time_range(spark.read.parquet(path), "2024-01-10", "2024-01-12", symbol="view")
+    return rows.select("kafka_partition", "kafka_offset")
+
+
 @query
 def recent_rows(spark, d):
     return recent(adapters.book_ticker(spark, d), 600, AS_OF).select("event_id", "exchange_event_ts")
@@ -430,7 +439,7 @@ def cdc_changelog(spark, d):
 
 @query
 def materialized_marts(spark, d):
-    """Bars stored as a table, liquidity as a view over it by name."""
+    """Bars stored as a table that a view exposes by name."""
     out = shared_dir(spark, "models")
     stored = tables.as_table(staging.mart_ohlcv(bars.ohlcv(adapters.book_ticker(spark, d), "6 hours")), out, ["symbol"])
     tables.as_view(stored, "mart_ohlcv")
@@ -485,7 +494,7 @@ def replay_fallback(spark, d):
     """No ticker has lineage, so the ranges come from record times."""
     ticks, records = _scope(spark, d)
     unknown = ticks.withColumns({"kafka_partition": F.lit(-1), "kafka_offset": F.lit(-1).cast("long")})
-    rows, source = replay.replay_rows(unknown, records, _request())
+    rows, _, source = replay.replay_rows(unknown, records, _request())
     return rows.withColumn("offset_source", F.lit(source))
 
 
@@ -499,14 +508,24 @@ def replay_capped(spark, d):
 def replay_stats(spark, d):
     ticks, records = _scope(spark, d)
     request = _request(dry_run=True)
-    rows, source = replay.replay_rows(ticks, records, request)
-    stats = replay.replay_stats(rows, request, source)
+    rows, ranges, source = replay.replay_rows(ticks, records, request)
+    stats = replay.replay_stats(rows, ranges, request, source)
     return stats.withColumn("partitions_replayed", F.array_join("partitions_replayed", ","))
 
 
 # Quality
 
 
+@query
+def replay_stats_for_symbol(spark, d):
+    """A symbol filter leaves a partition without rows; its range still counts as replayed."""
+    ticks, records = _scope(spark, d)
+    request = _request(dry_run=True, symbol="VIEW")
+    rows, ranges, source = replay.replay_rows(ticks, records.where("kafka_partition <> 3 or key not like '%view'"), request)
+    stats = replay.replay_stats(rows, ranges, request, source)
+    return stats.withColumn("partitions_replayed", F.array_join("partitions_replayed", ","))
+
+
 @query
 def dq_report(spark, d):
     """All model rules, with the status rule finding its planted violations."""
@@ -578,6 +597,16 @@ def stream_ohlcv(spark, d):
     return _bars(spark.read.parquet(f"{out}/table"))
 
 
+@query
+def stream_bars_retried(spark, d):
+    """The stream's bars, then all of them once more as a retried batch brings them."""
+    out = shared_dir(spark, "bars")
+    ticks = adapters.book_ticker(spark, d, stream=True)
+    _finish(jobs.start_bars_job(ticks, f"{out}/table", f"{out}/state", "1 hour", available_now=True))
+    tables.append_bars(spark.read.parquet(f"{out}/table").drop("event_date"), f"{out}/table")
+    return _bars(spark.read.parquet(f"{out}/table"))
+
+
 def _ticker_job(spark, d) -> str:
     out = shared_dir(spark, "ticker")
     raw = adapters.raw_payloads(spark, d, stream=True)

@@ -62,9 +62,5 @@ def best(top: Column) -> Column:
     return F.try_element_at(top, F.lit(1))
 
 
-def image_imbalance(bids: Column, asks: Column, depth: int = TOP_DEPTH) -> Column:
-    return imbalance(volume(top_levels(bids, "bid", depth)), volume(top_levels(asks, "ask", depth)))
-
-
 def _present(levels: Column) -> Column:
     return F.coalesce(levels, F.array().cast("array<array<string>>"))

@@ -15,7 +15,6 @@ from tidebook.sources.tables import recent
 # The rule set of the data model.
 STATUSES = ["TRADING", "BREAK", "END_OF_DAY"]
 SAMPLE_MINUTES = 10
-SAMPLE_ROWS = 2000
 REQUIRED = ["exchange", "symbol", "exchange_event_ts"]
 PRICE_BOUNDS = {"best_bid_price": (0, None), "best_ask_price": (0, None)}
 NOT_NULL = {
@@ -181,7 +180,7 @@ def check_recent(
 ) -> DataFrame:
     """Expectations on the recent window: required columns, price bounds, and that there is data.
 
-    The whole window is checked; ``limit=SAMPLE_ROWS`` gives the sampled form.
+    The whole window is checked; ``limit`` gives the sampled form.
     """
     required = [time_column if c == "exchange_event_ts" else c for c in REQUIRED]
     rules = [Rule("not_null", c) for c in required if c in df.columns]

@@ -1,4 +1,4 @@
-"""Recompute bars of a date range and replace exactly those dates."""
+"""Recompute bars of a date range and replace the instrument days that it gives."""
 
 from __future__ import annotations
 
@@ -17,7 +17,7 @@ def check_dates(start: date, end: date) -> None:
     if end <= start:
         raise ValueError(f"end date {end} must be after start date {start}")
     if end - start > timedelta(days=MAX_DAYS):
-        raise ValueError(f"range exceeds {MAX_DAYS} days; split it")
+        raise ValueError(f"a backfill covers at most {MAX_DAYS} days, not {(end - start).days}")
 
 
 def backfill_bars(
@@ -37,5 +37,5 @@ def run_backfill(
     interval: str = "1 minute",
     vwap_mode: str = "tick",
 ) -> None:
-    """Dates are partitions, so other dates of an instrument stay as they are."""
+    """Instrument days with ticks in the range are replaced; a day without ticks keeps what it has."""
     overwrite_partitions(backfill_bars(ticks, start, end, interval, vwap_mode), path, BAR_PARTITIONS)

@@ -2,27 +2,20 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-from functools import reduce
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidebook.functions.clock import as_of_column, instant
 from tidebook.operators.blocks import BLOCK, BLOCK_SPAN, with_block
+from tidebook.session import settle
 from tidebook.sources.tables import time_range
 
 NO_OFFSET = -1  # fixed value: lineage unknown
 OPEN_END = 2**63 - 1  # fixed value: read to the end of the partition
 SILVER, TOPIC_TIME = "silver", "topic_time"
 
-# Ranges come one per topic partition.  Up to _PUSHED become scan filters, up to _BROADCAST
-# a broadcast table of known size, and more than that an ordinary join.
-_PUSHED = 64
-_BROADCAST = 10_000
-# Caps up to this size are a plain top-n; larger ones are cut by block counts.
-_TOP_N = 10_000
-
 
 def default_window(start=None, end=None, as_of=None):
     """``[start, end)``; by default the hour before ``as_of``."""
@@ -31,6 +24,13 @@ def default_window(start=None, end=None, as_of=None):
     return start_col, end_col
 
 
+def default_bounds(spark, start=None, end=None, as_of=None) -> dict:
+    """``default_window`` as values, taken once so that every use of a request sees the same bounds."""
+    low, high = default_window(start, end, as_of)
+    row = spark.range(1).select(low.alias("start"), high.alias("end")).first()
+    return row.asDict()
+
+
 def check_window(start, end) -> None:
     if start >= end:
         raise ValueError(f"replay window start {start} must be before its end {end}")
@@ -79,56 +79,46 @@ def time_offset_ranges(records: DataFrame, start, end) -> DataFrame:
 def replay_ranges(
     ticks: DataFrame, records: DataFrame, start, end, symbol: str | None = None
 ) -> tuple[DataFrame, str]:
-    """Ranges from the ticker table, else from record times, and which of the two was used."""
-    ranges = offset_ranges(ticks, start, end, symbol)
+    """Ranges from the ticker table, else from record times, and which of the two was used.
+
+    They are one row for each topic partition, computed once and kept in the shared folder.
+    """
+    ranges = settle(offset_ranges(ticks, start, end, symbol), "ranges")
     if not ranges.isEmpty():
         return ranges, SILVER
-    return time_offset_ranges(records, start, end), TOPIC_TIME
+    return settle(time_offset_ranges(records, start, end), "ranges"), TOPIC_TIME
 
 
 def read_ranges(records: DataFrame, ranges: DataFrame, symbol: str | None = None) -> DataFrame:
     """Records inside the ranges, optionally of one symbol (the part of the key after ``#``)."""
     records = _of_symbol(records, symbol, F.substring_index("key", "#", -1)) if symbol else records
-    known = ranges.select("kafka_partition", "start_offset", "end_offset").take(_BROADCAST + 1)
     offset = F.col("kafka_offset")
-    if not known:
-        return records.limit(0)
-    if len(known) <= _PUSHED:
-        inside = [
-            (F.col("kafka_partition") == r["kafka_partition"])
-            & (offset >= r["start_offset"])
-            & (offset < r["end_offset"])
-            for r in known
-        ]
-        return records.where(reduce(lambda a, b: a | b, inside))
-    table = ranges
-    if len(known) <= _BROADCAST:
-        table = F.broadcast(
-            records.sparkSession.createDataFrame(known, "kafka_partition int, start_offset long, end_offset long")
-        )
     return (
-        records.join(table, "kafka_partition")
+        records.join(ranges.select("kafka_partition", "start_offset", "end_offset"), "kafka_partition")
         .where((offset >= F.col("start_offset")) & (offset < F.col("end_offset")))
         .select(*records.columns)
     )
 
 
 def first_events(records: DataFrame, n: int, span: int = BLOCK_SPAN) -> DataFrame:
-    """The first ``n`` records in (partition, offset) order, over all partitions."""
-    if n <= _TOP_N:
-        return records.orderBy("kafka_partition", "kafka_offset").limit(n)
-    return _first_by_blocks(records, n, span)
+    """The first ``n`` records in (partition, offset) order, over all partitions.
 
-
-def _first_by_blocks(records: DataFrame, n: int, span: int) -> DataFrame:
-    """Count per block, keep whole blocks below the cap and rank only inside a block."""
+    Whole partitions before the cap are kept, then whole blocks of the partition that reaches it; rows
+    are ranked inside one block only.
+    """
     lane = ["kafka_partition", BLOCK]
     blocked = with_block(records, "kafka_offset", span)
     counts = blocked.groupBy(*lane).agg(F.count(F.lit(1)).alias("_n"))
-    # One summary row per block; the only ordering over all partitions runs on these.
-    before = Window.orderBy(*lane).rowsBetween(Window.unboundedPreceding, -1)
-    kept = counts.select(*lane, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before")).where(
-        F.col("_before") < n
+    earlier = Window.orderBy("kafka_partition").rowsBetween(Window.unboundedPreceding, -1)
+    # One row for each topic partition.
+    starts = counts.groupBy("kafka_partition").agg(F.sum("_n").alias("_all")).select(
+        "kafka_partition", F.coalesce(F.sum("_all").over(earlier), F.lit(0)).alias("_start")
+    )
+    before = Window.partitionBy("kafka_partition").orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
+    kept = (
+        counts.join(starts.where(F.col("_start") < n), "kafka_partition")
+        .select(*lane, (F.col("_start") + F.coalesce(F.sum("_n").over(before), F.lit(0))).alias("_before"))
+        .where(F.col("_before") < n)
     )
     rank = F.row_number().over(Window.partitionBy(*lane).orderBy("kafka_offset"))
     return (
@@ -141,8 +131,8 @@ def _first_by_blocks(records: DataFrame, n: int, span: int) -> DataFrame:
 
 @dataclass(frozen=True)
 class ReplayRequest:
-    start: object
-    end: object
+    start: object = None
+    end: object = None
     symbol: str | None = None
     max_events: int | None = None
     dry_run: bool = False
@@ -150,20 +140,22 @@ class ReplayRequest:
     target_topic: str = "market.raw.orderbook"
 
 
-def replay_rows(ticks: DataFrame, records: DataFrame, request: ReplayRequest) -> tuple[DataFrame, str]:
-    """Records to re-publish for a request, and where their offsets came from."""
+def replay_rows(
+    ticks: DataFrame, records: DataFrame, request: ReplayRequest
+) -> tuple[DataFrame, DataFrame, str]:
+    """Records to re-publish for a request, the ranges they lie in, and where those came from."""
     ranges, source = replay_ranges(ticks, records, request.start, request.end, request.symbol)
     rows = read_ranges(records, ranges, request.symbol)
     if request.max_events is not None:
         rows = first_events(rows, request.max_events)
-    return rows, source
+    return rows, ranges, source
 
 
-def replay_stats(rows: DataFrame, request: ReplayRequest, offset_source: str) -> DataFrame:
-    """One summary row.  Partitions are at most as many as the topic has."""
-    return rows.agg(
-        F.count(F.lit(1)).alias("events_read"),
-        F.sort_array(F.collect_set("kafka_partition")).alias("partitions_replayed"),
+def replay_stats(rows: DataFrame, ranges: DataFrame, request: ReplayRequest, offset_source: str) -> DataFrame:
+    """One summary row; every partition with a range is listed, at most as many as the topic has."""
+    partitions = ranges.agg(F.sort_array(F.collect_set("kafka_partition")).alias("partitions_replayed"))
+    return rows.agg(F.count(F.lit(1)).alias("events_read")).select(
+        "events_read", partitions.scalar().alias("partitions_replayed")
     ).select(
         F.lit(request.dry_run).alias("dry_run"),
         F.lit(request.source_topic).alias("source_topic"),
@@ -179,9 +171,14 @@ def replay_stats(rows: DataFrame, request: ReplayRequest, offset_source: str) ->
 
 
 def run_replay(ticks: DataFrame, records: DataFrame, request: ReplayRequest, publish) -> DataFrame:
-    """Publish the rows unless it is a dry run; ``publish`` takes ``key, value`` rows."""
+    """Publish the rows unless it is a dry run; ``publish`` takes ``key, value`` rows.
+
+    A bound that is not given comes from the default window, the hour before now.
+    """
+    if request.start is None or request.end is None:
+        request = replace(request, **default_bounds(ticks.sparkSession, request.start, request.end))
     check_window(request.start, request.end)
-    rows, source = replay_rows(ticks, records, request)
+    rows, ranges, source = replay_rows(ticks, records, request)
     if not request.dry_run:
         publish(rows.select("key", "value"))
-    return replay_stats(rows, request, source)
+    return replay_stats(rows, ranges, request, source)

@@ -11,6 +11,7 @@ from tidebook.functions.clock import as_of_column, instant
 from tidebook.operators.bars import recent_per_symbol
 from tidebook.plans.marts import lag_rollup
 from tidebook.schemas import OHLCV_BAR, names
+from tidebook.sources.tables import since_date, until_date
 
 # Fixed values of the read interface.
 PRELOADED_BARS = 60
@@ -63,7 +64,7 @@ def recent_bars(
     since = as_of_column(as_of) - F.make_dt_interval(hours=F.lit(hours))
     keys = ("exchange", "symbol") if by_exchange else ("symbol",)
     return (
-        recent_per_symbol(bars.where(F.col("window_start") >= since), n, keys)
+        recent_per_symbol(since_date(bars.where(F.col("window_start") >= since), "window_start", since), n, keys)
         .orderBy("symbol", F.desc("window_start"), "exchange")
         .select(*names(OHLCV_BAR))
     )
@@ -91,9 +92,10 @@ def historical_bars(
         raise ValueError(f"limit must be within 1..{MAX_BARS}")
     rows = bars.where(F.lower("symbol") == symbol.lower())
     if start is not None:
-        rows = rows.where(F.col("window_start") >= instant(start))
+        rows = since_date(rows.where(F.col("window_start") >= instant(start)), "window_start", instant(start))
     if end is not None:
-        rows = rows.where(F.col("window_end") <= instant(end))
+        # A bar starts no later than it ends.
+        rows = until_date(rows.where(F.col("window_end") <= instant(end)), "window_start", instant(end))
     return rows.orderBy(F.desc("window_start"), "exchange").limit(limit).select(*names(OHLCV_BAR))
 
 

@@ -160,15 +160,3 @@ DEAD_LETTER = _struct(
 
 def names(schema: T.StructType) -> list[str]:
     return schema.fieldNames()
-
-
-def conform(df, schema: T.StructType):
-    """Select the columns of ``schema`` in order, cast to its types; absent ones become null."""
-    from pyspark.sql import functions as F
-
-    return df.select(
-        *[
-            (F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
-            for f in schema.fields
-        ]
-    )

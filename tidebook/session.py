@@ -7,8 +7,10 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Settings every job relies on.  Partition counts are left to AQE: start high,
-# let it coalesce, and let it split skewed join partitions.
+# Settings every job relies on.  Batch shuffles start with INITIAL_PARTITIONS unless the caller sets a
+# count; AQE merges small partitions and splits skewed joins.  A streaming query fixes the partition
+# count of its state (spark.sql.shuffle.partitions) with its first checkpoint, so set that before it.
+INITIAL_PARTITIONS = "1000"
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -28,7 +30,10 @@ def build_session(app_name: str, master: str | None = None, extra: dict | None =
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    for key, value in {**SETTINGS, **(extra or {})}.items():
+    settings = {**SETTINGS, **(extra or {})}
+    if "spark.sql.shuffle.partitions" not in settings:
+        settings["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] = INITIAL_PARTITIONS
+    for key, value in settings.items():
         builder = builder.config(key, value)
     ship_package()
     return builder.getOrCreate()
@@ -65,10 +70,12 @@ def settle(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
     Cuts the lineage where later steps read their input several times; the files outlive
-    any lost executor.
+    any lost executor and go when the driver ends.
     """
     path = shared_dir(df.sparkSession, name)
     df.write.parquet(path)
+    target = df.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).deleteOnExit(target)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

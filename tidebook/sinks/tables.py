@@ -2,18 +2,24 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+import re
+import uuid
+from datetime import date, datetime, timezone
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidebook.operators.changes import DELETE, LOG_ORDER, last_changes, to_config
 from tidebook.operators.latest import latest_by
 from tidebook.sinks import files
+from tidebook.sources.tables import TABLES
 
 TICK_PARTITIONS = ["exchange", "symbol", "event_date"]
 BAR_PARTITIONS = ["exchange", "symbol", "event_date"]
 BAR_KEY = ["exchange", "symbol", "window_start"]
 TICK_KEY = ["exchange", "symbol", "last_update_id"]
 _FOLDERS_PER_JOB = 500
+_ASIDE, _STAGED = "_aside", "_compacted"  # hidden from readers
 TARGET_BYTES = 128 * 1024 * 1024  # fixed value: size compaction aims at
 
 
@@ -53,17 +59,33 @@ def append_once(df: DataFrame, path: str, partitions: list[str], key: list[str],
     """Append a streaming batch so that a retried batch adds nothing twice.
 
     A marker is set before the append.  Finding it means an earlier attempt may have written
-    some of the rows, and only then are the stored rows compared by key.
+    some of the rows, and only then are the stored rows compared by key, within the batch's bounds.
     """
-    spark = df.sparkSession
-    first_attempt = files.touch(spark, f"{path}/_batches/{batch}")
-    if not first_attempt and _has_data(spark, path):
-        match = list(dict.fromkeys([*partitions, *key]))
-        stored = spark.read.schema(df.schema).parquet(path).select(*match)
-        df = df.join(stored, match, "left_anti")
+    if not files.touch(df.sparkSession, f"{path}/_batches/{batch}"):
+        df = without_stored(df, path, partitions, key)
     _balanced(df, partitions).write.mode("append").partitionBy(*partitions).parquet(path)
 
 
+def without_stored(df: DataFrame, path: str, partitions: list[str], key: list[str]) -> DataFrame:
+    """The rows whose key is not stored yet.
+
+    The batch's smallest and largest value of its date (else of its offset) are literals on the stored
+    side, so the read is pruned to those partitions or row groups.
+    """
+    spark = df.sparkSession
+    if not _has_data(spark, path):
+        return df
+    match = list(dict.fromkeys([*partitions, *key]))
+    stored = spark.read.schema(df.schema).parquet(path).select(*match)
+    bound = next((c for c in ("event_date", "kafka_offset") if c in match), None)
+    if bound:
+        low, high = df.agg(F.min(bound), F.max(bound)).first()
+        if low is None:
+            return df
+        stored = stored.where(F.col(bound).between(F.lit(low), F.lit(high)))
+    return df.join(stored, match, "left_anti")
+
+
 def _has_data(spark: SparkSession, path: str) -> bool:
     return any(not name.startswith(("_", ".")) for name in files.children(spark, path))
 
@@ -76,37 +98,30 @@ def append_audit(audit: DataFrame, path: str, batch: str) -> None:
     append_once(audit, path, ["symbol"], ["kafka_partition", "kafka_offset"], batch)
 
 
-def upsert_bars(bars: DataFrame, path: str) -> None:
-    """Merge bars by (exchange, symbol, window start) into the day partitions they touch.
+def append_bars(bars: DataFrame, path: str) -> None:
+    """Append bars whose (exchange, symbol, window start) is not stored yet.
 
-    Streamed and backfilled bars share the table, and a retried batch replaces its own rows.
+    A stream emits each bar once, so nothing that is stored is rewritten: a crash loses nothing, a
+    retried batch adds nothing twice, and a bar that a backfill has stored stays.
     """
-    spark = bars.sparkSession
-    new = with_event_date(bars, "window_start").withColumn("_new", F.lit(1))
-    merged = new
-    if _has_data(spark, path):
-        touched = new.select(*BAR_PARTITIONS).distinct()
-        stored = spark.read.schema(new.drop("_new").schema).parquet(path)
-        merged = new.unionByName(
-            stored.join(touched, BAR_PARTITIONS, "left_semi").withColumn("_new", F.lit(0))
-        )
-    newest = Window.partitionBy(*BAR_KEY).orderBy(F.desc("_new"))
-    rows = merged.withColumn("_rn", F.row_number().over(newest)).where("_rn = 1").drop("_rn", "_new")
-    overwrite_partitions(rows, path, BAR_PARTITIONS)
-
-
-def upsert_changes(audit: DataFrame, path: str, version: int) -> None:
-    """Fold a batch of change events into a versioned state table.
-
-    Every version is a complete folder, and a reader takes the newest complete one, so a retried
-    version is simply written again from its predecessor.  Deletions stay as marked rows:
-    an older event that arrives later must not bring the symbol back.
+    rows = without_stored(with_event_date(bars, "window_start"), path, BAR_PARTITIONS, BAR_KEY)
+    _balanced(rows, BAR_PARTITIONS).write.mode("append").partitionBy(*BAR_PARTITIONS).parquet(path)
+
+
+def upsert_changes(audit: DataFrame, path: str) -> None:
+    """Fold a batch of change events into the next version of a state table.
+
+    Every version is a complete folder built on the newest complete one, whatever batch or run wrote
+    that.  The fold keeps the last change of each symbol in log order, so folding a retried batch again
+    changes nothing.  Deletions stay as marked rows: an older event that arrives later must not bring
+    the symbol back.
     """
     spark = audit.sparkSession
     changes = last_changes(audit)
-    earlier = [v for v in complete_versions(spark, path) if v < version]
+    earlier = complete_versions(spark, path)
     if earlier:
         changes = changes.unionByName(spark.read.schema(changes.schema).parquet(_version(path, earlier[-1])))
+    version = earlier[-1] + 1 if earlier else 0
     latest_by(changes, ["symbol"], LOG_ORDER).write.mode("overwrite").parquet(_version(path, version))
     for old in earlier[:-2]:
         files.remove(spark, _version(path, old))
@@ -155,42 +170,124 @@ def small_file_folders(spark: SparkSession, path: str, target_bytes: int = TARGE
     )
 
 
-def compact(spark: SparkSession, path: str, partitions: list[str], target_bytes: int = TARGET_BYTES) -> DataFrame:
-    """Rewrite the partitions that have too many small files; returns what was found before.
+def compact(
+    spark: SparkSession,
+    path: str,
+    partitions: list[str],
+    target_bytes: int = TARGET_BYTES,
+    before: date | None = None,
+) -> DataFrame:
+    """Rewrite closed partitions that have too many small files; returns what was found before.
 
-    Only their folders are read.  New files are staged and swapped per partition by the
-    committer, and a second run finds nothing to do.
+    Runs beside writers.  Only dates before ``before`` (today, UTC) are touched, and only the files that
+    were listed are replaced: the new files are written below a hidden folder, the old folder is set
+    aside by one rename, the new one takes its place, files that arrived meanwhile move back, and the
+    rest is removed.  A run that died leaves a folder set aside, which the next run puts right first.
     """
-    schema = "folder string, files long, bytes long, needed_files long"
-    found = small_file_folders(spark, path, target_bytes).collect()
-    for at in range(0, len(found), _FOLDERS_PER_JOB):
-        plan = found[at : at + _FOLDERS_PER_JOB]
-        _rewrite(spark, path, partitions, spark.createDataFrame(plan, schema), plan)
-    return spark.createDataFrame(found, schema)
-
-
-def _rewrite(spark: SparkSession, path: str, partitions: list[str], plan: DataFrame, found: list) -> None:
+    recover(spark, path)
+    today = datetime.now(timezone.utc).date()
+    if before is not None and before > today:
+        raise ValueError(f"dates from {today} on are still written to")
+    closed = small_file_folders(spark, path, target_bytes)
+    day = F.to_date(F.regexp_extract("folder", r"/event_date=([^/]+)", 1))
+    if "event_date" in partitions:
+        closed = closed.where(day < F.lit(before or today))
+    found = []
+    batch: list = []
+    for row in closed.toLocalIterator():
+        found.append(row)
+        batch.append(row)
+        if len(batch) == _FOLDERS_PER_JOB:
+            _rewrite(spark, path, partitions, batch)
+            batch = []
+    if batch:
+        _rewrite(spark, path, partitions, batch)
+    return spark.createDataFrame(found, "folder string, files long, bytes long, needed_files long")
+
+
+def compact_all(spark: SparkSession, paths: dict[str, str], before: date | None = None) -> dict[str, int]:
+    """Compact each registered table that has a folder in ``paths``; the folders rewritten, by table."""
+    unknown = set(paths) - set(TABLES)
+    if unknown:
+        raise KeyError(f"not registered: {sorted(unknown)}")
+    return {
+        name: compact(spark, path, TABLES[name]["partitions"], before=before).count()
+        for name, path in paths.items()
+        if TABLES[name]["partitions"]
+    }
+
+
+def _rewrite(spark: SparkSession, path: str, partitions: list[str], found: list) -> None:
+    """Compact some folders: one Spark job for the data, then one swap for each folder."""
+    base = _plain(path)
+    names = {r["folder"]: _data_files(spark, r["folder"]) for r in found}
+    staged = f"{path}/{_STAGED}/{uuid.uuid4().hex}"
+    read = [f"{folder}/{name}" for folder, listed in names.items() for name in listed]
+    rows = spark.read.option("basePath", path).parquet(*read)
     file_path, row = F.col("_metadata.file_path"), F.col("_metadata.row_index")
-    rows = spark.read.option("basePath", path).parquet(*[r["folder"] for r in found])
-    columns = rows.columns
-    # The metadata spells paths as escaped URIs, the listing as plain ones.
-    folder = F.url_decode(F.replace(F.regexp_replace(file_path, "/[^/]*$", ""), F.lit("+"), F.lit("%2B")))
-    placed = rows.select("*", _no_scheme(folder).alias("_folder"), F.xxhash64(file_path, row).alias("_h")).join(
-        plan.select(_no_scheme(F.col("folder")).alias("_folder"), F.col("needed_files").alias("_shards")), "_folder"
-    )
-    # About one shard per target file, so that a large partition is not one task.  The shard
-    # follows from the row's position: a recomputed task places its rows as before.
-    shards = sum(r["needed_files"] for r in found)
+    # The shard follows from the row's position: a recomputed task places its rows as before.  About one
+    # shard for each file wanted, so that a large partition is not one task.
+    most, total = max(r["needed_files"] for r in found), sum(r["needed_files"] for r in found)
     (
-        placed.withColumn("_shard", F.pmod("_h", "_shards"))
-        .repartition(shards, *partitions, "_shard")
-        .select(*columns)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*partitions)
-        .parquet(path)
+        rows.select("*", F.pmod(F.xxhash64(file_path, row), F.lit(most)).alias("_shard"))
+        .repartition(total, *partitions, "_shard")
+        .drop("_shard")
+        .write.partitionBy(*partitions)
+        .parquet(staged)
     )
-
-
-def _no_scheme(uri):
-    return F.regexp_replace(uri, "^[a-z0-9]+:/+", "/")
+    for folder, listed in names.items():
+        _swap(spark, path, staged, _plain(folder)[len(base) + 1 :], listed)
+    files.remove(spark, staged)
+
+
+def _swap(spark: SparkSession, path: str, staged: str, part: str, listed: list[str]) -> None:
+    """Put the compacted files of one folder in the place of the ``listed`` ones."""
+    aside = f"{path}/{_ASIDE}/{part}"
+    new = _data_files(spark, f"{staged}/{part}")
+    files.write_text(spark, f"{path}/{_ASIDE}/_manifest/{part}", "\n".join([f"{staged}/{part}", *new, "", *listed]))
+    files.rename(spark, f"{path}/{part}", aside)
+    _finish(spark, path, part)
+
+
+def _finish(spark: SparkSession, path: str, part: str) -> None:
+    """Complete a swap from any point after the old folder was set aside; repeating it changes nothing."""
+    aside, manifest = f"{path}/{_ASIDE}/{part}", f"{path}/{_ASIDE}/_manifest/{part}"
+    new, listed = (half.split("\n") for half in files.read_text(spark, manifest).split("\n\n"))
+    there = set(files.children(spark, f"{path}/{part}"))
+    for name in new[1:]:
+        if name not in there:
+            files.rename(spark, f"{new[0]}/{name}", f"{path}/{part}/{name}")
+    for name in _data_files(spark, aside):
+        if name not in listed:
+            files.rename(spark, f"{aside}/{name}", f"{path}/{part}/{name}")
+    files.remove(spark, aside)
+    files.remove(spark, manifest)
+
+
+def recover(spark: SparkSession, path: str) -> None:
+    """Finish the swaps of a compaction that died, and drop what it had staged."""
+    for part in _manifests(spark, f"{path}/{_ASIDE}/_manifest", ""):
+        if files.exists(spark, f"{path}/{_ASIDE}/{part}"):
+            _finish(spark, path, part)
+        else:
+            files.remove(spark, f"{path}/{_ASIDE}/_manifest/{part}")
+    for run in files.children(spark, f"{path}/{_STAGED}"):
+        files.remove(spark, f"{path}/{_STAGED}/{run}")
+
+
+def _manifests(spark: SparkSession, top: str, below: str) -> list[str]:
+    """Paths of the manifest files, relative to ``top``."""
+    out = []
+    for name in files.children(spark, f"{top}/{below}" if below else top):
+        inner = f"{below}/{name}" if below else name
+        out += [inner] if files.is_file(spark, f"{top}/{inner}") else _manifests(spark, top, inner)
+    return out
+
+
+def _data_files(spark: SparkSession, folder: str) -> list[str]:
+    return [name for name in files.children(spark, folder) if not name.startswith(("_", "."))]
+
+
+def _plain(uri: str) -> str:
+    """A path without scheme or trailing slash; listings and callers spell them differently."""
+    return re.sub("^[a-z0-9]+:/+", "/", uri).rstrip("/")

@@ -7,9 +7,7 @@ from pyspark.sql import functions as F
 
 from tidebook.functions.market import routing_key
 
-# Topic names and the timestamp format of messages (ISO-8601, UTC).
-TICKER_TOPIC = "market.normalized.book_ticker"
-DLQ_TOPIC = "market.dlq"
+# Fixed value: the timestamp format of messages (ISO-8601, UTC).
 ISO_MILLIS = "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"
 
 

@@ -11,6 +11,9 @@ from tidebook.schemas import RAW_RECORD
 
 # A topic reader starts at the oldest record and reads a bounded slice per micro-batch.
 EARLIEST = "earliest"
+# Admission limits of a micro-batch, which bound what one task of the book fold holds.  None lifts them.
+MAX_OFFSETS = 1_000_000
+MAX_FILES = 64
 
 
 def read_topic(
@@ -20,7 +23,7 @@ def read_topic(
     streaming: bool = True,
     starting_offsets: str = EARLIEST,
     ending_offsets: str | None = None,
-    max_offsets_per_trigger: int | None = None,
+    max_offsets_per_trigger: int | None = MAX_OFFSETS,
 ) -> DataFrame:
     """Broker records as ``key, value, topic, kafka_partition, kafka_offset, record_ts``."""
     reader = (spark.readStream if streaming else spark.read).format("kafka")
@@ -46,11 +49,11 @@ def read_topic(
 def offsets_json(topic: str, ranges: list[tuple[int, int, int | None]]) -> tuple[str, str]:
     """``(startingOffsets, endingOffsets)`` option texts for ``(partition, start, end)`` ranges.
 
-    An open end becomes the connector's "latest" marker.
+    An open end, ``None`` or the largest offset, becomes the connector's "latest" marker.
     """
-    latest = -1  # fixed value: the connector's marker for the end of a partition
+    latest, open_end = -1, 2**63 - 1  # fixed values: the connector's marker, and ours
     start = {topic: {str(p): s for p, s, _ in ranges}}
-    end = {topic: {str(p): latest if e is None else e for p, _, e in ranges}}
+    end = {topic: {str(p): latest if e in (None, open_end) else e for p, _, e in ranges}}
     return json.dumps(start), json.dumps(end)
 
 
@@ -59,7 +62,7 @@ def stream_files(
     path: str,
     schema=RAW_RECORD,
     file_format: str = "parquet",
-    max_files_per_trigger: int | None = None,
+    max_files_per_trigger: int | None = MAX_FILES,
 ) -> DataFrame:
     """A folder of files read as a stream, in file-time order."""
     reader = spark.readStream.schema(schema).format(file_format)

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import json
+import logging
+from collections.abc import Callable
 from contextlib import contextmanager
 from dataclasses import dataclass
 
@@ -13,10 +16,12 @@ from pyspark.sql.streaming import StreamingQuery
 from tidebook.functions import market
 from tidebook.operators.bars import ohlcv
 from tidebook.operators.changes import audit_rows, flatten_envelopes, rejected_envelopes
-from tidebook.sinks import tables, topics
+from tidebook.sinks import files, tables, topics
 from tidebook.sources.wire import RAW_TOPIC, WATERMARK
 from tidebook.streaming.ticker import letters, ticker_rows, tickers
 
+_LOG = logging.getLogger(__name__)
+
 # Fixed values of the stream jobs.
 COMMIT_INTERVAL = "60 seconds"
 STATE_TTL_MS = 3_600_000
@@ -59,8 +64,18 @@ def _publish(messages: DataFrame, target: str | None, servers: str | None, batch
         topics.publish_files(messages, target, batch)
 
 
-def _batch_tag(name: str, batch_id: int) -> str:
-    return f"{name}-{batch_id:012d}"
+def _publish_letters(letters_: Callable[[], DataFrame], target: str | None, servers: str | None, batch: str) -> None:
+    """Publish dead letters after everything else; a failing target is logged and never stops the job."""
+    try:
+        _publish(topics.dead_letter_messages(letters_()), target, servers, batch)
+    except Exception:  # whatever the target raises
+        _LOG.exception("dead letters of batch %s were not written to %s", batch, target)
+
+
+def _batch_tag(batch: DataFrame, name: str, checkpoint: str, batch_id: int) -> str:
+    """Name of a batch, with the id of its checkpoint: a new checkpoint counts batches from 0 again."""
+    found = json.loads(files.read_text(batch.sparkSession, f"{checkpoint}/metadata") or "{}")
+    return f"{name}-{found.get('id', 'new')}-{batch_id:012d}"
 
 
 def start_ticker_job(
@@ -84,12 +99,12 @@ def start_ticker_job(
     rows = ticker_rows(raw, processed_ts, late_seconds, ttl_ms=ttl_ms, topic=topic)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        tag = _batch_tag(name, batch_id)
+        tag = _batch_tag(batch, name, checkpoint, batch_id)
         with _held(batch) as held:
             ticks = tickers(held)
             tables.append_ticks(ticks, sinks.silver, tag)
             _publish(topics.to_messages(ticks), sinks.ticker_topic, sinks.servers, tag)
-            _publish(topics.dead_letter_messages(letters(held)), sinks.dead_letters, sinks.servers, tag)
+            _publish_letters(lambda: letters(held), sinks.dead_letters, sinks.servers, tag)
 
     writer = rows.writeStream.queryName(name).option("checkpointLocation", checkpoint).foreachBatch(write)
     return _trigger(writer, available_now, interval).start()
@@ -113,7 +128,7 @@ def start_bars_job(
     def write(batch: DataFrame, batch_id: int) -> None:
         with _held(batch) as held:
             if not held.isEmpty():
-                tables.upsert_bars(held, path)
+                tables.append_bars(held, path)
 
     bars = bars_stream(ticks, interval, watermark)
     writer = (
@@ -141,12 +156,12 @@ def start_changes_job(
     flattened = flatten_envelopes(raw, ingest_ts)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        tag = _batch_tag(name, batch_id)
+        tag = _batch_tag(batch, name, checkpoint, batch_id)
         with _held(batch) as held:
             audit = audit_rows(held)
             tables.append_audit(audit, audit_path, tag)
-            tables.upsert_changes(audit, state_path, batch_id)
-            _publish(topics.dead_letter_messages(rejected_envelopes(held)), dead_letter_path, servers, tag)
+            tables.upsert_changes(audit, state_path)
+            _publish_letters(lambda: rejected_envelopes(held), dead_letter_path, servers, tag)
 
     writer = flattened.writeStream.queryName(name).option("checkpointLocation", checkpoint).foreachBatch(write)
     return _trigger(writer, available_now, interval).start()
