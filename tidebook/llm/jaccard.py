@@ -204,7 +204,8 @@ def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, k: int, percen
 def _open_pairs(regions: DataFrame, nodes: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
     """Pairs of regions whose documents are still in several components, across components, within windows.
 
-    Documents outside the pivot's component meet all documents of the region, block by block.
+    Documents outside the pivot's component meet all documents of the region, block by block.  The pivot
+    has met every document already, so regions of two are done.
     """
     held = regions.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     held = settle(held.select("region", "node", "pivot", "label"), "held")
@@ -215,8 +216,8 @@ def _open_pairs(regions: DataFrame, nodes: DataFrame, labels: DataFrame, percent
         F.min("label").alias("low"),
         F.max("label").alias("high"),
     )
-    state = settle(state.where("low <> high").select("region", "m", "main"), "mixed")
-    rest = held.join(state, "region").withColumn("stray", F.col("label") != F.col("main"))
+    state = settle(state.where("low <> high and m > 2").select("region", "m", "main"), "mixed")
+    rest = held.where("node <> pivot").join(state, "region").withColumn("stray", F.col("label") != F.col("main"))
     strays = settle(rest.groupBy("region").agg(F.sum(F.col("stray").cast("long")).alias("strays")), "strays")
     rest = rest.join(strays, "region").join(nodes.select("node", "n", "sketch"), "node")
     blocks, folds = F.ceil(F.col("m") / BLOCK), F.ceil(F.col("strays") / BLOCK)
@@ -230,21 +231,52 @@ def _open_pairs(regions: DataFrame, nodes: DataFrame, labels: DataFrame, percent
         F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)).alias("block"), F.pmod(spread, folds).alias("fold"),
     )
 
-    def meet(group: pd.DataFrame) -> pd.DataFrame:
-        x, y = group[group["side"] == 0], group[group["side"] == 1]
-        found = []
-        if len(x) and len(y):
-            sx, nx, lx, ix = _sketches(x["sketch"]), x["n"].to_numpy(), x["label"].to_numpy(), x["node"].to_numpy()
-            stray = x["stray"].to_numpy()
-            for sketch, n, label, node in zip(_sketches(y["sketch"]), y["n"], y["label"], y["node"], strict=True):
-                ok = (lx != label) & (~stray | (ix < node))
-                ok[ok] = _may_link(nx[ok], n, sx[ok], sketch, percent)
-                other = ix[ok]
-                found.append(np.stack([np.minimum(other, node), np.maximum(other, node)], axis=1))
-        pairs = np.concatenate(found) if found else np.zeros((0, 2), np.int64)
-        return pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1]})
-
-    return one.union(two).groupBy("region", "block", "fold").applyInPandas(meet, "a long, b long").distinct()
+    keys = ["region", "block", "fold"]
+
+    def meet(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        kept = None
+        for batch in batches:
+            rows = batch if kept is None else pd.concat([kept, batch], ignore_index=True)
+            last = (rows[keys] == rows[keys].iloc[-1]).all(axis=1).to_numpy() if len(rows) else np.zeros(0, bool)
+            kept = rows[last]
+            yield _pairs_within(rows[~last], keys, percent)
+        if kept is not None:
+            yield _pairs_within(kept, keys, percent)
+
+    # A group has at most a block of each side, so that a task holds one batch and one group at most.
+    grouped = one.union(two).repartition(*keys).sortWithinPartitions(*keys, "side")
+    return grouped.mapInPandas(meet, "a long, b long").distinct()
+
+
+def _pairs_within(rows: pd.DataFrame, keys: list[str], percent: int, chunk: int = 1 << 18) -> pd.DataFrame:
+    """Pairs of side 0 with side 1 in each group of sorted rows, those that may link."""
+    found = []
+    if len(rows):
+        start = (rows[keys] != rows[keys].shift()).any(axis=1).to_numpy()
+        group = np.cumsum(start) - 1
+        side = rows["side"].to_numpy()
+        first, n_x = np.flatnonzero(start), np.bincount(group[side == 0], minlength=group[-1] + 1)
+        node, label, n = (rows[c].to_numpy() for c in ("node", "label", "n"))
+        stray, sketch = rows["stray"].to_numpy(), _sketches(rows["sketch"])
+        y_all = np.flatnonzero(side == 1)
+        ends = np.cumsum(n_x[group[y_all]])
+        at = 0
+        while at < len(y_all):
+            done = ends[at - 1] if at else 0
+            stop = max(at + 1, int(np.searchsorted(ends, done + chunk, "right")))
+            y = y_all[at:stop]
+            counts = n_x[group[y]]
+            begin = np.cumsum(counts) - counts
+            x = np.repeat(first[group[y]] - begin, counts) + np.arange(int(counts.sum()))
+            y = np.repeat(y, counts)
+            ok = (label[x] != label[y]) & (~stray[x] | (node[x] < node[y]))
+            ok &= percent * np.maximum(n[x], n[y]) <= 100 * np.minimum(n[x], n[y])
+            x, y = x[ok], y[ok]
+            ok = _may_link(n[x], n[y], sketch[x], sketch[y], percent)
+            found.append(np.stack([np.minimum(node[x[ok]], node[y[ok]]), np.maximum(node[x[ok]], node[y[ok]])], axis=1))
+            at = stop
+    pairs = np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 2), np.int64)
+    return pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1]})
 
 
 def jaccard_join(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
