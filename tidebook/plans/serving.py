@@ -102,7 +102,8 @@ def historical_bars(
 def lag_list(health: DataFrame, as_of=None) -> DataFrame:
     """Health rows ordered by symbol, each beside the roll-up counts."""
     totals = lag_rollup(health, as_of)  # an aggregate without keys: exactly one row
-    counts = {c: totals.select(c).scalar() for c in ("healthy_count", "total_count")}
+    both = totals.select(F.struct("healthy_count", "total_count")).scalar()
+    counts = {c: both[c] for c in ("healthy_count", "total_count")}
     return health.withColumns({**counts, "checked_at": as_of_column(as_of)}).orderBy("symbol", "exchange")
 
 
