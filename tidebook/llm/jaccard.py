@@ -21,7 +21,7 @@ from tidebook.llm.common import bounded_batches, hash_sample, whole_text
 from tidebook.llm.components import components
 from tidebook.session import settle
 
-PARTS = 32  # coordinates of a sketch
+LEAST_BITS = 512  # of a sketch
 SAMPLE_DOCS = 10_000
 SAMPLE_SHARE = 4  # sampled documents that make a shingle frequent
 BLOCK = 512
@@ -117,7 +117,7 @@ def signatures(docs: DataFrame, k: int, percent: int) -> DataFrame:
                 else:
                     order = s
                 anchors.append(order[: prefix_length(len(s), percent)].astype(np.int64) if len(s) else s.astype(np.int64))
-                sketches.append(np.bincount((s >> np.uint64(59)).astype(np.int64), minlength=PARTS).astype(np.int32).tobytes())
+                sketches.append(parity_sketch(s))
             starts = np.concatenate([[0], np.cumsum([len(a) for a in anchors])])
             yield pa.RecordBatch.from_arrays(
                 [
@@ -136,18 +136,44 @@ def signatures(docs: DataFrame, k: int, percent: int) -> DataFrame:
     return settle(made.withColumn("row", F.monotonically_increasing_id()), "signatures")
 
 
-def _may_link(na: np.ndarray, nb: np.ndarray, sketch_a: np.ndarray, sketch_b: np.ndarray, percent: int) -> np.ndarray:
-    """False where lengths or sketches rule a link out: a sketch differs by at most the symmetric difference.
+def parity_sketch(shingles: np.ndarray) -> bytes:
+    """Bits that tell whether an odd number of shingles fell on them; as many bits as shingles, about.
 
-    A link leaves 100 * difference <= (100 - percent) * union and 2 * union = na + nb + difference.
+    A shingle that only one of two sets has flips one bit, so sketches differ in at most as many bits as
+    the sets differ in shingles.  Halves of a sketch combined by xor are the sketch of half the size.
     """
-    size = percent * np.maximum(na, nb) <= 100 * np.minimum(na, nb)
-    apart = np.abs(sketch_a - sketch_b).sum(axis=-1)
-    return size & ((100 + percent) * apart <= (100 - percent) * (na + nb))
+    bits = max(LEAST_BITS, 1 << (max(len(shingles), 1).bit_length() - 1))
+    odd = np.bincount((shingles & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8)).tobytes()
 
 
-def _sketches(column: pd.Series) -> np.ndarray:
-    return np.frombuffer(b"".join(column), dtype=np.int32).reshape(-1, PARTS)
+def _folded(sketch: bytes, size: int) -> np.ndarray:
+    parts = np.frombuffer(sketch, dtype=np.uint64).reshape(-1, size // 8)
+    return np.bitwise_xor.reduce(parts, axis=0)
+
+
+def _may_link(n: np.ndarray, sketch: np.ndarray, x: np.ndarray, y: np.ndarray, percent: int) -> np.ndarray:
+    """False where lengths or sketches rule out a link of rows ``x`` with rows ``y``.
+
+    A link leaves 100 * difference <= (100 - percent) * union and 2 * union = n_x + n_y + difference.
+    """
+    ok = percent * np.maximum(n[x], n[y]) <= 100 * np.minimum(n[x], n[y])
+    inside = np.flatnonzero(ok)
+    if not len(inside):
+        return ok
+    size = np.array([len(s) for s in sketch])
+    common = np.minimum(size[x[inside]], size[y[inside]])
+    for bits in np.unique(common):
+        pair = inside[common == bits]
+        rows, at = np.unique(np.concatenate([x[pair], y[pair]]), return_inverse=True)
+        table = np.stack([_folded(sketch[r], int(bits)) for r in rows])
+        step = max(1, (1 << 22) // int(bits))
+        for k in range(0, len(pair), step):
+            a, b = at[: len(pair)][k : k + step], at[len(pair) :][k : k + step]
+            apart = np.bitwise_count(table[a] ^ table[b]).sum(axis=1, dtype=np.int64)
+            p = pair[k : k + step]
+            ok[p] = (100 + percent) * apart <= (100 - percent) * (n[x[p]] + n[y[p]])
+    return ok
 
 
 def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
@@ -161,9 +187,9 @@ def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, k: int, percen
 
     def window(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for p in batches:
-            if len(p):
-                ok = _may_link(p["n_a"].to_numpy(), p["n_b"].to_numpy(), _sketches(p["sketch_a"]), _sketches(p["sketch_b"]), percent)
-                yield p.loc[ok, ["a", "b"]]
+            n, sketch = (np.concatenate([p[f"{c}_a"].to_numpy(), p[f"{c}_b"].to_numpy()]) for c in ("n", "sketch"))
+            first = np.arange(len(p))
+            yield p.loc[_may_link(n, sketch, first, first + len(p), percent), ["a", "b"]]
 
     near = settle(
         near.select("a", "b", "n_a", "n_b", "sketch_a", "sketch_b").mapInPandas(window, "a long, b long"), "pairs"
@@ -257,7 +283,7 @@ def _pairs_within(rows: pd.DataFrame, keys: list[str], percent: int, chunk: int
         side = rows["side"].to_numpy()
         first, n_x = np.flatnonzero(start), np.bincount(group[side == 0], minlength=group[-1] + 1)
         node, label, n = (rows[c].to_numpy() for c in ("node", "label", "n"))
-        stray, sketch = rows["stray"].to_numpy(), _sketches(rows["sketch"])
+        stray, sketch = rows["stray"].to_numpy(), rows["sketch"].to_numpy()
         y_all = np.flatnonzero(side == 1)
         ends = np.cumsum(n_x[group[y_all]])
         at = 0
@@ -270,9 +296,8 @@ def _pairs_within(rows: pd.DataFrame, keys: list[str], percent: int, chunk: int
             x = np.repeat(first[group[y]] - begin, counts) + np.arange(int(counts.sum()))
             y = np.repeat(y, counts)
             ok = (label[x] != label[y]) & (~stray[x] | (node[x] < node[y]))
-            ok &= percent * np.maximum(n[x], n[y]) <= 100 * np.minimum(n[x], n[y])
             x, y = x[ok], y[ok]
-            ok = _may_link(n[x], n[y], sketch[x], sketch[y], percent)
+            ok = _may_link(n, sketch, x, y, percent)
             found.append(np.stack([np.minimum(node[x[ok]], node[y[ok]]), np.maximum(node[x[ok]], node[y[ok]])], axis=1))
             at = stop
     pairs = np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 2), np.int64)
