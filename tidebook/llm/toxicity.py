@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidebook.llm.common import bounded_batches, hash_sample, whole_text
+from tidebook.session import settle
 
 SAMPLE_ROWS = 10_000
 FACTORS = 4
@@ -62,7 +63,7 @@ def terms(text: Column) -> Column:
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_ROWS) -> DataFrame:
-    """``terms`` and ``toxic`` of about ``sample`` labelled rows at most, chosen by the hash of their id.
+    """doc_id, ``terms`` and ``toxic`` of about ``sample`` labelled rows at most, chosen by the hash of their id.
 
     A document that is labelled more than once counts as toxic if any label says so.
     """
@@ -75,7 +76,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_ROWS)
     chosen = hash_sample(known, F.col("doc_id"), sample)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text(F.col("text")).alias("text"))
     # At most about `sample` pairs of numbers.
-    return texts.join(F.broadcast(chosen), "doc_id").select(terms(F.col("text")).alias("terms"), "toxic")
+    return texts.join(F.broadcast(chosen), "doc_id").select("doc_id", terms(F.col("text")).alias("terms"), "toxic")
 
 
 def train(rows: pd.DataFrame, factors: int = FACTORS, epochs: int = EPOCHS, seed: int = 7) -> Machine:
@@ -134,9 +135,25 @@ def train(rows: pd.DataFrame, factors: int = FACTORS, epochs: int = EPOCHS, seed
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_ROWS) -> Machine:
-    """Train on a bounded sample of labelled rows, which is all that reaches the driver."""
-    bounded_batches(docs.sparkSession)
-    return train(training_rows(docs, labels, sample).toPandas())
+    """Train on a bounded sample of labelled rows.
+
+    Spark counts the sample's terms; the driver gets its rows with those terms only that ``train`` uses.
+    """
+    rows = training_rows(docs, labels, sample).withColumn("row", F.monotonically_increasing_id())
+    rows = settle(rows, "training")
+    n, positive = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum("toxic"), F.lit(0))).first()
+    each = rows.select("row", "toxic", F.explode("terms").alias("term"))
+    seen, toxic = F.col("seen"), F.col("hits")
+    ratio = F.log((toxic + 0.5) / (positive + 1)) - F.log((seen - toxic + 0.5) / (n - positive + 1))
+    useful = each.groupBy("term").agg(F.count(F.lit(1)).alias("seen"), F.sum("toxic").alias("hits")).where(
+        (seen >= MIN_ROWS) & (F.abs(ratio) >= MIN_RATIO)
+    )
+    kept = each.join(useful.select("term"), "term", "left_semi").groupBy("row").agg(
+        F.sort_array(F.collect_set("term")).alias("terms")
+    )
+    none = F.expr("cast(array() as array<bigint>)")
+    chosen = rows.select("row", "doc_id", "toxic").join(kept, "row", "left").orderBy("doc_id", "row")
+    return train(chosen.select("toxic", F.coalesce("terms", none).alias("terms")).toPandas())
 
 
 def with_score(docs: DataFrame, machine: Machine) -> DataFrame:
