@@ -50,7 +50,9 @@ def train_ratio(docs: DataFrame, text_col: str = "text", sample: int = SAMPLE_DO
     """
     text = F.col("_text")
     rows = hash_sample(docs, F.col(text_col), sample).select(whole_text(F.col(text_col)).alias("_text"))
-    rows = rows.select(base_spans(text).alias("base"), located(text, PLAIN).alias("plain"))
+    # A generator of one row keeps the optimizer from searching the text again for each of its words.
+    once = F.struct(base_spans(text).alias("base"), located(text, PLAIN).alias("plain"))
+    rows = rows.select(F.inline(F.array(once)))
     secret = F.transform(
         "base",
         lambda s: F.struct(
