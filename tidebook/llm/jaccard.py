@@ -25,6 +25,7 @@ LEAST_BITS = 512  # of a sketch
 SAMPLE_DOCS = 10_000
 SAMPLE_SHARE = 4  # sampled documents that make a shingle frequent
 BLOCK = 512
+BROADCAST_ROWS = 500_000  # of three numbers each
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -195,7 +196,9 @@ def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, k: int, percen
         near.select("a", "b", "n_a", "n_b", "sketch_a", "sketch_b").mapInPandas(window, "a long, b long"), "pairs"
     )
     wanted = near.select(F.col("a").alias("node")).union(near.select("b")).distinct()
-    wanted = wanted.join(nodes.select("node", "doc_id", "d1"), "node")
+    wanted = settle(wanted.join(nodes.select("node", "doc_id", "d1"), "node"), "wanted")
+    # While they are few, texts need not move to find them; beyond the bound both sides do.
+    few = wanted.count() <= BROADCAST_ROWS
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -209,7 +212,7 @@ def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, k: int, percen
             )
 
     sets = settle(
-        docs.join(wanted, "doc_id").select("node", "text", "d1").mapInArrow(gather, "node long, shingles binary")
+        docs.join(F.broadcast(wanted) if few else wanted, "doc_id").select("node", "text", "d1").mapInArrow(gather, "node long, shingles binary")
         .dropDuplicates(["node"]),
         "sets",
     )
