@@ -56,6 +56,19 @@ def test_reworded_questions(spark):
     assert templates.find_leaks(h.awkward(spark), bench).count() == 0
 
 
+def test_copies_in_any_case(spark):
+    short = "What is the capital of France?"
+    bench = spark.createDataFrame([(1, ITEM), (2, short)], "item_id long, text string")
+    cases = [str.upper, str.title, str.lower, str.swapcase]
+    texts = [f"Before it. {case(item)} After it." for item in (ITEM, short) for case in cases]
+    docs = spark.createDataFrame([*enumerate(texts), (99, "A TRAIN LEAVES BOSTON AND THE CAPITAL OF FRANCE")], "doc_id long, text string")
+    rows = {(r.doc_id, r.item_id): r for r in templates.find_leaks(docs, bench).collect()}
+    assert set(rows) == {(i, 1 if i < 4 else 2) for i in range(8)}
+    assert all(r.coverage == 1.0 and not r.reworded for r in rows.values())
+    kept = {r.doc_id for r in templates.without_leaks(docs, bench).collect()}
+    assert kept == {99}
+
+
 def _plain_links(messages):
     """parent_turn, root_turn and depth of each message, by scanning each conversation."""
 
