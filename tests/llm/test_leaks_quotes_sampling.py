@@ -69,6 +69,35 @@ def test_copies_in_any_case(spark):
     assert kept == {99}
 
 
+def test_names_that_open_sentences_and_short_items(spark):
+    items = [
+        "Tom has 3 apples. Tom eats 2 of them today.",
+        "What is the capital of France?",
+        "Yesterday in the market a farmer met Tom and sold 12 eggs to him, so Tom paid 4 dollars to the farmer.",
+        "Does Tom own 7 red kites?",
+    ]
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    docs = [
+        (10, "Ann has 5 apples. Ann eats 1 of them today.", 0),
+        (11, "Mary Ann has 5 apples. Mary Ann eats 1 of them today.", 0),
+        (12, "It was Mary Ann has 5 apples. Mary Ann eats 1 of them today.", 0),
+        (13, "as in (What is the capital of France?)", 1),
+        (14, 'asked "What is the capital of France?" twice', 1),
+        (15, "number 3 What is the capital of France, so", 1),
+        (16, "he asked Jim What is the capital of France Is it so", 1),
+        (17, "so, what is the capital of New Zealand?", 1),
+        (18, items[2].replace("Tom", "Mary Ann Smith").replace("12", "15"), 2),
+        (19, "Does Mary Ann own 9 red kites?", 3),
+        (20, "Ann has 5 apples. Bob eats 1 of them today.", None),
+        (21, "Where is the capital of France?", None),
+        (22, "Will Tom own 7 red kites?", None),
+    ]
+    table = spark.createDataFrame([d[:2] for d in docs], "doc_id long, text string")
+    rows = {(r.doc_id, r.item_id): r for r in templates.find_leaks(table, bench).collect()}
+    assert set(rows) == {(i, item) for i, _, item in docs if item is not None}
+    assert {i for (i, _), r in rows.items() if not r.reworded} == {13, 14, 15, 16}
+
+
 def _plain_links(messages):
     """parent_turn, root_turn and depth of each message, by scanning each conversation."""
 
