@@ -48,6 +48,27 @@ def test_learns_a_pair_that_no_single_term_shows():
     assert score[0] > 0.5 > max(score[1], score[2])
 
 
+def test_learns_pairs_of_terms_without_a_ratio_of_their_own():
+    for seed in range(3):
+        rng = np.random.default_rng(seed)
+        rows = []
+        for _ in range(4000):
+            a, b = rng.random(2) < 0.5
+            noise = list(rng.integers(1000, 1050, 5))
+            rows.append({"terms": [1] * int(a) + [2] * int(b) + noise, "toxic": int(a != b)})
+        machine = toxicity.train(pd.DataFrame(rows))
+        score = machine.score(np.array([1, 2, 1, 2]), np.array([0, 0, 1, 2]), 4)
+        assert min(score[1], score[2]) > 0.5 > max(score[0], score[3])
+
+
+def test_fit_keeps_terms_of_equal_share(spark):
+    rows = [(i, ("alpha " if i % 2 else "") + ("beta " if i // 2 % 2 else "") + f"w{i % 7}", i % 2 ^ i // 2 % 2) for i in range(2000)]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1, y) for i, _, y in rows], "doc_id long, quality int, toxic int")
+    scored = {r.doc_id: r.predicted for r in toxicity.score_documents(docs, toxicity.fit(docs, labels)).collect()}
+    assert np.mean([scored[i] == y for i, _, y in rows]) > 0.95
+
+
 def test_awkward_rows_and_missing_labels(spark):
     docs = h.awkward(spark)
     labels = spark.createDataFrame(

@@ -17,7 +17,8 @@ FACTORS = 4
 EPOCHS = 10
 MIN_STEPS = 800
 MIN_ROWS = 3
-MIN_RATIO = 0.7
+# Terms of a smaller class log-ratio take part with values that don't depend on it.
+STRONG_RATIO = 0.7
 PREFIXES = (4, 5)
 
 
@@ -82,8 +83,10 @@ def training_rows(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_ROWS)
 def train(rows: pd.DataFrame, factors: int = FACTORS, epochs: int = EPOCHS, seed: int = 7) -> Machine:
     """Fit a machine by adaptive gradient steps on the logistic loss, at least ``MIN_STEPS`` of 256 rows.
 
-    Terms of at least ``MIN_ROWS`` rows whose class log-ratio is at least ``MIN_RATIO`` take part, each
-    with that ratio as its value.  Without both classes the machine is the smoothed share of toxic rows.
+    All terms of at least ``MIN_ROWS`` rows take part.  A term's value is its class log-ratio or, if that
+    is below ``STRONG_RATIO``, the spread of its presence over the rows (half of it in the sum of single
+    terms, whose weight starts at zero), so pairs of terms that tell nothing alone are learned too.
+    Without both classes the machine is the smoothed share of toxic rows.
     """
     y = rows["toxic"].to_numpy(np.float64)
     positive, n = y.sum(), len(y)
@@ -95,22 +98,25 @@ def train(rows: pd.DataFrame, factors: int = FACTORS, epochs: int = EPOCHS, seed
     keys, at = np.unique(np.concatenate(lists), return_inverse=True)
     seen, toxic = np.bincount(at, minlength=len(keys)), np.bincount(at, y[row], len(keys))
     ratio = np.log((toxic + 0.5) / (positive + 1)) - np.log((seen - toxic + 0.5) / (n - positive + 1))
-    useful = (seen >= MIN_ROWS) & (np.abs(ratio) >= MIN_RATIO)
+    useful = seen >= MIN_ROWS
     position = np.cumsum(useful) - 1
     row, at = row[useful[at]], position[at[useful[at]]]
-    keys, x_of = keys[useful], ratio[useful]
+    keys, ratio, seen = keys[useful], ratio[useful], seen[useful]
+    share, strong = seen / (n + 1), np.abs(ratio) >= STRONG_RATIO
+    spread = 2 * np.sqrt(share * (1 - share))
+    x_of, pair_of = np.where(strong, ratio, 0.5 * spread), np.where(strong, ratio, spread)
     starts = np.searchsorted(row, np.arange(n + 1))
 
     rng = np.random.default_rng(seed)
-    w, v = np.full(len(keys), 0.1), rng.normal(0, 0.02, (len(keys), factors))
+    w, v = np.where(strong, 0.1, 0.0), rng.normal(0, 0.02, (len(keys), factors))
     gw, gv, gb = np.full(len(keys), 1e-2), np.full(v.shape, 1e-2), 1e-2
     for _ in range(max(epochs, MIN_STEPS * 256 // n)):
         order = rng.permutation(n)
         for batch in np.array_split(order, max(1, n // 256)):
             parts = [np.arange(starts[i], starts[i + 1]) for i in batch]
             mine, j = np.repeat(np.arange(len(batch)), [len(p) for p in parts]), at[np.concatenate(parts)]
-            x, b = x_of[j], len(batch)
-            vx = v[j] * x[:, None]
+            x, pair, b = x_of[j], pair_of[j], len(batch)
+            vx = v[j] * pair[:, None]
             q = np.stack([np.bincount(mine, vx[:, f], b) for f in range(factors)], axis=1)
             square = np.bincount(mine, (vx * vx).sum(axis=1), b)
             z = bias + np.bincount(mine, w[j] * x, b) + 0.5 * ((q * q).sum(axis=1) - square)
@@ -119,7 +125,7 @@ def train(rows: pd.DataFrame, factors: int = FACTORS, epochs: int = EPOCHS, seed
             dw = np.bincount(inverse, g[mine] * x, len(touched)) / b + 1e-5 * w[touched]
             dv = np.stack(
                 [
-                    np.bincount(inverse, g[mine] * x * (q[mine, f] - vx[:, f]), len(touched)) / b
+                    np.bincount(inverse, g[mine] * pair * (q[mine, f] - vx[:, f]), len(touched)) / b
                     for f in range(factors)
                 ],
                 axis=1,
@@ -131,7 +137,7 @@ def train(rows: pd.DataFrame, factors: int = FACTORS, epochs: int = EPOCHS, seed
             w[touched] -= 0.1 * dw / np.sqrt(gw[touched])
             v[touched] -= 0.02 * dv / np.sqrt(gv[touched])
             bias -= 0.1 * db / np.sqrt(gb)
-    return Machine(keys, w * x_of, v * x_of[:, None], float(bias))
+    return Machine(keys, w * x_of, v * pair_of[:, None], float(bias))
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_ROWS) -> Machine:
@@ -141,13 +147,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_ROWS) -> Machin
     """
     rows = training_rows(docs, labels, sample).withColumn("row", F.monotonically_increasing_id())
     rows = settle(rows, "training")
-    n, positive = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum("toxic"), F.lit(0))).first()
     each = rows.select("row", "toxic", F.explode("terms").alias("term"))
-    seen, toxic = F.col("seen"), F.col("hits")
-    ratio = F.log((toxic + 0.5) / (positive + 1)) - F.log((seen - toxic + 0.5) / (n - positive + 1))
-    useful = each.groupBy("term").agg(F.count(F.lit(1)).alias("seen"), F.sum("toxic").alias("hits")).where(
-        (seen >= MIN_ROWS) & (F.abs(ratio) >= MIN_RATIO)
-    )
+    useful = each.groupBy("term").agg(F.count(F.lit(1)).alias("seen")).where(F.col("seen") >= MIN_ROWS)
     kept = each.join(useful.select("term"), "term", "left_semi").groupBy("row").agg(
         F.sort_array(F.collect_set("term")).alias("terms")
     )
