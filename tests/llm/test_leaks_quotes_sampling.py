@@ -158,6 +158,20 @@ def test_messages_of_other_conversations_and_awkward_rows(spark):
     assert quotes.link_quotes(df.limit(0)).count() == 0
 
 
+def test_query_links_quotes_of_all_levels(spark, folder):
+    rows = [
+        (1, 0, "user", "The first thing"), (1, 1, "user", "> The first thing\nA second thing"),
+        (1, 2, "user", ">> The first thing\nmine"), (1, 3, "user", "> A second thing\n> > The first thing\n>>> nobody said\nok"),
+        (1, 4, "user", "> not said\n>> A second thing\n>>> The first thing\n>>> mine"),
+    ]
+    spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").write.parquet(f"{folder}/conversations.parquet")
+    got = {r.turn: r for r in op2_quotation_links(spark, folder).collect()}
+    assert {t: r.parent_turn for t, r in got.items()} == {0: None, 1: 0, 2: 0, 3: 1, 4: 1}
+    assert {t: (r.root_turn, r.depth) for t, r in got.items()} == {0: (0, 0), 1: (0, 1), 2: (0, 1), 3: (0, 2), 4: (0, 2)}
+    links = {t: [tuple(x) for x in r.links] for t, r in got.items()}
+    assert links == {0: [], 1: [(1, 0, 1)], 2: [(2, 0, 1)], 3: [(1, 1, 1), (2, 0, 1)], 4: [(2, 1, 1), (3, 0, 1), (3, 2, 1)]}
+
+
 def test_query_keeps_every_message(spark):
     assert op2_quotation_links(spark, SF).count() == spark.read.parquet(f"{SF}/conversations.parquet").count()
 

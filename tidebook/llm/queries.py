@@ -14,7 +14,7 @@ def op1_factorization_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_quotation_links(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quotes.link_quotes(table(spark, sf_dir, "conversations"))
+    return quotes.link_quotes(table(spark, sf_dir, "conversations"), deepest=None)
 
 
 def op3_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -52,14 +52,16 @@ def normal(text: Column) -> Column:
     return F.trim(F.regexp_replace(ascii_lower(text), r"[^\p{L}\p{N}]+", " "))
 
 
-def link_quotes(messages: DataFrame) -> DataFrame:
+def link_quotes(messages: DataFrame, deepest: int | None = 1) -> DataFrame:
     """Every message with the message it replies to and its place in the reply order, without quotes.
 
     Returns conv_id, turn, role, text (own lines), parent_turn, root_turn, depth, quote_levels, n_quoted,
-    n_linked and origin_conv.  A quoted line at level 1 links to the latest earlier message of the same
-    conversation that says it; the parent is the message that most of its lines link to, the latest of
-    equals.  Without a link in the conversation, ``origin_conv`` is the smallest conversation that says
-    a quoted line.  Sorting a conversation by root_turn, depth, turn puts every reply after its parent.
+    n_linked, links and origin_conv.  A quoted line of a level up to ``deepest`` (None: any level) links to the
+    latest earlier message of the same conversation that says it; ``links`` has level, origin_turn and
+    n_lines of these, sorted.  The parent is the message that most lines of the shallowest level with links
+    link to, the latest of equals.  Without a link in the conversation, ``origin_conv`` is the smallest
+    conversation that says a quoted line.  Sorting a conversation by root_turn, depth, turn puts every reply
+    after its parent.
 
     Null texts are empty messages; rows with a null conversation or turn link to nothing; of rows with
     the same conversation and turn the greatest (role, text) counts; other columns are not read; an
@@ -75,18 +77,25 @@ def link_quotes(messages: DataFrame) -> DataFrame:
     quotes = placed.select(*_KEY, F.explode("quoted").alias("q")).select(*_KEY, "q.level", "q.hash")
     said = placed.select(*_KEY, F.explode("said").alias("hash"))
 
-    linked = _latest_before(quotes.where("level = 1").select(*_KEY, "hash").distinct(), said)
-    votes = linked.groupBy(*_KEY, "origin").agg(F.count(F.lit(1)).alias("n"))
+    asked = quotes if deepest is None else quotes.where(F.col("level") <= deepest)
+    asked = asked.distinct()
+    linked = asked.join(_latest_before(asked.select(*_KEY, "hash").distinct(), said), [*_KEY, "hash"])
+    votes = linked.groupBy(*_KEY, "level", "origin").agg(F.count(F.lit(1)).alias("n"))
+    # The shallowest level first, then the most lines, then the latest turn.
+    best = F.min(F.struct("level", -F.col("n"), (-F.col("origin")).alias("behind")))["behind"]
+    link = F.struct("level", F.col("origin").alias("origin_turn"), F.col("n").alias("n_lines"))
+    # As many links as the message has quoted lines, at most.
     parents = votes.groupBy(*_KEY).agg(
-        F.max(F.struct("n", "origin"))["origin"].alias("parent_turn"), F.sum("n").alias("n_linked")
+        (-best).alias("parent_turn"), F.sum("n").alias("n_linked"), F.sort_array(F.collect_list(link)).alias("links")
     )
+    parents = settle(parents, "links")
     # Elsewhere: one origin for each line, joined to the distinct quoted lines, both without repeats.
     origins = settle(
         said.groupBy("hash").agg(F.min(F.struct("conv_id", "turn"))["conv_id"].alias("origin_conv")), "origins"
     )
     outside = quotes.join(parents, _KEY, "left_anti").join(origins, "hash").where("origin_conv <> conv_id")
     outside = outside.groupBy(*_KEY).agg(F.min("origin_conv").alias("origin_conv"))
-    order = reply_order(settle(placed.select(*_KEY).join(parents, _KEY, "left"), "parents"))
+    order = reply_order(settle(placed.select(*_KEY).join(parents.drop("links"), _KEY, "left"), "parents"))
     counted = placed.select(
         *_KEY,
         "role",
@@ -94,15 +103,18 @@ def link_quotes(messages: DataFrame) -> DataFrame:
         F.coalesce(F.array_max(F.transform("quoted", lambda q: q["level"])), F.lit(0)).alias("quote_levels"),
         F.size("quoted").alias("n_quoted"),
     )
-    done = counted.join(order, _KEY).join(outside, _KEY, "left")
+    done = counted.join(order, _KEY).join(parents.select(*_KEY, "links"), _KEY, "left").join(outside, _KEY, "left")
+    no_links = F.expr("cast(array() as array<struct<level: int, origin_turn: bigint, n_lines: bigint>>)")
+    done = done.withColumn("links", F.coalesce("links", no_links))
     loose = parsed_lines(whole.where("conv_id is null or turn is null"))
-    columns = [*_KEY, "role", "text", "parent_turn", "root_turn", "depth", "quote_levels", "n_quoted", "n_linked", "origin_conv"]
+    columns = [*_KEY, "role", "text", "parent_turn", "root_turn", "depth", "quote_levels", "n_quoted", "n_linked", "links", "origin_conv"]
     nothing = F.lit(None).cast("long")
     rest = loose.select(
         *_KEY, "role", F.col("own").alias("text"), nothing.alias("parent_turn"), F.col("turn").alias("root_turn"),
         F.lit(0).cast("long").alias("depth"),
         F.coalesce(F.array_max(F.transform("quoted", lambda q: q["level"])), F.lit(0)).alias("quote_levels"),
-        F.size("quoted").alias("n_quoted"), F.lit(0).cast("long").alias("n_linked"), nothing.alias("origin_conv"),
+        F.size("quoted").alias("n_quoted"), F.lit(0).cast("long").alias("n_linked"), no_links.alias("links"),
+        nothing.alias("origin_conv"),
     )
     return done.select(*columns).unionByName(rest)
 
