@@ -172,6 +172,27 @@ def test_query_links_quotes_of_all_levels(spark, folder):
     assert links == {0: [], 1: [(1, 0, 1)], 2: [(2, 0, 1)], 3: [(1, 1, 1), (2, 0, 1)], 4: [(2, 1, 1), (3, 0, 1), (3, 2, 1)]}
 
 
+def test_rewrapped_passages_and_repeated_turns(spark, folder):
+    long = "We should move the whole meeting to the following Tuesday because nobody can come"
+    wrapped = "> We should move the\n> whole meeting to the following\n> Tuesday because nobody can come\nFine"
+    rows = [
+        (1, 0, "user", f"{long}.\nBye"), (1, 1, "user", wrapped), (1, 2, "user", wrapped.replace("> ", ">> ")),
+        (2, 5, "user", wrapped), (2, 6, "user", "one"), (2, 6, "user", "two"), (2, 6, "user", "two"),
+        (2, 7, "user", "> one\nyes"), (2, 7, "user", "> two\nno"),
+    ]
+    spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").write.parquet(f"{folder}/conversations.parquet")
+    out = op2_quotation_links(spark, folder).collect()
+    got = {(r.conv_id, r.turn, r.tie): r for r in out}
+    assert len(out) == len(got) == len(rows)
+    assert got[1, 1, 0].parent_turn == got[1, 2, 0].parent_turn == 0
+    for key, level in {(1, 1, 0): 1, (1, 2, 0): 2, (2, 5, 0): 1}.items():
+        (p,) = got[key].passages
+        assert (p.level, p.origin_conv, p.origin_turn, p.n_windows, p.n_found) == (level, 1, 0, 11, 11)
+    assert got[2, 5, 0].parent_turn is None and got[2, 5, 0].origin_conv == 1
+    assert sorted(got[2, 6, t].text for t in range(3)) == ["one", "two", "two"]
+    assert [got[2, 7, t].parent_turn for t in range(2)] == [6, 6]
+
+
 def test_query_keeps_every_message(spark):
     assert op2_quotation_links(spark, SF).count() == spark.read.parquet(f"{SF}/conversations.parquet").count()
 

@@ -9,17 +9,21 @@ from tidebook.llm.common import ascii_lower, whole_text
 from tidebook.session import settle
 
 LEVELS = r"^(?:[\x20\t]*>)+"
+WINDOW = 4
 _KEY = ["conv_id", "turn"]
+_ONE = [*_KEY, "tie"]
 
 
 def parsed_lines(messages: DataFrame) -> DataFrame:
-    """conv_id, turn, role, own and quoted of every message; ``quoted`` has level and hash of each passage.
+    """conv_id, turn, tie, role, own, quoted, said, passages and told of every message.
 
-    A line's level is the number of > signs that lead it, blanks between them allowed.  Neighbouring
-    lines of one level are one passage.  ``own`` joins the lines of level 0.
+    A line's level is the number of > signs that lead it, blanks between them allowed; ``quoted`` has level
+    and hash of each quoted line, ``said`` the hashes of own lines.  Neighbouring lines of one level are one
+    passage; ``passages`` has level and hashes of the windows of ``WINDOW`` words (of all, if fewer) of the
+    quoted ones, ``told`` the hashes of own ones, wherever lines end.  Lines of fewer words are windows too.  ``own`` joins the lines of level 0.
     """
     text = whole_text(F.col("text"))
-    rows = messages.select("conv_id", "turn", "role", F.split(F.regexp_replace(text, "\r\n?", "\n"), "\n", -1).alias("_lines"))
+    rows = messages.select(*_ONE, "role", F.split(F.regexp_replace(text, "\r\n?", "\n"), "\n", -1).alias("_lines"))
     line = F.transform(
         "_lines",
         lambda t: F.struct(
@@ -29,10 +33,39 @@ def parsed_lines(messages: DataFrame) -> DataFrame:
     )
     rows = rows.withColumn("_levels", line)
     own = F.array_join(F.transform(F.filter("_levels", lambda x: x["level"] == 0), lambda x: x["body"]), "\n")
+    first = F.filter(
+        F.sequence(F.lit(0), F.size("_levels") - 1),
+        lambda i: (i == 0) | (F.get("_levels", i)["level"] != F.get("_levels", i - 1)["level"]),
+    )
+    rows = rows.withColumn("_first", first)
+
+    def passage(start: Column, k: Column) -> Column:
+        end = F.coalesce(F.get("_first", k + 1), F.size("_levels"))
+        lines = F.transform(F.slice("_levels", start + 1, end - start), lambda x: normal(x["body"]))
+        lines = F.filter(lines, lambda t: t != "")
+        short = F.filter(lines, lambda t: F.size(F.split(t, " ")) < WINDOW)
+        words = F.split(F.array_join(lines, " "), " ")
+        return F.struct(F.get("_levels", start)["level"].alias("level"), words.alias("words"), short.alias("short"))
+
+    rows = rows.withColumn(
+        "_passages", F.filter(F.transform("_first", passage), lambda x: F.get(x["words"], F.lit(0)) != "")
+    )
+
+    def windows(x: Column) -> Column:
+        starts = F.sequence(F.lit(1), F.greatest(F.size(x["words"]) - (WINDOW - 1), F.lit(1)))
+        cut = F.transform(starts, lambda i: F.array_join(F.slice(x["words"], i, F.lit(WINDOW)), " "))
+        return F.array_distinct(F.transform(F.concat(cut, x["short"]), lambda t: F.xxhash64(t)))
+
     return rows.select(
-        "conv_id",
-        "turn",
+        *_ONE,
         "role",
+        F.transform(
+            F.filter("_passages", lambda x: x["level"] > 0),
+            lambda x: F.struct(x["level"].alias("level"), windows(x).alias("hashes")),
+        ).alias("passages"),
+        F.array_distinct(
+            F.flatten(F.transform(F.filter("_passages", lambda x: x["level"] == 0), lambda x: windows(x)))
+        ).alias("told"),
         F.regexp_replace(F.trim(own), r"\n{3,}", "\n\n").alias("own"),
         F.transform(
             F.filter("_levels", lambda x: (x["level"] > 0) & (normal(x["body"]) != "")),
@@ -55,68 +88,112 @@ def normal(text: Column) -> Column:
 def link_quotes(messages: DataFrame, deepest: int | None = 1) -> DataFrame:
     """Every message with the message it replies to and its place in the reply order, without quotes.
 
-    Returns conv_id, turn, role, text (own lines), parent_turn, root_turn, depth, quote_levels, n_quoted,
-    n_linked, links and origin_conv.  A quoted line of a level up to ``deepest`` (None: any level) links to the
-    latest earlier message of the same conversation that says it; ``links`` has level, origin_turn and
-    n_lines of these, sorted.  The parent is the message that most lines of the shallowest level with links
-    link to, the latest of equals.  Without a link in the conversation, ``origin_conv`` is the smallest
-    conversation that says a quoted line.  Sorting a conversation by root_turn, depth, turn puts every reply
-    after its parent.
-
-    Null texts are empty messages; rows with a null conversation or turn link to nothing; of rows with
-    the same conversation and turn the greatest (role, text) counts; other columns are not read; an
-    empty table gives no rows.
+    Returns conv_id, turn, tie, role, text (own lines), parent_turn, root_turn, depth, quote_levels, n_quoted,
+    n_linked, links, passages and origin_conv.  A quoted line of a level up to ``deepest`` (None: any level)
+    links to the latest earlier message of the same conversation that says it; ``links`` has level,
+    origin_turn and n_lines of these, sorted.  ``passages`` has, for each quoted passage of these levels of
+    which a window of words is found, level, number, n_windows, n_found and the origin's conversation and turn: the earlier message
+    of the same conversation that most windows come from (the latest of equals), or else of another one.
+    The parent is the message that most lines of the shallowest level with links link to, the latest of
+    equals; at a level where no line links, windows do instead.  Without a parent, ``origin_conv`` is the
+    smallest conversation that a passage comes from.  Sorting a conversation by root_turn, depth, turn puts
+    every reply after its parent.
+
+    Rows with the same conversation and turn are numbered by ``tie`` from 0, the greatest (role, text)
+    first; replies go on from tie 0.  Null texts are empty messages; rows with a null conversation or turn
+    link to nothing; other columns are not read; an empty table gives no rows.
     """
     whole = messages.select(
         F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), "role", "text"
     )
-    placed = whole.where("conv_id is not null and turn is not null").groupBy(*_KEY).agg(
-        F.max(F.struct("role", "text")).alias("m")
-    )
-    placed = settle(parsed_lines(placed.select(*_KEY, "m.role", "m.text")), "messages")
-    quotes = placed.select(*_KEY, F.explode("quoted").alias("q")).select(*_KEY, "q.level", "q.hash")
+    # A group has as many rows as messages claim one turn.
+    same = Window.partitionBy(*_KEY).orderBy(F.struct("role", "text").desc())
+    placed = whole.where("conv_id is not null and turn is not null").withColumn("tie", (F.row_number().over(same) - 1).cast("long"))
+    placed = settle(parsed_lines(placed), "messages")
+    near = F.lit(True) if deepest is None else F.col("level") <= deepest
+    quotes = placed.select(*_ONE, F.explode("quoted").alias("q")).select(*_ONE, "q.level", "q.hash").where(near).distinct()
     said = placed.select(*_KEY, F.explode("said").alias("hash"))
+    linked = quotes.join(_latest_before(quotes.select(*_KEY, "hash").distinct(), said), [*_KEY, "hash"])
+    votes = settle(linked.groupBy(*_ONE, "level", "origin").agg(F.count(F.lit(1)).alias("n")), "links")
 
-    asked = quotes if deepest is None else quotes.where(F.col("level") <= deepest)
-    asked = asked.distinct()
-    linked = asked.join(_latest_before(asked.select(*_KEY, "hash").distinct(), said), [*_KEY, "hash"])
-    votes = linked.groupBy(*_KEY, "level", "origin").agg(F.count(F.lit(1)).alias("n"))
-    # The shallowest level first, then the most lines, then the latest turn.
-    best = F.min(F.struct("level", -F.col("n"), (-F.col("origin")).alias("behind")))["behind"]
+    number = [*_ONE, "level", "number"]
+    quoted = placed.select(*_ONE, F.posexplode("passages").alias("number", "p")).where(
+        F.lit(True) if deepest is None else F.col("p.level") <= deepest
+    )
+    asked = settle(
+        quoted.select(*_ONE, "p.level", "number", F.size("p.hashes").alias("n_windows"), F.explode("p.hashes").alias("hash")), "asked"
+    )
+    told = placed.select(*_KEY, F.explode("told").alias("hash"))
+    inside = asked.join(_latest_before(asked.select(*_KEY, "hash").distinct(), told), [*_KEY, "hash"])
+    # Elsewhere: the first and the last message that tell a window; one of them is of another conversation, if any is.
+    ends = told.groupBy("hash").agg(F.min(F.struct(*_KEY)).alias("low"), F.max(F.struct(*_KEY)).alias("high"))
+    other = F.when(F.col("low.conv_id") != F.col("conv_id"), F.col("low")).when(F.col("high.conv_id") != F.col("conv_id"), F.col("high"))
+    outside = asked.join(settle(ends, "origins"), "hash").withColumn("o", other).where("o is not null")
+    found = (
+        inside.select(*number, "n_windows", F.lit(0).alias("far"), F.col("conv_id").alias("from_conv"), F.col("origin").alias("from_turn"))
+        .unionByName(
+            outside.select(*number, "n_windows", F.lit(1).alias("far"), F.col("o.conv_id").alias("from_conv"), F.col("o.turn").alias("from_turn"))
+        )
+        .groupBy(*number, "n_windows", "far", "from_conv", "from_turn")
+        .agg(F.count(F.lit(1)).alias("n_found"))
+    )
+    # The same conversation first, then the most windows, then the latest turn, or the smallest conversation elsewhere.
+    late = F.when(F.col("far") == 0, -F.col("from_turn")).otherwise(F.lit(0))
+    first = F.min(F.struct("far", (-F.col("n_found")).alias("fewer"), late.alias("late"), "from_conv", "from_turn"))
+    passages = settle(found.groupBy(*number, "n_windows").agg(first.alias("b")), "passages")
+
+    # The shallowest level first, lines before windows, then the most of them, then the latest turn.
+    by_line = votes.select(*_ONE, "level", F.lit(0).alias("kind"), "n", "origin")
+    by_window = passages.where("b.far = 0").select(
+        *_ONE, "level", F.lit(1).alias("kind"), (-F.col("b.fewer")).alias("n"), F.col("b.from_turn").alias("origin")
+    ).groupBy(*_ONE, "level", "kind", "origin").agg(F.sum("n").alias("n"))
+    best = F.min(F.struct("level", "kind", (-F.col("n")).alias("fewer"), (-F.col("origin")).alias("behind")))["behind"]
+    parents = by_line.unionByName(by_window).groupBy(*_ONE).agg((-best).alias("parent_turn"))
+    # As many links and passages as the message has quoted lines, at most.
     link = F.struct("level", F.col("origin").alias("origin_turn"), F.col("n").alias("n_lines"))
-    # As many links as the message has quoted lines, at most.
-    parents = votes.groupBy(*_KEY).agg(
-        (-best).alias("parent_turn"), F.sum("n").alias("n_linked"), F.sort_array(F.collect_list(link)).alias("links")
+    links = votes.groupBy(*_ONE).agg(F.sum("n").alias("n_linked"), F.sort_array(F.collect_list(link)).alias("links"))
+    one = F.struct(
+        "level", "number", "n_windows", (-F.col("b.fewer")).alias("n_found"), F.col("b.from_conv").alias("origin_conv"),
+        F.col("b.from_turn").alias("origin_turn"),
     )
-    parents = settle(parents, "links")
-    # Elsewhere: one origin for each line, joined to the distinct quoted lines, both without repeats.
-    origins = settle(
-        said.groupBy("hash").agg(F.min(F.struct("conv_id", "turn"))["conv_id"].alias("origin_conv")), "origins"
+    traced = passages.groupBy(*_ONE).agg(F.sort_array(F.collect_list(one)).alias("passages"), F.min("b.from_conv").alias("origin_conv"))
+    replies = settle(placed.select(*_ONE).join(parents, _ONE, "left").join(links.select(*_ONE, "n_linked"), _ONE, "left"), "parents")
+    order = settle(reply_order(replies.where("tie = 0").drop("tie")), "order")
+    above = order.select("conv_id", F.col("turn").alias("parent_turn"), F.col("root_turn").alias("up"), F.col("depth").alias("more"))
+    others = replies.where("tie > 0").join(above, ["conv_id", "parent_turn"], "left").select(
+        *_ONE, "parent_turn", F.coalesce("n_linked", F.lit(0)).alias("n_linked"), F.coalesce("up", "turn").alias("root_turn"),
+        F.coalesce(F.col("more") + 1, F.lit(0)).alias("depth"),
+    )
+    order = order.withColumn("tie", F.lit(0).cast("long")).unionByName(others)
+    nothing = F.lit(None).cast("long")
+    no_links = F.expr("cast(array() as array<struct<level: int, origin_turn: bigint, n_lines: bigint>>)")
+    no_passages = F.expr(
+        "cast(array() as array<struct<level: int, number: int, n_windows: int, n_found: bigint, origin_conv: bigint, origin_turn: bigint>>)"
     )
-    outside = quotes.join(parents, _KEY, "left_anti").join(origins, "hash").where("origin_conv <> conv_id")
-    outside = outside.groupBy(*_KEY).agg(F.min("origin_conv").alias("origin_conv"))
-    order = reply_order(settle(placed.select(*_KEY).join(parents.drop("links"), _KEY, "left"), "parents"))
-    counted = placed.select(
-        *_KEY,
+    counted = [
         "role",
         F.col("own").alias("text"),
         F.coalesce(F.array_max(F.transform("quoted", lambda q: q["level"])), F.lit(0)).alias("quote_levels"),
         F.size("quoted").alias("n_quoted"),
+    ]
+    columns = [
+        *_ONE, "role", "text", "parent_turn", "root_turn", "depth", "quote_levels", "n_quoted", "n_linked", "links", "passages",
+        "origin_conv",
+    ]
+    done = placed.select(*_ONE, *counted).join(order, _ONE).join(links.drop("n_linked"), _ONE, "left").join(traced, _ONE, "left")
+    done = done.withColumns(
+        {
+            "links": F.coalesce("links", no_links),
+            "passages": F.coalesce("passages", no_passages),
+            "origin_conv": F.when(F.col("parent_turn").isNull(), F.col("origin_conv")),
+        }
     )
-    done = counted.join(order, _KEY).join(parents.select(*_KEY, "links"), _KEY, "left").join(outside, _KEY, "left")
-    no_links = F.expr("cast(array() as array<struct<level: int, origin_turn: bigint, n_lines: bigint>>)")
-    done = done.withColumn("links", F.coalesce("links", no_links))
-    loose = parsed_lines(whole.where("conv_id is null or turn is null"))
-    columns = [*_KEY, "role", "text", "parent_turn", "root_turn", "depth", "quote_levels", "n_quoted", "n_linked", "links", "origin_conv"]
-    nothing = F.lit(None).cast("long")
+    loose = parsed_lines(whole.where("conv_id is null or turn is null").withColumn("tie", F.lit(0).cast("long")))
     rest = loose.select(
-        *_KEY, "role", F.col("own").alias("text"), nothing.alias("parent_turn"), F.col("turn").alias("root_turn"),
-        F.lit(0).cast("long").alias("depth"),
-        F.coalesce(F.array_max(F.transform("quoted", lambda q: q["level"])), F.lit(0)).alias("quote_levels"),
-        F.size("quoted").alias("n_quoted"), F.lit(0).cast("long").alias("n_linked"), no_links.alias("links"),
-        nothing.alias("origin_conv"),
+        *_ONE, *counted, nothing.alias("parent_turn"), F.col("turn").alias("root_turn"), F.lit(0).cast("long").alias("depth"),
+        F.lit(0).cast("long").alias("n_linked"), no_links.alias("links"), no_passages.alias("passages"), nothing.alias("origin_conv"),
     )
-    return done.select(*columns).unionByName(rest)
+    return done.select(*columns).unionByName(rest.select(*columns))
 
 
 def _latest_before(asked: DataFrame, said: DataFrame, fold: int = 64) -> DataFrame:
