@@ -93,13 +93,16 @@ def train(rows: pd.DataFrame, factors: int = FACTORS, epochs: int = EPOCHS, seed
     bias = float(np.log((positive + 1) / (n - positive + 1)))
     if positive in (0, n):
         return Machine(np.zeros(0, np.int64), np.zeros(0), np.zeros((0, factors)), bias)
-    lists = [np.asarray(t, dtype=np.int64) for t in rows["terms"]]
-    row = np.repeat(np.arange(n), [len(t) for t in lists])
-    keys, at = np.unique(np.concatenate(lists), return_inverse=True)
-    seen, toxic = np.bincount(at, minlength=len(keys)), np.bincount(at, y[row], len(keys))
+    sizes, flat = [len(t) for t in rows["terms"]], np.concatenate([np.asarray(t, dtype=np.int64) for t in rows["terms"]])
+    del rows  # the driver holds each list of terms once
+    row = np.repeat(np.arange(n, dtype=np.int32), sizes)
+    keys = np.unique(flat)
+    at = np.concatenate([np.searchsorted(keys, part).astype(np.int32) for part in np.array_split(flat, 64)])
+    del flat
+    seen, toxic = np.bincount(at, minlength=len(keys)), np.bincount(at[y[row] == 1], minlength=len(keys))
     ratio = np.log((toxic + 0.5) / (positive + 1)) - np.log((seen - toxic + 0.5) / (n - positive + 1))
     useful = seen >= MIN_ROWS
-    position = np.cumsum(useful) - 1
+    position = (np.cumsum(useful) - 1).astype(np.int32)
     row, at = row[useful[at]], position[at[useful[at]]]
     keys, ratio, seen = keys[useful], ratio[useful], seen[useful]
     share, strong = seen / (n + 1), np.abs(ratio) >= STRONG_RATIO
