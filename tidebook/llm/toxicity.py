@@ -157,7 +157,12 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_ROWS) -> Machin
     )
     none = F.expr("cast(array() as array<bigint>)")
     chosen = rows.select("row", "doc_id", "toxic").join(kept, "row", "left").orderBy("doc_id", "row")
-    return train(chosen.select("toxic", F.coalesce("terms", none).alias("terms")).toPandas())
+    got = chosen.select("toxic", F.coalesce("terms", none).alias("terms")).toArrow()
+    lists = []  # views of the arrays that came, no Python numbers
+    for chunk in got["terms"].chunks:
+        values, ends = chunk.values.to_numpy(zero_copy_only=False), chunk.offsets.to_numpy()
+        lists += [values[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
+    return train(pd.DataFrame({"toxic": got["toxic"].to_pandas(), "terms": pd.Series(lists, dtype=object)}))
 
 
 def with_score(docs: DataFrame, machine: Machine) -> DataFrame:
