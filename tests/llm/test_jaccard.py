@@ -64,6 +64,72 @@ def test_chains_of_copies_equal_all_pairs(spark, monkeypatch, k, percent):
     assert _rows(jaccard.jaccard_join(df, k, percent)) == plain_components(docs, k, percent)
 
 
+def _star(rng, members, edits):
+    """Copies of one text with ``edits`` words changed: most pairs lie just beyond the radius from each other."""
+    base = [f"b{i}" for i in range(120)]
+    out = []
+    for _ in range(members):
+        text = list(base)
+        for at in rng.sample(range(120), edits):
+            text[at] = f"x{rng.randrange(10**6)}"
+        out.append(" ".join(text))
+    return out
+
+
+@pytest.mark.parametrize("block,depth", [(256, 6), (20, 6), (20, 0)])
+def test_star_of_copies_beyond_the_radius(spark, monkeypatch, block, depth):
+    """Exact, and leaves return at most a forest a group however many pairs are near."""
+    monkeypatch.setattr(jaccard, "BLOCK", block)
+    monkeypatch.setattr(jaccard, "DEPTH", depth)
+    made = []
+    leaf = jaccard._leaf_links
+
+    def counted(cells, *rest):
+        out = leaf(cells, *rest)
+        made.append((out.count(), cells.count()))
+        return out
+
+    monkeypatch.setattr(jaccard, "_leaf_links", counted)
+    rng = random.Random(11)
+    docs = list(enumerate([*_star(rng, 90, 2), *_star(rng, 60, 3), *_star(rng, 30, 1)]))
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    assert _rows(jaccard.jaccard_join(df)) == plain_components(docs, 5, 80)
+    if block == 256:
+        links, held = made[0]
+        assert links <= held
+
+
+def test_voronoi_cells_keep_every_link(spark):
+    """Two linked documents are together in some cell, whatever the pivots."""
+    rng = random.Random(4)
+    sets = [set(rng.sample(range(40), rng.randrange(8, 25))) for _ in range(60)]
+    sets += [s ^ set(rng.sample(range(40), 2)) for s in sets]
+
+    def far(a, b):
+        return 1 - len(sets[a] & sets[b]) / len(sets[a] | sets[b])
+
+    pivots = [0, 25, 50, 99]
+    large = spark.createDataFrame([(1, i, len(sets)) for i in range(len(sets))], "cell long, node long, m long")
+    met = spark.createDataFrame(
+        [(p, i, far(p, i)) for p in pivots for i in range(len(sets)) if i != p], "a long, b long, distance double"
+    )
+    chosen = spark.createDataFrame([(1, p) for p in pivots], "cell long, pivot long")
+    for radius in (0.1, 0.3):
+        cells = {}
+        for r in jaccard._children(large, chosen, met, radius).collect():
+            cells.setdefault(r.child, set()).add(r.node)
+        linked = [(a, b) for a in range(len(sets)) for b in range(a) if far(a, b) <= radius]
+        assert linked and all(any({a, b} <= c for c in cells.values()) for a, b in linked)
+
+
+def test_one_of_each_keeps_different_texts_of_one_id(spark):
+    text = " ".join(f"w{i}" for i in range(50))
+    rows = [(1, text), (1, text), (1, "quite another text of six words"), (2, text + " tail"), (3, ""), (3, None), (None, text)]
+    df = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = sorted((str(r.doc_id), r.text or "") for r in jaccard.one_of_each(df).collect())
+    assert got == sorted([("1", text), ("1", "quite another text of six words"), ("3", ""), ("None", text)])
+
+
 def test_awkward(spark):
     docs = h.awkward(spark)
     assert _rows(jaccard.jaccard_join(docs)) == plain_components(h.AWKWARD, 5, 80)

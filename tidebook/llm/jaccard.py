@@ -1,20 +1,23 @@
-"""Exact Jaccard join of shingle sets in metric space: regions, pivots, windows, recursion, verification.
+"""Exact Jaccard join of shingle sets in metric space: regions, pivots, windows, recursion, exact leaves.
 
 Jaccard distance is a metric, but unrelated documents are all at distance 1: cells around a few chosen
 documents would hold everything.  The outermost regions are therefore the anchors, shingles of which
-linked documents must share one; within a region a pivot document makes cells by exact distance, cells
-that the pivot has joined into one component are done, and the rest joins recursively in blocks, where
-windows on Lipschitz sketches discard pairs before sets are compared.
+linked documents must share one.  In a region one document is the pivot and every other is compared with
+it.  Regions whose documents are then in several components split into Voronoi cells around pivots of
+different components; documents within the window of the triangle inequality are replicated, and documents
+far from all pivots make a cell of their own.  Cells split again until they are small, in one component, or
+would not shrink.  Leaves compare exact sets and return a spanning forest of their links, never all pairs.
 """
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidebook.llm.common import bounded_batches, hash_sample, whole_text
@@ -24,8 +27,11 @@ from tidebook.session import settle
 LEAST_BITS = 512  # of a sketch
 SAMPLE_DOCS = 10_000
 SAMPLE_SHARE = 4  # sampled documents that make a shingle frequent
-BLOCK = 512
-BROADCAST_ROWS = 500_000  # of three numbers each
+BLOCK = 256  # documents of each side of a leaf
+PIVOTS = 4  # of a split
+DEPTH = 6  # splits before a cell becomes a leaf whatever its size
+SHRINK = 0.7  # a split must leave no cell larger than this share
+_SLACK = 1e-9  # windows are a little wider than the arithmetic of doubles is wrong
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -100,7 +106,7 @@ def frequent_shingles(docs: DataFrame, k: int, sample: int = SAMPLE_DOCS) -> np.
 
 
 def signatures(docs: DataFrame, k: int, percent: int) -> DataFrame:
-    """row, doc_id, n, digest of the set (d1, d2), anchors and sketch of every document, written once."""
+    """row, doc_id, t (hash of the text), n, digest of the set (d1, d2), anchors and sketch of every document, written once."""
     shared = docs.sparkSession.sparkContext.broadcast(frequent_shingles(docs, k))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -123,17 +129,18 @@ def signatures(docs: DataFrame, k: int, percent: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
+                    batch.column(2),
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array(d1, pa.int64()),
                     pa.array(d2, pa.int64()),
                     pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(np.concatenate(anchors), pa.int64())),
                     pa.array(sketches, pa.binary()),
                 ],
-                ["doc_id", "n", "d1", "d2", "anchors", "sketch"],
+                ["doc_id", "t", "n", "d1", "d2", "anchors", "sketch"],
             )
 
-    schema = "doc_id long, n long, d1 long, d2 long, anchors array<long>, sketch binary"
-    made = docs.select("doc_id", "text").mapInArrow(run, schema)
+    schema = "doc_id long, t long, n long, d1 long, d2 long, anchors array<long>, sketch binary"
+    made = docs.select("doc_id", "text", F.xxhash64("text").alias("t")).mapInArrow(run, schema)
     return settle(made.withColumn("row", F.monotonically_increasing_id()), "signatures")
 
 
@@ -177,10 +184,57 @@ def _may_link(n: np.ndarray, sketch: np.ndarray, x: np.ndarray, y: np.ndarray, p
     return ok
 
 
-def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
-    """Those of the distinct ``pairs`` (a, b) that link, written once.
+def exact_sets(wanted: DataFrame, nodes: DataFrame, docs: DataFrame, k: int, name: str) -> DataFrame:
+    """node and its set, hashed again from the texts of just the ``wanted`` nodes, written once."""
+    wanted = settle(wanted.distinct().join(nodes.select("node", "doc_id", "d1"), "node"), "wanted")
 
-    Pairs that pass the windows get both sets, hashed again from the texts of just these documents.
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = shingle_sets(_texts(batch, 1), k)
+            digest = batch.column(2).to_pylist()
+            same = [int(_mix(s).sum(dtype=np.uint64).astype(np.int64)) == d for s, d in zip(sets, digest, strict=True)]
+            keep = np.flatnonzero(same)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(pa.array(keep)), pa.array([sets[i].tobytes() for i in keep], pa.binary())],
+                ["node", "shingles"],
+            )
+
+    texts = docs.join(wanted, "doc_id").select("node", "text", "d1")
+    return settle(texts.mapInArrow(gather, "node long, shingles binary").dropDuplicates(["node"]), name)
+
+
+def _shared(x: bytes, y: bytes) -> tuple[int, int]:
+    """Size of the intersection and of the union of two sets."""
+    x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+    shared = len(np.intersect1d(x, y, assume_unique=True))
+    return shared, len(x) + len(y) - shared
+
+
+def distances(pairs: DataFrame, sets: DataFrame, percent: int, name: str) -> DataFrame:
+    """a, b, exact Jaccard distance and whether they link, of distinct ``pairs``; written once."""
+    a, b = (sets.select(F.col("node").alias(x), F.col("shingles").alias(f"set_{x}")) for x in "ab")
+
+    def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for p in batches:
+            found = [_shared(x, y) for x, y in zip(p["set_a"], p["set_b"], strict=True)]
+            yield pd.DataFrame(
+                {
+                    "a": p["a"],
+                    "b": p["b"],
+                    "distance": [1 - shared / union for shared, union in found],
+                    "linked": [100 * shared >= percent * union for shared, union in found],
+                }
+            )
+
+    schema = "a long, b long, distance double, linked boolean"
+    met = pairs.join(a, "a").join(b, "b").select("a", "b", "set_a", "set_b")
+    return settle(met.mapInPandas(measure, schema), name)
+
+
+def pivot_links(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
+    """Those of the distinct ``pairs`` (a, b) of a region's pivot and its documents that link, written once.
+
+    Windows on lengths and sketches discard pairs before sets are made.
     """
     facts = nodes.select("node", "n", "sketch")
     a, b = (facts.select(*[F.col(c).alias(f"{c}_{x}") for c in facts.columns]) for x in "ab")
@@ -195,72 +249,75 @@ def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, k: int, percen
     near = settle(
         near.select("a", "b", "n_a", "n_b", "sketch_a", "sketch_b").mapInPandas(window, "a long, b long"), "pairs"
     )
-    wanted = near.select(F.col("a").alias("node")).union(near.select("b")).distinct()
-    wanted = settle(wanted.join(nodes.select("node", "doc_id", "d1"), "node"), "wanted")
-    # While they are few, texts need not move to find them; beyond the bound both sides do.
-    few = wanted.count() <= BROADCAST_ROWS
+    sets = exact_sets(near.select(F.col("a").alias("node")).union(near.select("b")), nodes, docs, k, "sets")
+    return distances(near, sets, percent, "links").where("linked").select("a", "b")
 
-    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = shingle_sets(_texts(batch, 1), k)
-            digest = batch.column(2).to_pylist()
-            same = [int(_mix(s).sum(dtype=np.uint64).astype(np.int64)) == d for s, d in zip(sets, digest, strict=True)]
-            keep = np.flatnonzero(same)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(pa.array(keep)), pa.array([sets[i].tobytes() for i in keep], pa.binary())],
-                ["node", "shingles"],
-            )
 
-    sets = settle(
-        docs.join(F.broadcast(wanted) if few else wanted, "doc_id").select("node", "text", "d1").mapInArrow(gather, "node long, shingles binary")
-        .dropDuplicates(["node"]),
-        "sets",
+def _open(cells: DataFrame, labels: DataFrame) -> DataFrame:
+    """cell, node, label, m and main (the commonest label) of cells whose documents are in several components."""
+    held = cells.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    held = settle(held.select("cell", "node", "label"), "held")
+    by_label = held.groupBy("cell", "label").agg(F.count(F.lit(1)).alias("m"))
+    state = by_label.groupBy("cell").agg(
+        F.sum("m").alias("m"), F.max_by("label", F.struct("m", "label")).alias("main"), F.count(F.lit(1)).alias("labels")
     )
-    a, b = (sets.select(F.col("node").alias(x), F.col("shingles").alias(f"set_{x}")) for x in "ab")
+    return settle(held.join(state.where("labels > 1").drop("labels"), "cell"), "open")
 
-    def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for p in batches:
-            ok = []
-            for x, y in zip(p["set_a"], p["set_b"], strict=True):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                shared = len(np.intersect1d(x, y, assume_unique=True))
-                ok.append(100 * shared >= percent * (len(x) + len(y) - shared))
-            yield p.loc[ok, ["a", "b"]]
 
-    return settle(near.join(a, "a").join(b, "b").select("a", "b", "set_a", "set_b").mapInPandas(compare, "a long, b long"), "links")
+def _split_pivots(large: DataFrame) -> DataFrame:
+    """cell and pivot: documents of ``PIVOTS`` different components of each cell, chosen by hash."""
+    spread = F.xxhash64("label", F.lit(2))
+    one = large.groupBy("cell", "label").agg(F.min_by("node", F.xxhash64("node", F.lit(3))).alias("pivot"))
+    first = Window.partitionBy("cell").orderBy(spread, "label")
+    return one.withColumn("at", F.row_number().over(first)).where(F.col("at") <= PIVOTS).select("cell", "pivot")
 
 
-def _open_pairs(regions: DataFrame, nodes: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
-    """Pairs of regions whose documents are still in several components, across components, within windows.
+def _children(large: DataFrame, pivots: DataFrame, met: DataFrame, radius: float) -> DataFrame:
+    """cell, node, child and m: the cells of a split with their replicated documents.
 
-    Documents outside the pivot's component meet all documents of the region, block by block.  The pivot
-    has met every document already, so regions of two are done.
+    Let x be linked to y, and q its nearest pivot at distance a < 1 - radius: then y is nearer than 1 to q, and at
+    most 2 * radius farther from q than from its own nearest pivot.  Otherwise y is at 1 - 2 * radius or more from
+    all pivots.  So y is in the cell of each pivot of the first kind, and in the far cell in the second case.
     """
-    held = regions.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    held = settle(held.select("region", "node", "pivot", "label"), "held")
-    # The pivot is a row of its region, so its label is the maximum over one row.
-    state = held.groupBy("region").agg(
-        F.count(F.lit(1)).alias("m"),
-        F.max(F.when(F.col("node") == F.col("pivot"), F.col("label"))).alias("main"),
-        F.min("label").alias("low"),
-        F.max("label").alias("high"),
+    near = large.select("cell", "node", "m").join(pivots, "cell")
+    near = near.join(met.select(F.col("a").alias("pivot"), F.col("b").alias("node"), "distance"), ["pivot", "node"], "left")
+    near = near.withColumn("distance", F.when(F.col("pivot") == F.col("node"), 0.0).otherwise(F.col("distance")))
+    by_node = near.groupBy("cell", "node").agg(
+        F.max("m").alias("m"),
+        F.min("distance").alias("least"),
+        F.collect_list(F.struct("pivot", "distance")).alias("seen"),
     )
-    state = settle(state.where("low <> high and m > 2").select("region", "m", "main"), "mixed")
-    rest = held.where("node <> pivot").join(state, "region").withColumn("stray", F.col("label") != F.col("main"))
-    strays = settle(rest.groupBy("region").agg(F.sum(F.col("stray").cast("long")).alias("strays")), "strays")
-    rest = rest.join(strays, "region").join(nodes.select("node", "n", "sketch"), "node")
+    within = F.filter(
+        "seen",
+        lambda s: (s["distance"] <= F.col("least") + 2 * radius + _SLACK) & (s["distance"] < 1),
+    )
+    far = F.when(F.col("least") >= 1 - 2 * radius - _SLACK, F.array(F.lit(-1).cast("long"))).otherwise(
+        F.expr("cast(array() as array<bigint>)")
+    )
+    cells = F.concat(F.transform(within, lambda s: s["pivot"]), far)
+    return by_node.select("cell", "node", "m", F.explode(cells).alias("child"))
+
+
+def _leaf_links(cells: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """A spanning forest of the links of each leaf; leaves beyond ``BLOCK`` documents meet block by block.
+
+    Documents outside the commonest component meet all documents of the leaf.
+    """
+    rest = cells.withColumn("stray", F.col("label") != F.col("main"))
+    strays = rest.groupBy("cell").agg(F.sum(F.col("stray").cast("long")).alias("strays"))
+    rest = rest.join(strays, "cell")
     blocks, folds = F.ceil(F.col("m") / BLOCK), F.ceil(F.col("strays") / BLOCK)
     spread = F.xxhash64("node")
+    columns = ["cell", "node", "label", "stray"]
     one = rest.select(
-        "region", "node", "label", "stray", "n", "sketch", F.lit(0).alias("side"),
+        *columns, F.lit(0).alias("side"),
         F.pmod(spread, blocks).alias("block"), F.explode(F.sequence(F.lit(0).cast("long"), folds - 1)).alias("fold"),
     )
     two = rest.where("stray").select(
-        "region", "node", "label", "stray", "n", "sketch", F.lit(1).alias("side"),
+        *columns, F.lit(1).alias("side"),
         F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)).alias("block"), F.pmod(spread, folds).alias("fold"),
     )
-
-    keys = ["region", "block", "fold"]
+    keys = ["cell", "block", "fold"]
 
     def meet(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         kept = None
@@ -268,53 +325,80 @@ def _open_pairs(regions: DataFrame, nodes: DataFrame, labels: DataFrame, percent
             rows = batch if kept is None else pd.concat([kept, batch], ignore_index=True)
             last = (rows[keys] == rows[keys].iloc[-1]).all(axis=1).to_numpy() if len(rows) else np.zeros(0, bool)
             kept = rows[last]
-            yield _pairs_within(rows[~last], keys, percent)
+            yield _forests(rows[~last], keys, percent)
         if kept is not None:
-            yield _pairs_within(kept, keys, percent)
-
-    # A group has at most a block of each side, so that a task holds one batch and one group at most.
-    grouped = one.union(two).repartition(*keys).sortWithinPartitions(*keys, "side")
-    return grouped.mapInPandas(meet, "a long, b long").distinct()
+            yield _forests(kept, keys, percent)
 
+    # A group has about a block of each side, so that a task holds one batch and one group at most.
+    facts = nodes.select("node", "n", "sketch").join(sets, "node")
+    grouped = one.union(two).join(facts, "node").repartition(*keys).sortWithinPartitions(*keys, "side")
+    return settle(grouped.select(*columns, "side", "block", "fold", "n", "sketch", "shingles").mapInPandas(meet, "a long, b long"), "links")
 
-def _pairs_within(rows: pd.DataFrame, keys: list[str], percent: int, chunk: int = 1 << 18) -> pd.DataFrame:
-    """Pairs of side 0 with side 1 in each group of sorted rows, those that may link."""
-    found = []
-    if len(rows):
-        start = (rows[keys] != rows[keys].shift()).any(axis=1).to_numpy()
-        group = np.cumsum(start) - 1
-        side = rows["side"].to_numpy()
-        first, n_x = np.flatnonzero(start), np.bincount(group[side == 0], minlength=group[-1] + 1)
-        node, label, n = (rows[c].to_numpy() for c in ("node", "label", "n"))
-        stray, sketch = rows["stray"].to_numpy(), rows["sketch"].to_numpy()
-        y_all = np.flatnonzero(side == 1)
-        ends = np.cumsum(n_x[group[y_all]])
-        at = 0
-        while at < len(y_all):
-            done = ends[at - 1] if at else 0
-            stop = max(at + 1, int(np.searchsorted(ends, done + chunk, "right")))
-            y = y_all[at:stop]
-            counts = n_x[group[y]]
-            begin = np.cumsum(counts) - counts
-            x = np.repeat(first[group[y]] - begin, counts) + np.arange(int(counts.sum()))
-            y = np.repeat(y, counts)
-            ok = (label[x] != label[y]) & (~stray[x] | (node[x] < node[y]))
-            x, y = x[ok], y[ok]
-            ok = _may_link(n, sketch, x, y, percent)
-            found.append(np.stack([np.minimum(node[x[ok]], node[y[ok]]), np.maximum(node[x[ok]], node[y[ok]])], axis=1))
-            at = stop
-    pairs = np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 2), np.int64)
-    return pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1]})
 
+def _forests(rows: pd.DataFrame, keys: list[str], percent: int) -> pd.DataFrame:
+    """Links of side 0 with side 1 in each group of sorted rows; at most as many as a group has documents, less one."""
+    found: list[tuple[int, int]] = []
+    for _, group in rows.groupby(keys, sort=False) if len(rows) else ():
+        found += _forest(group.reset_index(drop=True), percent)
+    return pd.DataFrame(found, columns=["a", "b"], dtype=np.int64)
 
-def jaccard_join(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
-    """doc_id, n_shingles and component_id of every row: components of 100 * intersection >= percent * union.
 
-    ``component_id`` is the smallest doc_id of the component.  A null or empty text, or one without
-    words, has no shingles and is its own component; so is a row without id, whose component is null.
-    Equal sets, also of repeated rows, are one node.  Only doc_id and text are read; an empty table gives
-    no rows.  Sets are compared as 64-bit hashes; no pair of documents is left out.
-    """
+def _forest(group: pd.DataFrame, percent: int) -> list[tuple[int, int]]:
+    node, label, n, side = (group[c].to_numpy() for c in ("node", "label", "n", "side"))
+    sketch, sets, stray = group["sketch"].to_numpy(), group["shingles"].to_numpy(), group["stray"].to_numpy()
+    # Components inside the group: documents of one label are joined from the start.
+    root = pd.factorize(label)[0]
+    found = []
+    left = np.flatnonzero(side == 0)
+    for y in np.flatnonzero(side == 1):
+        x = left[(root[left] != root[y]) & (~stray[left] | (node[left] < node[y]))]
+        if not len(x):
+            continue
+        x = x[_may_link(n, sketch, x, np.full(len(x), y), percent)]
+        for one in x:
+            if root[one] == root[y]:
+                continue
+            shared, union = _shared(sets[one], sets[y])
+            if 100 * shared >= percent * union:
+                found.append((min(node[one], node[y]), max(node[one], node[y])))
+                root[root == root[one]] = root[y]
+    return found
+
+
+def _open_links(regions: DataFrame, labels: DataFrame, links: DataFrame, nodes: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
+    """All links that regions with several components lack, up to a spanning forest."""
+    radius = 1 - percent / 100
+    cells = _open(regions.select(F.col("region").alias("cell"), "node"), labels)
+    sets = exact_sets(cells.select("node"), nodes, docs, k, "open-sets")
+    leaves = []
+    for depth in range(DEPTH + 1):
+        ready = F.lit(True) if depth == DEPTH else F.col("m") <= BLOCK
+        leaves.append(cells.where(ready))
+        large = cells.where(~ready)
+        if large.isEmpty():
+            break
+        pivots = settle(_split_pivots(large), "pivots")
+        pairs = large.select("cell", "node").join(pivots, "cell").where("node <> pivot")
+        pairs = pairs.select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
+        met = distances(pairs, sets, percent, "distances")
+        links = links.union(met.where("linked").select("a", "b"))
+        labels = components(links)
+        split = settle(_children(large, pivots, met, radius), "split")
+        sizes = split.groupBy("cell", "child").agg(F.count(F.lit(1)).alias("child_m"), F.max("m").alias("m"))
+        stuck = sizes.groupBy("cell").agg((F.max("child_m") > SHRINK * F.max("m")).alias("stuck"))
+        stuck = settle(stuck, "stuck")
+        # A cell that would not shrink is a leaf as it is, with the labels that its pivots have given it.
+        whole = large.select("cell", "node").join(stuck.where("stuck"), "cell")
+        leaves.append(_open(whole.select("cell", "node"), labels))
+        parts = split.join(stuck.where("not stuck"), "cell").select(F.xxhash64("cell", "child", F.lit(depth)).alias("cell"), "node")
+        cells = _open(parts, labels)
+    # Labels have grown since the first leaves were set apart.
+    waiting = functools.reduce(DataFrame.unionByName, [leaf.select("cell", "node") for leaf in leaves])
+    return links.union(_leaf_links(_open(waiting, labels), nodes, sets, percent))
+
+
+def joined_rows(docs: DataFrame, k: int, percent: int) -> DataFrame:
+    """doc_id, t, n, label and component_id of every row; rows of one component share ``label``, null where it is none."""
     bounded_batches(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text(F.col("text")).alias("text"))
     rows = signatures(docs, k, percent)
@@ -336,33 +420,45 @@ def jaccard_join(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     regions = settle(held.join(regions, "region"), "members")
 
     pivots = regions.where("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
-    links = verified(pivots, nodes, docs, k, percent)
+    links = pivot_links(pivots, nodes, docs, k, percent)
+    links = _open_links(regions, components(links), links, nodes, docs, k, percent)
     labels = components(links)
-    more = verified(_open_pairs(regions, nodes, labels, percent), nodes, docs, k, percent)
-    labels = components(links.union(more))
 
     labelled = nodes.select("node", "smallest", "d1", "d2").join(labels, "node", "left").withColumn(
         "label", F.coalesce("label", "node")
     )
     labelled = settle(labelled, "labelled")
     smallest = settle(labelled.groupBy("label").agg(F.min("smallest").alias("component_id")), "smallest")
-    sets = settle(labelled.join(smallest, "label").select("d1", "d2", "component_id"), "sets")
-    known = able.select("doc_id", "n", "d1", "d2").join(sets, ["d1", "d2"]).select(
-        "doc_id", F.col("n").alias("n_shingles"), "component_id"
-    )
+    sets = settle(labelled.join(smallest, "label").select("d1", "d2", "label", "component_id"), "sets")
+    known = able.select("doc_id", "t", "n", "d1", "d2").join(sets, ["d1", "d2"]).drop("d1", "d2")
     alone = rows.where("n = 0 or doc_id is null").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id")
+        "doc_id", "t", "n", F.lit(None).cast("long").alias("label"), F.col("doc_id").alias("component_id")
     )
-    return known.union(alone)
+    return known.unionByName(alone)
+
+
+def jaccard_join(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
+    """doc_id, n_shingles and component_id of every row: components of 100 * intersection >= percent * union.
+
+    ``component_id`` is the smallest doc_id of the component.  A null or empty text, or one without
+    words, has no shingles and is its own component; so is a row without id, whose component is null.
+    Equal sets, also of repeated rows, are one node.  Only doc_id and text are read; an empty table gives
+    no rows.  Sets are compared as 64-bit hashes; no pair of documents is left out.
+    """
+    return joined_rows(docs, k, percent).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
 
 
 def one_of_each(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
-    """doc_id, text, lang, source and n_chars of the document with the smallest id in each component.
+    """doc_id, text, lang, source and n_chars of one document of each component: the least id, then the least text hash.
 
-    Rows that repeat an id count once (the least by text and the other columns); rows without id stay.
+    Documents without shingles and rows without id stay; rows with the same id and text count once (the least by
+    the other columns), different texts under one id are told apart.
     """
     columns = ["text", "lang", "source", "n_chars"]
-    docs = docs.select("doc_id", *columns)
-    kept = jaccard_join(docs, k, percent).where("doc_id = component_id").select("doc_id").distinct()
-    first = docs.join(kept, "doc_id", "left_semi").groupBy("doc_id").agg(F.min(F.struct(*columns)).alias("d"))
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *columns)
+    rows = joined_rows(docs, k, percent).where("doc_id is not null")
+    chosen = rows.where("label is not null").groupBy("label").agg(F.min(F.struct("doc_id", "t")).alias("k"))
+    kept = chosen.select("k.doc_id", "k.t").union(rows.where("label is null").select("doc_id", "t")).distinct()
+    hashed = docs.withColumn("t", F.xxhash64(whole_text(F.col("text"))))
+    first = hashed.join(kept, ["doc_id", "t"], "left_semi").groupBy("doc_id", "t").agg(F.min(F.struct(*columns)).alias("d"))
     return first.select("doc_id", *[f"d.{c}" for c in columns]).unionByName(docs.where("doc_id is null"))
