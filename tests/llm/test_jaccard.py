@@ -76,7 +76,7 @@ def _star(rng, members, edits):
     return out
 
 
-@pytest.mark.parametrize("block,depth", [(256, 6), (20, 6), (20, 0)])
+@pytest.mark.parametrize("block,depth", [(256, 6), (20, 6)])
 def test_star_of_copies_beyond_the_radius(spark, monkeypatch, block, depth):
     """Exact, and leaves return at most a forest a group however many pairs are near."""
     monkeypatch.setattr(jaccard, "BLOCK", block)

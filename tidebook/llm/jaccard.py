@@ -5,14 +5,14 @@ documents would hold everything.  The outermost regions are therefore the anchor
 linked documents must share one.  In a region one document is the pivot and every other is compared with
 it.  Regions whose documents are then in several components split into Voronoi cells around pivots of
 different components; documents within the window of the triangle inequality are replicated, and documents
-far from all pivots make a cell of their own.  Cells split again until they are small, in one component, or
-would not shrink.  Leaves compare exact sets and return a spanning forest of their links, never all pairs.
+far from all pivots make a cell of their own.  Cells get new pivots while that at least halves the documents
+outside the commonest component.  What is left are leaves, which compare exact sets block by block and return
+a spanning forest of their links, never all pairs.
 """
 
 from __future__ import annotations
 
-import functools
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -29,7 +29,7 @@ SAMPLE_DOCS = 10_000
 SAMPLE_SHARE = 4  # sampled documents that make a shingle frequent
 BLOCK = 256  # documents of each side of a leaf
 PIVOTS = 4  # of a split
-DEPTH = 6  # splits before a cell becomes a leaf whatever its size
+DEPTH = 6  # rounds of pivots before cells become leaves whatever their size
 SHRINK = 0.7  # a split must leave no cell larger than this share
 _SLACK = 1e-9  # windows are a little wider than the arithmetic of doubles is wrong
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
@@ -210,9 +210,12 @@ def _shared(x: bytes, y: bytes) -> tuple[int, int]:
     return shared, len(x) + len(y) - shared
 
 
-def distances(pairs: DataFrame, sets: DataFrame, percent: int, name: str) -> DataFrame:
-    """a, b, exact Jaccard distance and whether they link, of distinct ``pairs``; written once."""
-    a, b = (sets.select(F.col("node").alias(x), F.col("shingles").alias(f"set_{x}")) for x in "ab")
+def distances(pairs: DataFrame, pivots: DataFrame, sets: DataFrame, percent: int, name: str) -> DataFrame:
+    """a, b, exact Jaccard distance and whether they link, of distinct ``pairs``; written once.
+
+    ``pivots`` holds the sets of a, ``sets`` those of b; Spark broadcasts the former while its file is small.
+    """
+    a, b = (t.select(F.col("node").alias(x), F.col("shingles").alias(f"set_{x}")) for t, x in ((pivots, "a"), (sets, "b")))
 
     def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for p in batches:
@@ -227,7 +230,7 @@ def distances(pairs: DataFrame, sets: DataFrame, percent: int, name: str) -> Dat
             )
 
     schema = "a long, b long, distance double, linked boolean"
-    met = pairs.join(a, "a").join(b, "b").select("a", "b", "set_a", "set_b")
+    met = pairs.join(b, "b").join(a, "a").select("a", "b", "set_a", "set_b")
     return settle(met.mapInPandas(measure, schema), name)
 
 
@@ -250,7 +253,7 @@ def pivot_links(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, k: int, per
         near.select("a", "b", "n_a", "n_b", "sketch_a", "sketch_b").mapInPandas(window, "a long, b long"), "pairs"
     )
     sets = exact_sets(near.select(F.col("a").alias("node")).union(near.select("b")), nodes, docs, k, "sets")
-    return distances(near, sets, percent, "links").where("linked").select("a", "b")
+    return distances(near, sets, sets, percent, "links").where("linked").select("a", "b")
 
 
 def _open(cells: DataFrame, labels: DataFrame) -> DataFrame:
@@ -298,11 +301,8 @@ def _children(large: DataFrame, pivots: DataFrame, met: DataFrame, radius: float
     return by_node.select("cell", "node", "m", F.explode(cells).alias("child"))
 
 
-def _leaf_links(cells: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """A spanning forest of the links of each leaf; leaves beyond ``BLOCK`` documents meet block by block.
-
-    Documents outside the commonest component meet all documents of the leaf.
-    """
+def _blocks(cells: DataFrame) -> DataFrame:
+    """Documents outside the commonest component (side 1) dealt out to meet all documents of the cell (side 0) by blocks."""
     rest = cells.withColumn("stray", F.col("label") != F.col("main"))
     strays = rest.groupBy("cell").agg(F.sum(F.col("stray").cast("long")).alias("strays"))
     rest = rest.join(strays, "cell")
@@ -317,84 +317,118 @@ def _leaf_links(cells: DataFrame, nodes: DataFrame, sets: DataFrame, percent: in
         *columns, F.lit(1).alias("side"),
         F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)).alias("block"), F.pmod(spread, folds).alias("fold"),
     )
-    keys = ["cell", "block", "fold"]
+    return one.union(two)
+
+
+_KEYS = ["cell", "block", "fold"]
+
+
+def _by_group(rows: DataFrame, work: Callable[[pd.DataFrame], pd.DataFrame], schema: str) -> DataFrame:
+    """``work`` on each group of blocks; a group has about a block of each side, a task one batch and one group at most."""
 
-    def meet(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         kept = None
         for batch in batches:
             rows = batch if kept is None else pd.concat([kept, batch], ignore_index=True)
-            last = (rows[keys] == rows[keys].iloc[-1]).all(axis=1).to_numpy() if len(rows) else np.zeros(0, bool)
+            last = (rows[_KEYS] == rows[_KEYS].iloc[-1]).all(axis=1).to_numpy() if len(rows) else np.zeros(0, bool)
             kept = rows[last]
-            yield _forests(rows[~last], keys, percent)
-        if kept is not None:
-            yield _forests(kept, keys, percent)
+            for _, group in rows[~last].groupby(_KEYS, sort=False):
+                yield work(group.reset_index(drop=True))
+        if kept is not None and len(kept):
+            yield work(kept.reset_index(drop=True))
 
-    # A group has about a block of each side, so that a task holds one batch and one group at most.
-    facts = nodes.select("node", "n", "sketch").join(sets, "node")
-    grouped = one.union(two).join(facts, "node").repartition(*keys).sortWithinPartitions(*keys, "side")
-    return settle(grouped.select(*columns, "side", "block", "fold", "n", "sketch", "shingles").mapInPandas(meet, "a long, b long"), "links")
+    return rows.repartition(*_KEYS).sortWithinPartitions(*_KEYS, "side").mapInPandas(run, schema)
 
 
-def _forests(rows: pd.DataFrame, keys: list[str], percent: int) -> pd.DataFrame:
-    """Links of side 0 with side 1 in each group of sorted rows; at most as many as a group has documents, less one."""
-    found: list[tuple[int, int]] = []
-    for _, group in rows.groupby(keys, sort=False) if len(rows) else ():
-        found += _forest(group.reset_index(drop=True), percent)
-    return pd.DataFrame(found, columns=["a", "b"], dtype=np.int64)
+def _candidates(group: pd.DataFrame, percent: int) -> Iterator[tuple[np.ndarray, int]]:
+    """Places of side 0 that a document of side 1 may link with, and the place of that document."""
+    node, label, n, side = (group[c].to_numpy() for c in ("node", "label", "n", "side"))
+    sketch, stray = group["sketch"].to_numpy(), group["stray"].to_numpy()
+    left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+    step = max(1, (1 << 18) // max(1, len(left)))
+    for k in range(0, len(right), step):
+        y = np.repeat(right[k : k + step], len(left))
+        x = np.tile(left, len(right[k : k + step]))
+        ok = (label[x] != label[y]) & (~stray[x] | (node[x] < node[y]))
+        x, y = x[ok], y[ok]
+        ok = _may_link(n, sketch, x, y, percent)
+        x, y = x[ok], y[ok]
+        starts = np.flatnonzero(np.diff(y, prepend=-1))
+        for a, b in zip(starts, np.append(starts[1:], len(y))[: len(starts)], strict=True):
+            yield x[a:b], int(y[a])
+
+
+def _within_windows(cells: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """cell and node of the documents that have a possible partner in their cell; lengths and sketches rule out the others."""
+
+    def pick(group: pd.DataFrame) -> pd.DataFrame:
+        seen = np.zeros(len(group), bool)
+        for x, y in _candidates(group, percent):
+            seen[x] = seen[y] = True
+        return group.loc[seen, ["cell", "node"]].drop_duplicates()
 
+    facts = nodes.select("node", "n", "sketch")
+    picked = _by_group(_blocks(cells).join(facts, "node"), pick, "cell long, node long")
+    return settle(picked.distinct(), "within")
 
-def _forest(group: pd.DataFrame, percent: int) -> list[tuple[int, int]]:
-    node, label, n, side = (group[c].to_numpy() for c in ("node", "label", "n", "side"))
-    sketch, sets, stray = group["sketch"].to_numpy(), group["shingles"].to_numpy(), group["stray"].to_numpy()
-    # Components inside the group: documents of one label are joined from the start.
-    root = pd.factorize(label)[0]
-    found = []
-    left = np.flatnonzero(side == 0)
-    for y in np.flatnonzero(side == 1):
-        x = left[(root[left] != root[y]) & (~stray[left] | (node[left] < node[y]))]
-        if not len(x):
-            continue
-        x = x[_may_link(n, sketch, x, np.full(len(x), y), percent)]
-        for one in x:
-            if root[one] == root[y]:
-                continue
-            shared, union = _shared(sets[one], sets[y])
-            if 100 * shared >= percent * union:
-                found.append((min(node[one], node[y]), max(node[one], node[y])))
-                root[root == root[one]] = root[y]
-    return found
+
+def _leaf_links(cells: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """A spanning forest of the links of each leaf; leaves beyond ``BLOCK`` documents meet block by block."""
+
+    def forest(group: pd.DataFrame) -> pd.DataFrame:
+        node, held = group["node"].to_numpy(), group["shingles"].to_numpy()
+        # Components inside the group: documents of one label are joined from the start.
+        root, found = pd.factorize(group["label"])[0], []
+        for near, y in _candidates(group, percent):
+            for x in near:
+                if root[x] == root[y]:
+                    continue
+                shared, union = _shared(held[x], held[y])
+                if 100 * shared >= percent * union:
+                    found.append((min(node[x], node[y]), max(node[x], node[y])))
+                    root[root == root[x]] = root[y]
+        return pd.DataFrame(found, columns=["a", "b"], dtype=np.int64)
+
+    facts = nodes.select("node", "n", "sketch").join(sets, "node")
+    return settle(_by_group(_blocks(cells).join(facts, "node"), forest, "a long, b long"), "links")
 
 
 def _open_links(regions: DataFrame, labels: DataFrame, links: DataFrame, nodes: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
     """All links that regions with several components lack, up to a spanning forest."""
     radius = 1 - percent / 100
     cells = _open(regions.select(F.col("region").alias("cell"), "node"), labels)
+    cells = _open(_within_windows(cells, nodes, percent), labels)
     sets = exact_sets(cells.select("node"), nodes, docs, k, "open-sets")
-    leaves = []
-    for depth in range(DEPTH + 1):
-        ready = F.lit(True) if depth == DEPTH else F.col("m") <= BLOCK
-        leaves.append(cells.where(ready))
-        large = cells.where(~ready)
-        if large.isEmpty():
+    before = None
+    for depth in range(DEPTH):
+        strays = cells.where("label <> main").count()
+        if not strays or (before is not None and strays > before / 2):
             break
-        pivots = settle(_split_pivots(large), "pivots")
-        pairs = large.select("cell", "node").join(pivots, "cell").where("node <> pivot")
-        pairs = pairs.select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
-        met = distances(pairs, sets, percent, "distances")
+        before = strays
+        pivots = settle(_split_pivots(cells), "pivots")
+        ends = settle(pivots.select(F.col("pivot").alias("node")).distinct().join(sets, "node"), "pivot-sets")
+        # Small cells need no cells of their own, only the links that join their components.
+        large = F.col("m") > BLOCK
+        own = labels.select(F.col("node").alias("pivot"), F.col("label").alias("own")).join(pivots, "pivot", "right")
+        pairs = cells.join(own, "cell").where(
+            (F.col("node") != F.col("pivot")) & (large | (F.col("label") != F.coalesce("own", "pivot")))
+        )
+        pairs = settle(pairs.select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct(), "pairs")
+        met = distances(pairs, ends, sets, percent, "distances")
         links = links.union(met.where("linked").select("a", "b"))
         labels = components(links)
-        split = settle(_children(large, pivots, met, radius), "split")
+        split = settle(_children(cells.where(large), pivots, met, radius), "split")
         sizes = split.groupBy("cell", "child").agg(F.count(F.lit(1)).alias("child_m"), F.max("m").alias("m"))
-        stuck = sizes.groupBy("cell").agg((F.max("child_m") > SHRINK * F.max("m")).alias("stuck"))
-        stuck = settle(stuck, "stuck")
-        # A cell that would not shrink is a leaf as it is, with the labels that its pivots have given it.
-        whole = large.select("cell", "node").join(stuck.where("stuck"), "cell")
-        leaves.append(_open(whole.select("cell", "node"), labels))
-        parts = split.join(stuck.where("not stuck"), "cell").select(F.xxhash64("cell", "child", F.lit(depth)).alias("cell"), "node")
-        cells = _open(parts, labels)
-    # Labels have grown since the first leaves were set apart.
-    waiting = functools.reduce(DataFrame.unionByName, [leaf.select("cell", "node") for leaf in leaves])
-    return links.union(_leaf_links(_open(waiting, labels), nodes, sets, percent))
+        # A cell that would not shrink stays as it is; its new labels close it or leave fewer strays.
+        whole = sizes.groupBy("cell").agg((F.max("child_m") > SHRINK * F.max("m")).alias("whole"))
+        whole = settle(whole, "whole")
+        parts = split.join(whole.where("not whole"), "cell").select(
+            F.xxhash64("cell", "child", F.lit(depth)).alias("cell"), "node"
+        )
+        kept = cells.join(whole.where("not whole"), "cell", "left_anti").select("cell", "node")
+        cells = _open(kept.union(parts), labels)
+    cells = _open(_within_windows(cells, nodes, percent), labels)
+    return links.union(_leaf_links(cells, nodes, sets, percent))
 
 
 def joined_rows(docs: DataFrame, k: int, percent: int) -> DataFrame:
