@@ -551,3 +551,19 @@ ORACLES: dict[str, str] = {
     "overwrite_idempotent": f"{HOUR_BAR} SELECT {BAR}, CAST(window_start AS DATE) AS event_date FROM bars",
     "compaction": f"WITH {TICKS} SELECT *, 0 AS small_folders FROM ticks",
 }
+# Streams equal their batch twins.
+ORACLES["stream_snapshot_init"] = ORACLES["snapshot_init"]
+ORACLES["stream_gap_report"] = ORACLES["gap_report"]
+# Merged bars add exact decimals, whose sum is the same in any order, and are compared to nine places.
+_WEIGHTED = "sum(mid_price * best_bid_qty)"
+_EXACT_WEIGHTED = "CAST(sum(CAST(mid_price * best_bid_qty AS DECIMAL(38, 10))) AS DOUBLE)"
+ORACLES["bar_merge"] = ORACLES["stream_bar_merge"] = (
+    ORACLES["ohlcv_bars"].replace(_WEIGHTED, _EXACT_WEIGHTED).replace(", 6) AS", ", 9) AS")
+)
+ORACLES["stream_changelog"] = f"""WITH {CDC}, steps AS (SELECT *, lag(op) OVER log AS old_op, lag(status) OVER log AS old_status,
+        lag(tick_size) OVER log AS old_size FROM audit WINDOW log AS (PARTITION BY symbol ORDER BY k)),
+    known AS (SELECT *, coalesce(old_op, 'd') <> 'd' AS held FROM steps)
+    SELECT symbol, k AS source_lsn, 'INSERT' AS row_kind, status, tick_size FROM known WHERE op <> 'd' AND NOT held
+    UNION ALL SELECT symbol, k, 'UPDATE_BEFORE', old_status, old_size FROM known WHERE op <> 'd' AND held
+    UNION ALL SELECT symbol, k, 'UPDATE_AFTER', status, tick_size FROM known WHERE op <> 'd' AND held
+    UNION ALL SELECT symbol, k, 'DELETE', old_status, old_size FROM known WHERE op = 'd' AND held"""

@@ -81,6 +81,25 @@ def bar_rollup(spark, d):
     return _bars(bars.roll_up(bars.ohlcv(adapters.book_ticker(spark, d)), "6 hours"))
 
 
+def _parts(spark, d, interval):
+    """Partial bars of ticks dealt into seven parts by a hash."""
+    ticks = adapters.book_ticker(spark, d).withColumn("part", F.pmod(F.xxhash64("event_id"), F.lit(7)))
+    return bars.partial_bars(ticks, interval, by=("part",))
+
+
+def _exact_bars(df: DataFrame) -> DataFrame:
+    """Sums of merged bars are exact, so they are compared to more places than sums of doubles."""
+    return df.withColumns({c: F.round(c, 9) for c in ("volume", "vwap")})
+
+
+@query
+def bar_merge(spark, d):
+    """Parts merged in two groups, then those: the same bars as from all ticks at once."""
+    half = (F.col("part") % 2).alias("half")
+    groups = bars.merge_partials(_parts(spark, d, "1 hour").select("*", half), by=("half",))
+    return _exact_bars(bars.finish_bars(bars.merge_partials(groups)))
+
+
 # Staging and marts
 
 
@@ -597,6 +616,27 @@ def stream_ohlcv(spark, d):
     return _bars(spark.read.parquet(f"{out}/table"))
 
 
+@query
+def stream_bar_merge(spark, d):
+    """Partial bars appended by a stream without a watermark, merged when read."""
+    out = shared_dir(spark, "partials")
+    ticks = adapters.book_ticker(spark, d, stream=True)
+    _finish(jobs.start_partial_bars_job(ticks, f"{out}/table", f"{out}/state", "1 hour", available_now=True))
+    return _exact_bars(bars.finish_bars(bars.merge_partials(spark.read.parquet(f"{out}/table"))))
+
+
+@query
+def stream_changelog(spark, d):
+    """Old images from state, for envelopes that have none."""
+    out = shared_dir(spark, "changelog")
+    raw = adapters.keyed_envelopes(spark, d, stream=True)
+    _finish(jobs.start_changelog_job(raw, f"{out}/table", f"{out}/state", available_now=True))
+    image = F.from_json("image_json", "status string, tick_size double")
+    return spark.read.parquet(f"{out}/table").select("symbol", "source_lsn", "row_kind", image.alias("_i")).select(
+        "symbol", "source_lsn", "row_kind", "_i.status", "_i.tick_size"
+    )
+
+
 @query
 def stream_bars_retried(spark, d):
     """The stream's bars, then all of them once more as a retried batch brings them."""
@@ -634,6 +674,31 @@ def stream_topic(spark, d):
     return messages.select("key", body.alias("_b")).select("key", "_b.*")
 
 
+def _synced_job(spark, d) -> str:
+    """Snapshots are a table of their own, read as a second stream beside the diffs."""
+    out = shared_dir(spark, "synced")
+    images = adapters.depth_snapshots(spark, d)
+    images.write.parquet(f"{out}/images")
+    snapshots = spark.readStream.schema(images.schema).parquet(f"{out}/images")
+    diffs = adapters.sequenced_diffs(spark, d, stream=True)
+    _finish(
+        jobs.start_synced_job(
+            diffs, snapshots, f"{out}/silver", f"{out}/gaps", f"{out}/state", available_now=True
+        )
+    )
+    return out
+
+
+@query
+def stream_snapshot_init(spark, d):
+    return _ticker(spark.read.parquet(f"{_synced_job(spark, d)}/silver").drop("event_date"))
+
+
+@query
+def stream_gap_report(spark, d):
+    return spark.read.parquet(f"{_synced_job(spark, d)}/gaps").drop("status")
+
+
 def _changes_job(spark, d) -> str:
     out = shared_dir(spark, "changes")
     raw = adapters.change_envelopes(spark, d, stream=True)

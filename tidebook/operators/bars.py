@@ -68,6 +68,79 @@ def ohlcv(
     )
 
 
+# A partial bar: order keys stay beside open and close, sums stay sums, so that parts of a window merge
+# in any order and grouping.  Sums are decimals of ten places: exact, where sums of doubles depend on the order.
+_SUMS = ["volume", "weighted", "mid_sum", "tick_count"]
+_EXACT = "decimal(38,10)"
+
+
+def partial_bars(
+    ticks: DataFrame, interval: str = "1 minute", time_column: str = "exchange_event_ts", by: tuple[str, ...] = ()
+) -> DataFrame:
+    """Mergeable state of the bars of some ticks, one row per (``by``, exchange, symbol, window)."""
+    ts, mid = F.col(time_column), F.col("mid_price")
+    qty = F.coalesce(F.col("best_bid_qty"), F.lit(0.0))
+    # Equal (time, id) keep the lowest mid as open and the highest as close, whatever the parts are.
+    arrival = F.struct(ts.alias("ts"), F.col("last_update_id").alias("id"), mid.alias("price"))
+    return (
+        ticks.where(mid.isNotNull())
+        .groupBy(*by, *KEYS, F.window(ts, interval).alias("_w"))
+        .agg(
+            F.min(arrival).alias("open"),
+            F.max(arrival).alias("close"),
+            F.max(mid).alias("high_price"),
+            F.min(mid).alias("low_price"),
+            F.sum(qty.cast(_EXACT)).alias("volume"),
+            F.sum((mid * qty).cast(_EXACT)).alias("weighted"),
+            F.sum(mid.cast(_EXACT)).alias("mid_sum"),
+            F.count(F.lit(1)).alias("tick_count"),
+        )
+        .select(
+            *by,
+            *KEYS,
+            F.col("_w.start").alias("window_start"),
+            F.col("_w.end").alias("window_end"),
+            "open",
+            "close",
+            "high_price",
+            "low_price",
+            *_SUMS,
+        )
+    )
+
+
+def merge_partials(partials: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+    """Partial bars of the same window as one; associative and commutative, combined before the shuffle."""
+    return partials.groupBy(*by, *KEYS, "window_start", "window_end").agg(
+        F.min("open").alias("open"),
+        F.max("close").alias("close"),
+        F.max("high_price").alias("high_price"),
+        F.min("low_price").alias("low_price"),
+        *[F.sum(c).alias(c) for c in _SUMS],
+    )
+
+
+def finish_bars(partials: DataFrame, vwap_mode: str = "tick") -> DataFrame:
+    """Bars from merged partial bars."""
+    close = F.col("close.price")
+    volume, weighted, mid_sum = (F.col(c).cast("double") for c in _SUMS[:3])
+    mean = mid_sum / F.col("tick_count")
+    return partials.select(
+        *KEYS,
+        "window_start",
+        "window_end",
+        F.col("open.price").alias("open_price"),
+        "high_price",
+        "low_price",
+        close.alias("close_price"),
+        volume.alias("volume"),
+        _vwap(vwap_mode, weighted, volume, mean, close).alias("vwap"),
+        "tick_count",
+        F.col("open.ts").alias("first_ts"),
+        F.col("close.ts").alias("last_ts"),
+    )
+
+
 def roll_up(bars: DataFrame, interval: str, vwap_mode: str = "tick") -> DataFrame:
     """Coarser bars from finer ones, exact for every field; unweighted means weigh by tick count."""
     start, vwap = F.col("window_start"), F.col("vwap")

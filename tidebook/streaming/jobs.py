@@ -14,10 +14,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidebook.functions import market
-from tidebook.operators.bars import ohlcv
+from tidebook.operators.bars import ohlcv, partial_bars
 from tidebook.operators.changes import audit_rows, flatten_envelopes, rejected_envelopes
 from tidebook.sinks import files, tables, topics
 from tidebook.sources.wire import RAW_TOPIC, WATERMARK
+from tidebook.streaming.changelog import changelog_rows
+from tidebook.streaming.synced import gaps, synced_rows, synced_tickers
 from tidebook.streaming.ticker import letters, ticker_rows, tickers
 
 _LOG = logging.getLogger(__name__)
@@ -110,6 +112,74 @@ def start_ticker_job(
     return _trigger(writer, available_now, interval).start()
 
 
+def start_synced_job(
+    diffs: DataFrame,
+    snapshots: DataFrame,
+    silver: str,
+    gap_table: str,
+    checkpoint: str,
+    name: str = "synced",
+    depth: int = market.TOP_DEPTH,
+    available_now: bool = False,
+    interval: str = COMMIT_INTERVAL,
+) -> StreamingQuery:
+    """Diffs and snapshots to tickers of books started from snapshots, and to a table of gaps."""
+    rows = synced_rows(diffs, snapshots, depth)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        tag = _batch_tag(batch, name, checkpoint, batch_id)
+        with _held(batch) as held:
+            tables.append_ticks(synced_tickers(held), silver, tag)
+            tables.append_once(gaps(held), gap_table, ["exchange", "symbol"], ["kafka_partition", "kafka_offset"], tag)
+
+    writer = rows.writeStream.queryName(name).option("checkpointLocation", checkpoint).foreachBatch(write)
+    return _trigger(writer, available_now, interval).start()
+
+
+def start_changelog_job(
+    raw: DataFrame,
+    path: str,
+    checkpoint: str,
+    name: str = "changelog",
+    available_now: bool = False,
+    interval: str = COMMIT_INTERVAL,
+) -> StreamingQuery:
+    """Change envelopes to a changelog table whose old images come from state; rejects are left to the changes job."""
+    rows = changelog_rows(audit_rows(flatten_envelopes(raw)))
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        with _held(batch) as held:
+            key = ["source_lsn", "kafka_offset", "row_kind"]
+            tables.append_once(held, path, ["symbol"], key, _batch_tag(batch, name, checkpoint, batch_id))
+
+    writer = rows.writeStream.queryName(name).option("checkpointLocation", checkpoint).foreachBatch(write)
+    return _trigger(writer, available_now, interval).start()
+
+
+def start_partial_bars_job(
+    ticks: DataFrame,
+    path: str,
+    checkpoint: str,
+    bar: str = "1 minute",
+    name: str = "partial-bars",
+    available_now: bool = False,
+    interval: str = COMMIT_INTERVAL,
+) -> StreamingQuery:
+    """The partial bars of every micro-batch, appended as they come.
+
+    No watermark and no state: a tick of any age is in some partial bar, and ``bars.merge_partials`` of the
+    table followed by ``bars.finish_bars`` gives all bars up to now.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        tag = _batch_tag(batch, name, checkpoint, batch_id)
+        partials = partial_bars(batch, bar).withColumn("batch", F.lit(tag))
+        tables.append_once(partials, path, ["exchange", "symbol"], ["window_start", "batch"], tag)
+
+    writer = ticks.writeStream.queryName(name).option("checkpointLocation", checkpoint).foreachBatch(write)
+    return _trigger(writer, available_now, interval).start()
+
+
 def bars_stream(ticks: DataFrame, interval: str = "1 minute", watermark: str = WATERMARK) -> DataFrame:
     """Bars of a ticker stream; each is emitted once, when the watermark passes its end."""
     return ohlcv(ticks.withWatermark("exchange_event_ts", watermark), interval)
