@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import random
+
 import pytest
 from helpers import diff, diffs, quote_of, quotes_of, random_diffs, sequential_quotes, snapshots
 
+from pyspark.sql import functions as F
+
 from tidebook.operators.book import Book
-from tidebook.operators.orderbook import book_from_snapshots, book_ticker, image_metrics
-from tidebook.operators.sequence import classify_sequence, gap_report, monotone_dedup, tag_late
+from tidebook.operators.orderbook import book_from_snapshots, book_ticker, image_metrics, levels_at_start
+from tidebook.operators.sequence import classify_sequence, deduped_blocks, gap_report, monotone_dedup, tag_late
 
 
 def test_levels_are_set_overwritten_and_deleted():
@@ -47,7 +51,8 @@ def test_equal_prices_rank_by_age():
 @pytest.mark.parametrize("seed", [1, 2])
 def test_fold_equals_sequential_reader(spark, seed, span):
     rows = random_diffs(seed)
-    assert quotes_of(book_ticker(diffs(spark, rows), span=span)) == sequential_quotes(rows)
+    for fold_rows in (5, 60, 65_536):
+        assert quotes_of(book_ticker(diffs(spark, rows), span=span, fold_rows=fold_rows)) == sequential_quotes(rows)
 
 
 def test_blocks_do_not_lose_old_levels(spark):
@@ -55,7 +60,7 @@ def test_blocks_do_not_lose_old_levels(spark):
     rows = [diff(1, [("100", "1")], [("105", "2")], offset=0), diff(1, [("9", "1")], [("10", "1")], offset=1, symbol="q")]
     rows += [diff(u, [("90", str(u))], [], offset=u) for u in range(2, 200)]
     rows += [diff(2, [("8", "4")], [], offset=400, symbol="q")]
-    assert quotes_of(book_ticker(diffs(spark, rows), span=3)) == sequential_quotes(rows)
+    assert quotes_of(book_ticker(diffs(spark, rows), span=3, fold_rows=4)) == sequential_quotes(rows)
 
 
 def test_delivering_everything_twice_changes_nothing(spark):
@@ -170,3 +175,20 @@ def test_image_metrics(spark):
     assert (row["best_bid_price"], row["best_ask_price"], row["bid_volume"], row["ask_volume"]) == (100.0, 101.0, 5.0, 6.0)
     empty = image_metrics(snapshots(spark, [("eth", 1, [], [])])).first()
     assert (empty["best_bid_price"], empty["imbalance"]) == (None, 0.5)
+
+
+@pytest.mark.parametrize("fold_rows", [40, 65_536])
+def test_carried_levels_never_exceed_updates(spark, fold_rows):
+    """Quiet instruments over many blocks: folds follow row counts, so books are not handed from block to block."""
+    rnd, rows = random.Random(3), []
+    for offset in range(3000):
+        symbol = "busy" if offset % 2 else f"quiet{offset % 60}"
+        bids, asks = [(f"{100 - rnd.randrange(8)}", "1")], [(f"{101 + rnd.randrange(8)}", rnd.choice(["0", "2"]))]
+        rows.append(diff(offset + 1, bids, asks, offset=offset, symbol=symbol))
+    df = diffs(spark, rows)
+    kept = deduped_blocks(df, 16, fold_rows).withColumn("_pos", F.col("_step") * 16 + F.col("kafka_offset") % 16)
+    sizes = [r["count"] for r in kept.groupBy("symbol", "_ord").count().collect()]
+    assert max(sizes) <= fold_rows + 16
+    carried, updates = levels_at_start(kept, ["exchange", "symbol"]).count(), 2 * len(rows)
+    assert carried <= updates / 2 and (carried == 0) == (fold_rows > len(rows))
+    assert quotes_of(book_ticker(df, span=16, fold_rows=fold_rows)) == sequential_quotes(rows)

@@ -567,3 +567,4 @@ ORACLES["stream_changelog"] = f"""WITH {CDC}, steps AS (SELECT *, lag(op) OVER l
     UNION ALL SELECT symbol, k, 'UPDATE_BEFORE', old_status, old_size FROM known WHERE op <> 'd' AND held
     UNION ALL SELECT symbol, k, 'UPDATE_AFTER', status, tick_size FROM known WHERE op <> 'd' AND held
     UNION ALL SELECT symbol, k, 'DELETE', old_status, old_size FROM known WHERE op = 'd' AND held"""
+ORACLES["order_book_quiet"] = ORACLES["order_book_ticker"].replace("event_type AS symbol", "'Q' || (event_id % 300) AS symbol")

@@ -392,6 +392,12 @@ def order_book_ticker(spark, d):
     return _ticker(orderbook.book_ticker(adapters.depth_diffs(spark, d)))
 
 
+@query
+def order_book_quiet(spark, d):
+    """Many quiet instruments whose diffs lie far apart in one partition."""
+    return _ticker(orderbook.book_ticker(adapters.quiet_diffs(spark, d), span=256))
+
+
 @query
 def replay_idempotent(spark, d):
     """Tickers of a topic in which rows were delivered twice: the second delivery changes nothing."""

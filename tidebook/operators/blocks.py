@@ -16,9 +16,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Offsets per block.  Bounds both the rows of a task group and, for the book fold,
-# the share of carried levels: blocks x book depth stays far below the number of diffs.
+# Offsets per block: bounds the rows of a task group.
 BLOCK_SPAN = 65_536
+# Rows after which a fold of consecutive blocks is closed.  A fold has fewer than this and one block's rows; a key
+# has at most one fold for so many rows, so what folds hand on grows with rows, not with offsets.
+FOLD_ROWS = 65_536
 
 KEYS = ["exchange", "symbol"]
 BLOCK = "_block"
@@ -45,21 +47,23 @@ def running(
     lane: list[str],
     order: list[str],
     inclusive: bool = False,
-    ordinal: bool = False,
+    folds: int | None = None,
 ) -> DataFrame:
     """Add, per row, aggregates of the rows before it in its key (``inclusive``: up to it).
 
     ``values`` maps an output column to ``("max"|"min"|"sum", expression)``.  ``lane`` are the
     columns that order the blocks of a key, the last one being the block number; ``order``
-    orders rows inside a block.  ``ordinal`` also adds ``_ord``, the position of the block in its
-    key (from 1), and ``_blocks``, the number of blocks of the key.
+    orders rows inside a block.  ``folds``, a number of rows, also adds the columns of ``with_folds``.
     """
     summary = df.groupBy(*keys, *lane).agg(
-        *[_COMBINE[how](expr).alias(f"_c_{name}") for name, (how, expr) in values.items()]
+        F.count(F.lit(1)).alias("_rows"),
+        *[_COMBINE[how](expr).alias(f"_c_{name}") for name, (how, expr) in values.items()],
     )
+    if folds:
+        summary = with_folds(summary, keys, lane, folds)
     per_key = Window.partitionBy(*keys).orderBy(*lane)
     before = per_key.rowsBetween(Window.unboundedPreceding, -1)
-    position = _position(keys, lane) if ordinal else []
+    position = FOLD if folds else []
     carry = summary.select(
         *keys,
         *lane,
@@ -78,18 +82,33 @@ def running(
             _merge(how, F.col(f"_c_{name}"), _COMBINE[how](expr).over(inside)).alias(name)
             for name, (how, expr) in values.items()
         ],
-        *(["_ord", "_blocks"] if ordinal else []),
+        *position,
     )
 
 
-def _position(keys: list[str], lane: list[str]) -> list[Column]:
+# Number of the fold in its key (from 1), number of folds of the key, number of the block in its fold (from 0).
+FOLD = ["_ord", "_folds", "_step"]
+
+
+def with_folds(summary: DataFrame, keys: list[str], lane: list[str], rows: int = FOLD_ROWS) -> DataFrame:
+    """Block summaries (with ``_rows``) with ``FOLD``: consecutive blocks until they hold ``rows`` rows.
+
+    Windows run over one row a block.
+    """
     per_key = Window.partitionBy(*keys)
-    return [
-        F.row_number().over(per_key.orderBy(*lane)).cast("long").alias("_ord"),
-        F.count(F.lit(1)).over(per_key).alias("_blocks"),
-    ]
+    ordered = per_key.orderBy(*lane)
+    before = F.coalesce(F.sum("_rows").over(ordered.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    cut = summary.withColumn("_cut", F.floor(before / F.lit(rows)))
+    placed = cut.withColumns(
+        {
+            "_ord": F.dense_rank().over(per_key.orderBy("_cut")).cast("long"),
+            "_step": F.row_number().over(Window.partitionBy(*keys, "_cut").orderBy(*lane)).cast("long") - 1,
+        }
+    )
+    return placed.withColumn("_folds", F.max("_ord").over(per_key)).drop("_cut")
 
 
-def block_index(df: DataFrame, keys: list[str], lane: list[str]) -> DataFrame:
-    """The blocks of every key with ``_ord`` and ``_blocks``; reads only the key columns."""
-    return df.groupBy(*keys, *lane).agg(F.count(F.lit(1)).alias("_rows")).select(*keys, *lane, *_position(keys, lane))
+def fold_index(df: DataFrame, keys: list[str], lane: list[str], rows: int = FOLD_ROWS) -> DataFrame:
+    """The blocks of every key with ``FOLD``; reads only the key columns."""
+    summary = df.groupBy(*keys, *lane).agg(F.count(F.lit(1)).alias("_rows"))
+    return with_folds(summary, keys, lane, rows).drop("_rows")

@@ -1,9 +1,10 @@
 """Depth diffs to book tickers in batch.
 
 The book of an instrument is a long sequential state, but a level's value is simply its last
-write.  So the state at the start of every block is computed with joins and windows over
-per-block level summaries, and the blocks are then folded independently - the hottest
-instrument is spread over as many tasks as it has blocks.
+write.  So the rows of an instrument are cut into folds of about equal row counts, the state at the
+start of every fold is computed with windows over per-fold level summaries, and the folds then run
+independently - the hottest instrument is spread over as many tasks as it has folds, and a quiet one
+is a single fold that carries nothing, however far its offsets reach.
 """
 
 from __future__ import annotations
@@ -17,9 +18,9 @@ from pyspark.sql import types as T
 
 from tidebook.functions import levels as lv
 from tidebook.functions import market
-from tidebook.operators.blocks import BLOCK, BLOCK_SPAN, KEYS, block_index, running, with_block
+from tidebook.operators.blocks import BLOCK, BLOCK_SPAN, FOLD_ROWS, KEYS, fold_index, running, with_block
 from tidebook.operators.book import Book
-from tidebook.operators.sequence import ARRIVAL, deduped_blocks, is_late
+from tidebook.operators.sequence import deduped_blocks, is_late
 from tidebook.schemas import BOOK_TICKER, names
 from tidebook.session import settle
 
@@ -41,14 +42,15 @@ def book_ticker(
     late_seconds: float | None = market.LATE_SECONDS,
     depth: int = market.TOP_DEPTH,
     span: int = BLOCK_SPAN,
+    fold_rows: int = FOLD_ROWS,
 ) -> DataFrame:
     """One ticker per accepted, on-time diff once both sides of the book have a level."""
-    kept = deduped_blocks(diffs, span)
+    kept = deduped_blocks(diffs, span, fold_rows)
     if late_seconds is not None:
         kept = kept.where(~is_late(late_seconds))
-    kept = kept.withColumn("_pos", F.col("kafka_offset") - F.col(BLOCK) * F.lit(span)).drop("_last_seen")
-    blocks = block_index(with_block(diffs, "kafka_offset", span), KEYS, ARRIVAL)
-    return finish_ticker(fold_books(kept, blocks, KEYS, ARRIVAL, depth))
+    place = F.col("_step") * F.lit(span) + F.col("kafka_offset") - F.col(BLOCK) * F.lit(span)
+    kept = kept.withColumn("_pos", place).drop("_last_seen", BLOCK, "_step")
+    return finish_ticker(fold_books(kept, KEYS, depth))
 
 
 def finish_ticker(quotes: DataFrame) -> DataFrame:
@@ -62,21 +64,19 @@ def finish_ticker(quotes: DataFrame) -> DataFrame:
     )
 
 
-def fold_books(
-    diffs: DataFrame, blocks: DataFrame, keys: list[str], lane: list[str], depth: int = market.TOP_DEPTH
-) -> DataFrame:
+def fold_books(diffs: DataFrame, keys: list[str], depth: int = market.TOP_DEPTH) -> DataFrame:
     """Fold ordered diffs into quotes.
 
-    ``diffs`` is cut into groups ``keys + lane``; ``_pos`` (below 2^31) orders a group, ``_ord``
-    and ``_blocks`` place the group in its key, and ``blocks`` lists the groups with their ``_ord``.
+    ``diffs`` is cut into groups ``keys`` and ``_ord``, the fold's place among the ``_folds`` of its key;
+    ``_pos`` (below 2^39) orders a group.
     """
-    carried = _books_at_block_start(diffs, blocks, keys, lane)
-    plain = [c for c in diffs.columns if c not in ("bids", "asks", "_ord", "_blocks")]
-    events = diffs.select(*plain, F.flatten("bids").alias("_bids"), F.flatten("asks").alias("_asks"))
+    carried = levels_at_start(diffs, keys)
+    plain = [c for c in diffs.columns if c not in ("bids", "asks", "_ord", "_folds")]
+    events = diffs.select(*plain, "_ord", F.flatten("bids").alias("_bids"), F.flatten("asks").alias("_asks"))
     schema = T.StructType(
         [diffs.schema[c] for c in plain] + [T.StructField(c, T.DoubleType()) for c in QUOTE]
     )
-    group = [*keys, *lane]
+    group = [*keys, "_ord"]
     # Both sides come from the same rows, so the right one needs names of its own.
     renamed = carried.select(
         *[F.col(c).alias(f"_k{i}") for i, c in enumerate(group)],
@@ -89,15 +89,15 @@ def fold_books(
     )
 
 
-def _books_at_block_start(diffs: DataFrame, blocks: DataFrame, keys: list[str], lane: list[str]) -> DataFrame:
-    """Levels alive when each block starts: ``keys, lane, _side, _px, _qty, _born_ord, _born_seq``."""
-    # The last block of a key hands nothing on; a key with one block costs nothing here.
+def levels_at_start(diffs: DataFrame, keys: list[str]) -> DataFrame:
+    """Levels alive when each fold starts: ``keys, _ord, _side, _px, _qty, _born_ord, _born_seq``."""
+    # The last fold of a key hands nothing on; a key with one fold costs nothing here.
     sides = F.array(
         *[F.struct(F.lit(n).alias("_side"), F.col(c).alias("_levels")) for n, c in ((BID, "bids"), (ASK, "asks"))]
     )
-    place = [*keys, *lane, "_ord", "_blocks"]
+    place = [*keys, "_ord", "_folds"]
     updates = (
-        diffs.where(F.col("_ord") < F.col("_blocks"))
+        diffs.where(F.col("_ord") < F.col("_folds"))
         .select(*place, "_pos", F.inline(sides))
         .select(*place, "_side", "_pos", F.posexplode("_levels").alias("_idx", "_level"))
         .select(
@@ -105,12 +105,12 @@ def _books_at_block_start(diffs: DataFrame, blocks: DataFrame, keys: list[str],
             "_side",
             F.col("_level")[0].alias("_px"),
             F.col("_level")[1].cast("double").alias("_qty"),
-            (F.shiftleft("_pos", 32) + F.col("_idx")).alias("_seq"),
+            (F.shiftleft("_pos", 24) + F.col("_idx")).alias("_seq"),
         )
     )
-    # What a block leaves behind per level: last quantity, whether it was deleted on the way,
+    # What a fold leaves behind per level: last quantity, whether it was deleted on the way,
     # and where its current life began.
-    level = [*keys, *lane, "_side", "_px"]
+    level = [*keys, "_ord", "_side", "_px"]
     previous = F.lag("_qty").over(Window.partitionBy(*level).orderBy("_seq"))
     born = (F.col("_qty") != 0) & (previous.isNull() | (previous == 0))
     left_behind = (
@@ -120,8 +120,7 @@ def _books_at_block_start(diffs: DataFrame, blocks: DataFrame, keys: list[str],
             F.max_by("_qty", "_seq").alias("_qty"),
             F.max((F.col("_qty") == 0).cast("int")).alias("_deleted"),
             F.max("_birth").alias("_birth"),
-            F.max("_ord").alias("_ord"),
-            F.max("_blocks").alias("_blocks"),
+            F.max("_folds").alias("_folds"),
         )
     )
     history = Window.partitionBy(*keys, "_side", "_px").orderBy("_ord")
@@ -137,18 +136,18 @@ def _books_at_block_start(diffs: DataFrame, blocks: DataFrame, keys: list[str],
             "_birth",
             starts.alias("_starts"),
             (F.col("_ord") + 1).alias("_from"),
-            F.coalesce(F.lead("_ord").over(history), F.col("_blocks")).alias("_to"),
+            F.coalesce(F.lead("_ord").over(history), F.col("_folds")).alias("_to"),
         )
         .withColumn("_born_ord", F.last(F.when(F.col("_starts"), F.col("_ord")), ignorenulls=True).over(history))
         .withColumn("_born_seq", F.last(F.when(F.col("_starts"), F.col("_birth")), ignorenulls=True).over(history))
         .where(alive & (F.col("_from") <= F.col("_to")))
     )
-    # A level lives through the blocks up to its next change.  Two steps keep the arrays short.
+    # A level lives through the folds up to its next change.  Two steps keep the arrays short.
     coarse = lives.withColumn(
         "_c",
         F.explode(F.sequence(F.floor(F.col("_from") / _COARSE), F.floor(F.col("_to") / _COARSE))),
     )
-    spread_out = coarse.select(
+    return coarse.select(
         *keys,
         "_side",
         "_px",
@@ -162,7 +161,6 @@ def _books_at_block_start(diffs: DataFrame, blocks: DataFrame, keys: list[str],
             )
         ).alias("_ord"),
     )
-    return spread_out.join(blocks.select(*keys, *lane, "_ord"), [*keys, "_ord"]).drop("_ord")
 
 
 def _folder(plain: list[str], depth: int):
@@ -212,6 +210,7 @@ def book_from_snapshots(
     diffs: DataFrame,
     depth: int = market.TOP_DEPTH,
     span: int = BLOCK_SPAN,
+    fold_rows: int = FOLD_ROWS,
 ) -> DataFrame:
     """Tickers of books started from full snapshots.
 
@@ -221,9 +220,9 @@ def book_from_snapshots(
     """
     keys = [*KEYS, "snapshot_id"]
     sessions = settle(_sessions(snapshots, diffs, span), "sessions")
-    blocks = block_index(sessions, keys, [BLOCK])
-    rows = sessions.join(blocks, [*keys, BLOCK])
-    folded = fold_books(rows, blocks, keys, [BLOCK], depth).where(~F.col("_is_snapshot"))
+    rows = sessions.join(fold_index(sessions, keys, [BLOCK], fold_rows), [*keys, BLOCK])
+    rows = rows.withColumn("_pos", F.col("_step") * F.lit(2 * span) + F.col("_pos")).drop(BLOCK, "_step")
+    folded = fold_books(rows, keys, depth).where(~F.col("_is_snapshot"))
     ticker = folded.select(
         "*",
         market.spread(F.col("best_bid_price"), F.col("best_ask_price")).alias("spread"),
@@ -235,7 +234,7 @@ def book_from_snapshots(
 
 def _sessions(snapshots: DataFrame, diffs: DataFrame, span: int) -> DataFrame:
     """Snapshots and the diffs usable after them, with ``snapshot_id``, ``_block`` and ``_pos``."""
-    kept = deduped_blocks(diffs, span, ordinal=False).drop(BLOCK)
+    kept = deduped_blocks(diffs, span).drop(BLOCK)
     starts = snapshots.withColumns(
         {
             "first_update_id": F.col("last_update_id"),

@@ -12,14 +12,14 @@ ARRIVAL = ["kafka_partition", BLOCK]
 ARRIVAL_ORDER = ["kafka_offset", "last_update_id"]
 
 
-def _with_last_seen(diffs: DataFrame, span: int, ordinal: bool = False) -> DataFrame:
+def _with_last_seen(diffs: DataFrame, span: int, folds: int | None = None) -> DataFrame:
     return running(
         with_block(diffs, "kafka_offset", span),
         {"_last_seen": ("max", F.col("last_update_id"))},
         KEYS,
         ARRIVAL,
         ARRIVAL_ORDER,
-        ordinal=ordinal,
+        folds=folds,
     )
 
 
@@ -33,12 +33,12 @@ def monotone_dedup(diffs: DataFrame, span: int = BLOCK_SPAN) -> DataFrame:
     Rejected ids never raise the maximum, so the running maximum of all arrivals equals the
     "last accepted id" of a sequential reader.
     """
-    return deduped_blocks(diffs, span, ordinal=False).select(*diffs.columns)
+    return deduped_blocks(diffs, span).select(*diffs.columns)
 
 
-def deduped_blocks(diffs: DataFrame, span: int = BLOCK_SPAN, ordinal: bool = True) -> DataFrame:
-    """``monotone_dedup`` that also keeps ``_last_seen`` and the block columns."""
-    return _with_last_seen(diffs, span, ordinal).where(_fresh())
+def deduped_blocks(diffs: DataFrame, span: int = BLOCK_SPAN, folds: int | None = None) -> DataFrame:
+    """``monotone_dedup`` that also keeps ``_last_seen`` and the block columns (``folds``: those of folds, too)."""
+    return _with_last_seen(diffs, span, folds).where(_fresh())
 
 
 def lag_seconds():
