@@ -27,7 +27,7 @@ from tidebook.session import settle
 LEAST_BITS = 512  # of a sketch
 SAMPLE_DOCS = 10_000
 SAMPLE_SHARE = 4  # sampled documents that make a shingle frequent
-BLOCK = 256  # documents of each side of a leaf
+BLOCK = 512  # documents of each side of a leaf
 PIVOTS = 4  # of a split
 DEPTH = 6  # rounds of pivots before cells become leaves whatever their size
 SHRINK = 0.7  # a split must leave no cell larger than this share
