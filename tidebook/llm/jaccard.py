@@ -324,7 +324,7 @@ _KEYS = ["cell", "block", "fold"]
 
 
 def _by_group(rows: DataFrame, work: Callable[[pd.DataFrame], pd.DataFrame], schema: str) -> DataFrame:
-    """``work`` on each group of blocks; a group has about a block of each side, a task one batch and one group at most."""
+    """``work`` on the rows of whole groups; a group has about a block of each side, a task one batch and one group at most."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         kept = None
@@ -332,40 +332,48 @@ def _by_group(rows: DataFrame, work: Callable[[pd.DataFrame], pd.DataFrame], sch
             rows = batch if kept is None else pd.concat([kept, batch], ignore_index=True)
             last = (rows[_KEYS] == rows[_KEYS].iloc[-1]).all(axis=1).to_numpy() if len(rows) else np.zeros(0, bool)
             kept = rows[last]
-            for _, group in rows[~last].groupby(_KEYS, sort=False):
-                yield work(group.reset_index(drop=True))
+            if not last.all():
+                yield work(rows[~last].reset_index(drop=True))
         if kept is not None and len(kept):
             yield work(kept.reset_index(drop=True))
 
     return rows.repartition(*_KEYS).sortWithinPartitions(*_KEYS, "side").mapInPandas(run, schema)
 
 
-def _candidates(group: pd.DataFrame, percent: int) -> Iterator[tuple[np.ndarray, int]]:
-    """Places of side 0 that a document of side 1 may link with, and the place of that document."""
-    node, label, n, side = (group[c].to_numpy() for c in ("node", "label", "n", "side"))
-    sketch, stray = group["sketch"].to_numpy(), group["stray"].to_numpy()
-    left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
-    step = max(1, (1 << 18) // max(1, len(left)))
-    for k in range(0, len(right), step):
-        y = np.repeat(right[k : k + step], len(left))
-        x = np.tile(left, len(right[k : k + step]))
+def _candidates(rows: pd.DataFrame, percent: int, chunk: int = 1 << 18) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places of side 0 and of side 1 that may link, in each group of sorted rows; all groups at once, in chunks of pairs."""
+    start = (rows[_KEYS] != rows[_KEYS].shift()).any(axis=1).to_numpy()
+    group = np.cumsum(start) - 1
+    side = rows["side"].to_numpy()
+    first, n_left = np.flatnonzero(start), np.bincount(group[side == 0], minlength=group[-1] + 1)
+    node, label, n = (rows[c].to_numpy() for c in ("node", "label", "n"))
+    stray, sketch = rows["stray"].to_numpy(), rows["sketch"].to_numpy()
+    right = np.flatnonzero(side == 1)
+    ends = np.cumsum(n_left[group[right]])
+    at = 0
+    while at < len(right):
+        done = ends[at - 1] if at else 0
+        stop = max(at + 1, int(np.searchsorted(ends, done + chunk, "right")))
+        y = right[at:stop]
+        counts = n_left[group[y]]
+        begin = np.cumsum(counts) - counts
+        x = np.repeat(first[group[y]] - begin, counts) + np.arange(int(counts.sum()))
+        y = np.repeat(y, counts)
         ok = (label[x] != label[y]) & (~stray[x] | (node[x] < node[y]))
         x, y = x[ok], y[ok]
         ok = _may_link(n, sketch, x, y, percent)
-        x, y = x[ok], y[ok]
-        starts = np.flatnonzero(np.diff(y, prepend=-1))
-        for a, b in zip(starts, np.append(starts[1:], len(y))[: len(starts)], strict=True):
-            yield x[a:b], int(y[a])
+        yield x[ok], y[ok]
+        at = stop
 
 
 def _within_windows(cells: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     """cell and node of the documents that have a possible partner in their cell; lengths and sketches rule out the others."""
 
-    def pick(group: pd.DataFrame) -> pd.DataFrame:
-        seen = np.zeros(len(group), bool)
-        for x, y in _candidates(group, percent):
+    def pick(rows: pd.DataFrame) -> pd.DataFrame:
+        seen = np.zeros(len(rows), bool)
+        for x, y in _candidates(rows, percent):
             seen[x] = seen[y] = True
-        return group.loc[seen, ["cell", "node"]].drop_duplicates()
+        return rows.loc[seen, ["cell", "node"]].drop_duplicates()
 
     facts = nodes.select("node", "n", "sketch")
     picked = _by_group(_blocks(cells).join(facts, "node"), pick, "cell long, node long")
@@ -375,12 +383,12 @@ def _within_windows(cells: DataFrame, nodes: DataFrame, percent: int) -> DataFra
 def _leaf_links(cells: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """A spanning forest of the links of each leaf; leaves beyond ``BLOCK`` documents meet block by block."""
 
-    def forest(group: pd.DataFrame) -> pd.DataFrame:
-        node, held = group["node"].to_numpy(), group["shingles"].to_numpy()
-        # Components inside the group: documents of one label are joined from the start.
-        root, found = pd.factorize(group["label"])[0], []
-        for near, y in _candidates(group, percent):
-            for x in near:
+    def forest(rows: pd.DataFrame) -> pd.DataFrame:
+        node, held = rows["node"].to_numpy(), rows["shingles"].to_numpy()
+        # Components inside each group: documents of one label are joined from the start.
+        root, found = rows.groupby([*_KEYS, "label"], sort=False).ngroup().to_numpy().copy(), []
+        for near, others in _candidates(rows, percent):
+            for x, y in zip(near.tolist(), others.tolist(), strict=True):
                 if root[x] == root[y]:
                     continue
                 shared, union = _shared(held[x], held[y])
