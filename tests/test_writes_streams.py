@@ -15,7 +15,7 @@ from tidebook.operators.bars import ohlcv
 from tidebook.operators.changes import audit_rows, current_state, flatten_envelopes
 from tidebook.plans.backfill import run_backfill
 from tidebook.schemas import BOOK_TICKER, RAW_RECORD
-from tidebook.sinks import files, tables, topics
+from tidebook.sinks import tables, topics
 from tidebook.sources.tables import recent, time_range
 from tidebook.sources.topics import stream_files
 from tidebook.streaming import jobs
@@ -74,42 +74,25 @@ def test_reads_and_key_checks_are_pruned_by_date(spark, folder):
     assert any("2024-01-02" in line or "19724" in line for line in _scan_filters(checked)) and checked.isEmpty()
 
 
-def test_compaction_keeps_files_that_arrive_meanwhile(spark, folder, monkeypatch):
-    path, df = f"{folder}/t", _slices(spark, folder, "t")
-    late = df.where("symbol = 'a'").withColumn("last_update_id", F.col("last_update_id") + 10_000)
-    swap = tables._swap
-
-    def slow(*args):
-        if late is not None:
-            late.coalesce(1).write.mode("append").partitionBy(*tables.TICK_PARTITIONS).parquet(path)
-        monkeypatch.setattr(tables, "_swap", swap)
-        swap(*args)
-
-    monkeypatch.setattr(tables, "_swap", slow)
-    tables.compact(spark, path, tables.TICK_PARTITIONS)
-    assert _rows(spark.read.parquet(path)) == _rows(df.unionByName(late))
+def test_compaction_that_fails_names_its_copy(spark, folder, monkeypatch):
+    from pyspark.sql import DataFrameWriter
 
-
-@pytest.mark.parametrize("step", [1, 2, 3, 4])
-def test_compaction_that_died_is_put_right(spark, folder, monkeypatch, step):
     path, df = f"{folder}/t", _slices(spark, folder, "t")
-    calls, rename = [], files.rename
+    parquet = DataFrameWriter.parquet
 
-    def failing(*args):
-        calls.append(args)
-        if len(calls) == step:
-            raise RuntimeError("executor lost")
-        rename(*args)
+    def failing(writer, target, *args, **options):
+        if target == path:
+            raise OSError("no space")
+        return parquet(writer, target, *args, **options)
 
-    monkeypatch.setattr(files, "rename", failing)
-    with pytest.raises(RuntimeError):
+    monkeypatch.setattr(DataFrameWriter, "parquet", failing)
+    with pytest.raises(RuntimeError) as caught:
         tables.compact(spark, path, tables.TICK_PARTITIONS)
-    monkeypatch.setattr(files, "rename", rename)
-    tables.recover(spark, path)
-    assert _rows(spark.read.parquet(path)) == _rows(df)
+    staged = str(caught.value).split(" are in ")[1]
+    assert _rows(spark.read.parquet(staged).drop("_shard").withColumn("event_date", F.to_date("event_date"))) == _rows(df)
+    monkeypatch.setattr(DataFrameWriter, "parquet", parquet)
     tables.compact(spark, path, tables.TICK_PARTITIONS)
     assert _rows(spark.read.parquet(path)) == _rows(df)
-    assert tables.small_file_folders(spark, path).isEmpty()
 
 
 def test_compaction_into_several_files_of_closed_dates_only(spark, folder):
@@ -182,6 +165,35 @@ def test_state_versions(spark, folder):
     assert tables.read_state(spark, path).first()["status"] == "S9"
 
 
+def _state_files(folder):
+    return {
+        os.path.join(top, name) for top, _, names in os.walk(folder) for name in names if name.endswith(".parquet")
+    }
+
+
+def test_only_touched_buckets_of_the_state_are_written(spark, folder):
+    def batch(*payloads):
+        return audit_rows(flatten_envelopes(_raw(spark, payloads), at(0)))
+
+    path = f"{folder}/config"
+    symbols = [f"s{i}" for i in range(40)]
+    tables.upsert_changes(batch(*[_envelope("c", after=_image(s), lsn=i + 1) for i, s in enumerate(symbols)]), path)
+    before, held = _state_files(path), tables.state_buckets(spark, path)
+    for lsn in (100, 101, 102, 103):
+        tables.upsert_changes(batch(_envelope("u", after=_image("s7", f"S{lsn}"), lsn=lsn)), path)
+    now = tables.state_buckets(spark, path)
+    moved = {b for b in held if now[b] != held[b]}
+    assert len(moved) == 1 and set(now) == set(held) and len(held) > 10
+    left = {f for f in before if not any(f"/bucket={b}/" in f for b in moved)}
+    assert left <= _state_files(path) and len(_state_files(path)) <= len(before) + 3
+    state = {r["symbol"]: r["status"] for r in tables.read_state(spark, path).collect()}
+    assert set(state) == set(symbols) and state["s7"] == "S103"
+    tables.upsert_changes(batch(), path)  # nothing to do
+    assert tables.state_buckets(spark, path) == now
+    tables.upsert_changes(batch(), f"{folder}/none")
+    assert tables.read_state(spark, f"{folder}/none").isEmpty()
+
+
 def test_compaction(spark, folder):
     path = f"{folder}/t able"
     df = tables.with_event_date(_day_ticks(spark), "exchange_event_ts").withColumn("symbol", F.concat("symbol", F.lit("/x +%")))

@@ -43,27 +43,6 @@ def read_text(spark: SparkSession, path: str) -> str:
         stream.close()
 
 
-def write_text(spark: SparkSession, path: str, text: str) -> None:
-    target, fs = _path(spark, path)
-    stream = fs.create(target, True)
-    stream.write(bytearray(text.encode()))
-    stream.close()
-
-
-def rename(spark: SparkSession, source: str, target: str) -> None:
-    """Move a file or folder; the folders above the target are made."""
-    old, fs = _path(spark, source)
-    new = spark._jvm.org.apache.hadoop.fs.Path(target)
-    fs.mkdirs(new.getParent())
-    if not fs.rename(old, new):
-        raise OSError(f"cannot move {source} to {target}")
-
-
-def is_file(spark: SparkSession, path: str) -> bool:
-    target, fs = _path(spark, path)
-    return fs.getFileStatus(target).isFile()
-
-
 def children(spark: SparkSession, path: str) -> list[str]:
     target, fs = _path(spark, path)
     if not fs.exists(target):

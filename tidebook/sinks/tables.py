@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-import re
-import uuid
 from datetime import date, datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidebook.operators.changes import DELETE, LOG_ORDER, last_changes, to_config
 from tidebook.operators.latest import latest_by
+from tidebook.schemas import CDC_BRONZE
+from tidebook.session import settle, shared_dir
 from tidebook.sinks import files
 from tidebook.sources.tables import TABLES
 
@@ -19,7 +20,7 @@ BAR_PARTITIONS = ["exchange", "symbol", "event_date"]
 BAR_KEY = ["exchange", "symbol", "window_start"]
 TICK_KEY = ["exchange", "symbol", "last_update_id"]
 _FOLDERS_PER_JOB = 500
-_ASIDE, _STAGED = "_aside", "_compacted"  # hidden from readers
+STATE_BUCKETS = 64
 TARGET_BYTES = 128 * 1024 * 1024  # fixed value: size compaction aims at
 
 
@@ -108,31 +109,64 @@ def append_bars(bars: DataFrame, path: str) -> None:
     _balanced(rows, BAR_PARTITIONS).write.mode("append").partitionBy(*BAR_PARTITIONS).parquet(path)
 
 
-def upsert_changes(audit: DataFrame, path: str) -> None:
+def upsert_changes(audit: DataFrame, path: str, buckets: int = STATE_BUCKETS) -> None:
     """Fold a batch of change events into the next version of a state table.
 
-    Every version is a complete folder built on the newest complete one, whatever batch or run wrote
-    that.  The fold keeps the last change of each symbol in log order, so folding a retried batch again
-    changes nothing.  Deletions stay as marked rows: an older event that arrives later must not bring
-    the symbol back.
+    Symbols are dealt into ``buckets`` by their hash.  A version is a folder that holds the buckets its
+    batch touched, folded with the newest complete version of each, so that neither reading nor writing
+    grows with the untouched part of the state.  The fold keeps the last change of each symbol in log
+    order, so folding a retried batch again changes nothing.  Deletions stay as marked rows: an older
+    event that arrives later must not bring the symbol back.  ``buckets`` never changes for a table.
     """
     spark = audit.sparkSession
     changes = last_changes(audit)
+    bucket = F.pmod(F.xxhash64("symbol"), F.lit(buckets)).cast("int")
+    touched = {r[0] for r in changes.select(bucket).distinct().collect()}  # numbers below ``buckets``
+    held = state_buckets(spark, path)
+    if not touched and complete_versions(spark, path):
+        return
+    stored = [f"{_version(path, held[b])}/bucket={b}" for b in sorted(touched & set(held))]
+    if stored:
+        changes = changes.unionByName(spark.read.schema(changes.schema).parquet(*stored))
+    latest = latest_by(changes, ["symbol"], LOG_ORDER).withColumn("bucket", bucket)
     earlier = complete_versions(spark, path)
-    if earlier:
-        changes = changes.unionByName(spark.read.schema(changes.schema).parquet(_version(path, earlier[-1])))
     version = earlier[-1] + 1 if earlier else 0
-    latest_by(changes, ["symbol"], LOG_ORDER).write.mode("overwrite").parquet(_version(path, version))
-    for old in earlier[:-2]:
-        files.remove(spark, _version(path, old))
+    _balanced(latest, ["bucket"]).write.mode("overwrite").partitionBy("bucket").parquet(_version(path, version))
+    _forget(spark, path, earlier[:-2])
+
+
+def state_buckets(spark: SparkSession, path: str) -> dict[int, int]:
+    """The newest complete version of each bucket that has rows."""
+    newest = {}
+    for version in complete_versions(spark, path):
+        newest |= {b: version for b in _buckets(spark, path, version)}
+    return newest
+
+
+def _buckets(spark: SparkSession, path: str, version: int) -> list[int]:
+    names = files.children(spark, _version(path, version))
+    return [int(name.split("=", 1)[1]) for name in names if name.startswith("bucket=")]
+
+
+def _forget(spark: SparkSession, path: str, versions: list[int]) -> None:
+    """Remove from old versions the buckets that a later one has."""
+    newest = state_buckets(spark, path)
+    for version in versions:
+        own = _buckets(spark, path, version)
+        for b in own:
+            if newest[b] > version:
+                files.remove(spark, f"{_version(path, version)}/bucket={b}")
+        if all(newest[b] > version for b in own):
+            files.remove(spark, _version(path, version))
 
 
 def read_state(spark: SparkSession, path: str) -> DataFrame:
-    """Current config rows of the newest complete version."""
-    versions = complete_versions(spark, path)
-    if not versions:
+    """Current config rows: of each bucket its newest complete version."""
+    if not complete_versions(spark, path):
         raise FileNotFoundError(f"no complete version below {path}")
-    changes = spark.read.parquet(_version(path, versions[-1]))
+    schema = T.StructType([CDC_BRONZE[c] for c in ("symbol", "op", "after_json", *LOG_ORDER)])
+    stored = [f"{_version(path, v)}/bucket={b}" for b, v in sorted(state_buckets(spark, path).items())]
+    changes = spark.read.schema(schema).parquet(*stored) if stored else spark.createDataFrame([], schema)
     return to_config(changes.where(F.col("op") != DELETE))
 
 
@@ -179,30 +213,28 @@ def compact(
 ) -> DataFrame:
     """Rewrite closed partitions that have too many small files; returns what was found before.
 
-    Runs beside writers.  Only dates before ``before`` (today, UTC) are touched, and only the files that
-    were listed are replaced: the new files are written below a hidden folder, the old folder is set
-    aside by one rename, the new one takes its place, files that arrived meanwhile move back, and the
-    rest is removed.  A run that died leaves a folder set aside, which the next run puts right first.
+    Only dates before ``before`` (today, UTC) are touched: they are read, copied to the shared folder, and put back
+    in as many files as their size needs by dynamic partition overwrites.  Nothing may write
+    to those dates meanwhile; a table that is written at any date needs a table format's atomic swap.
+    If the overwrite fails, the copy in the shared folder stays and the error names it.
     """
-    recover(spark, path)
     today = datetime.now(timezone.utc).date()
     if before is not None and before > today:
         raise ValueError(f"dates from {today} on are still written to")
     closed = small_file_folders(spark, path, target_bytes)
-    day = F.to_date(F.regexp_extract("folder", r"/event_date=([^/]+)", 1))
     if "event_date" in partitions:
+        day = F.to_date(F.regexp_extract("folder", r"/event_date=([^/]+)", 1))
         closed = closed.where(day < F.lit(before or today))
-    found = []
+    found = settle(closed, "small-folders")
     batch: list = []
-    for row in closed.toLocalIterator():
-        found.append(row)
+    for row in found.toLocalIterator():
         batch.append(row)
         if len(batch) == _FOLDERS_PER_JOB:
             _rewrite(spark, path, partitions, batch)
             batch = []
     if batch:
         _rewrite(spark, path, partitions, batch)
-    return spark.createDataFrame(found, "folder string, files long, bytes long, needed_files long")
+    return found
 
 
 def compact_all(spark: SparkSession, paths: dict[str, str], before: date | None = None) -> dict[str, int]:
@@ -218,76 +250,21 @@ def compact_all(spark: SparkSession, paths: dict[str, str], before: date | None
 
 
 def _rewrite(spark: SparkSession, path: str, partitions: list[str], found: list) -> None:
-    """Compact some folders: one Spark job for the data, then one swap for each folder."""
-    base = _plain(path)
-    names = {r["folder"]: _data_files(spark, r["folder"]) for r in found}
-    staged = f"{path}/{_STAGED}/{uuid.uuid4().hex}"
-    read = [f"{folder}/{name}" for folder, listed in names.items() for name in listed]
-    rows = spark.read.option("basePath", path).parquet(*read)
-    file_path, row = F.col("_metadata.file_path"), F.col("_metadata.row_index")
+    """Compact some folders.  Partition values are read as text, so that their spelling stays."""
+    read = spark.read.option("basePath", path)
+    folders = [r["folder"] for r in found]
+    data = [f for f in read.parquet(*folders).schema.fields if f.name not in partitions]
+    schema = T.StructType([*data, *[T.StructField(p, T.StringType()) for p in partitions]])
+    rows = read.schema(schema).parquet(*folders)
     # The shard follows from the row's position: a recomputed task places its rows as before.  About one
     # shard for each file wanted, so that a large partition is not one task.
     most, total = max(r["needed_files"] for r in found), sum(r["needed_files"] for r in found)
-    (
-        rows.select("*", F.pmod(F.xxhash64(file_path, row), F.lit(most)).alias("_shard"))
-        .repartition(total, *partitions, "_shard")
-        .drop("_shard")
-        .write.partitionBy(*partitions)
-        .parquet(staged)
-    )
-    for folder, listed in names.items():
-        _swap(spark, path, staged, _plain(folder)[len(base) + 1 :], listed)
+    place = F.xxhash64(F.col("_metadata.file_path"), F.col("_metadata.row_index"))
+    staged = shared_dir(spark, "compacted")
+    rows.select("*", F.pmod(place, F.lit(most)).alias("_shard")).write.parquet(staged)
+    copy = spark.read.parquet(staged).repartition(total, *partitions, "_shard").drop("_shard")
+    try:
+        copy.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partitions).parquet(path)
+    except Exception as error:
+        raise RuntimeError(f"partitions of {path} were not put back; their rows are in {staged}") from error
     files.remove(spark, staged)
-
-
-def _swap(spark: SparkSession, path: str, staged: str, part: str, listed: list[str]) -> None:
-    """Put the compacted files of one folder in the place of the ``listed`` ones."""
-    aside = f"{path}/{_ASIDE}/{part}"
-    new = _data_files(spark, f"{staged}/{part}")
-    files.write_text(spark, f"{path}/{_ASIDE}/_manifest/{part}", "\n".join([f"{staged}/{part}", *new, "", *listed]))
-    files.rename(spark, f"{path}/{part}", aside)
-    _finish(spark, path, part)
-
-
-def _finish(spark: SparkSession, path: str, part: str) -> None:
-    """Complete a swap from any point after the old folder was set aside; repeating it changes nothing."""
-    aside, manifest = f"{path}/{_ASIDE}/{part}", f"{path}/{_ASIDE}/_manifest/{part}"
-    new, listed = (half.split("\n") for half in files.read_text(spark, manifest).split("\n\n"))
-    there = set(files.children(spark, f"{path}/{part}"))
-    for name in new[1:]:
-        if name not in there:
-            files.rename(spark, f"{new[0]}/{name}", f"{path}/{part}/{name}")
-    for name in _data_files(spark, aside):
-        if name not in listed:
-            files.rename(spark, f"{aside}/{name}", f"{path}/{part}/{name}")
-    files.remove(spark, aside)
-    files.remove(spark, manifest)
-
-
-def recover(spark: SparkSession, path: str) -> None:
-    """Finish the swaps of a compaction that died, and drop what it had staged."""
-    for part in _manifests(spark, f"{path}/{_ASIDE}/_manifest", ""):
-        if files.exists(spark, f"{path}/{_ASIDE}/{part}"):
-            _finish(spark, path, part)
-        else:
-            files.remove(spark, f"{path}/{_ASIDE}/_manifest/{part}")
-    for run in files.children(spark, f"{path}/{_STAGED}"):
-        files.remove(spark, f"{path}/{_STAGED}/{run}")
-
-
-def _manifests(spark: SparkSession, top: str, below: str) -> list[str]:
-    """Paths of the manifest files, relative to ``top``."""
-    out = []
-    for name in files.children(spark, f"{top}/{below}" if below else top):
-        inner = f"{below}/{name}" if below else name
-        out += [inner] if files.is_file(spark, f"{top}/{inner}") else _manifests(spark, top, inner)
-    return out
-
-
-def _data_files(spark: SparkSession, folder: str) -> list[str]:
-    return [name for name in files.children(spark, folder) if not name.startswith(("_", "."))]
-
-
-def _plain(uri: str) -> str:
-    """A path without scheme or trailing slash; listings and callers spell them differently."""
-    return re.sub("^[a-z0-9]+:/+", "/", uri).rstrip("/")
