@@ -554,6 +554,13 @@ ORACLES: dict[str, str] = {
 # Streams equal their batch twins.
 ORACLES["stream_snapshot_init"] = ORACLES["snapshot_init"]
 ORACLES["stream_gap_report"] = ORACLES["gap_report"]
+ORACLES["stream_typed_source"] = ORACLES["parse_events"]
+ORACLES["dq_observed"] = ORACLES["dq_report"]
+_NOW_AGE = "epoch(now()) - epoch(latest_ts)"
+ORACLES["live_marts"] = f"""{MART} SELECT exchange, symbol, latest_ts, spread_bps, market_signal,
+    CASE WHEN {_NOW_AGE} < 61 THEN 'FRESH' WHEN {_NOW_AGE} < 121 THEN 'WARN' ELSE 'STALE' END AS freshness_status,
+    CASE WHEN {_NOW_AGE} < 61 THEN 1.0::DOUBLE WHEN {_NOW_AGE} < 121 THEN 0.5 ELSE 0.0 END AS health_score,
+    {_NOW_AGE} >= 86400 AS stale_for_days FROM liquidity"""
 # Merged bars add exact decimals, whose sum is the same in any order, and are compared to nine places.
 _WEIGHTED = "sum(mid_price * best_bid_qty)"
 _EXACT_WEIGHTED = "CAST(sum(CAST(mid_price * best_bid_qty AS DECIMAL(38, 10))) AS DOUBLE)"

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -471,6 +472,19 @@ def materialized_marts(spark, d):
     return _bars(spark.table("mart_ohlcv"))
 
 
+@query
+def live_marts(spark, d):
+    """Liquidity and health as views over stored tickers, whose "now" is the time of each read."""
+    ticks = tables.as_table(adapters.book_ticker(spark, d), f"{shared_dir(spark, 'live')}/ticks")
+    tables.as_view(marts.liquidity(ticks), "live_liquidity")
+    tables.as_view(marts.exchange_health(ticks), "live_health")
+    return spark.sql("""
+        SELECT l.exchange, l.symbol, l.latest_ts, l.spread_bps, l.market_signal, l.freshness_status,
+               h.health_score, h.staleness_seconds >= 86400 AS stale_for_days
+        FROM live_liquidity l JOIN live_health h USING (exchange, symbol)
+    """)
+
+
 # Replay
 
 
@@ -573,6 +587,30 @@ def dq_report(spark, d):
     return out
 
 
+@query
+def dq_observed(spark, d):
+    """All model rules, counted while the models are stored; later models are made from stored ones."""
+    out = shared_dir(spark, "models")
+    reports = []
+
+    def stored(df: DataFrame, name: str) -> DataFrame:
+        rows, report = quality.write_checked(df, f"{out}/{name}", name, quality.model_rules(name))
+        reports.append(report)
+        return rows
+
+    # Stored with all columns: bars need the ids that the staged projection leaves out.
+    ticks = stored(adapters.book_ticker(spark, d), "stg_book_ticker")
+    hours = stored(staging.stg_ohlcv(bars.ohlcv(ticks, "1 hour")), "stg_ohlcv_1m")
+    stored(staging.mart_ohlcv(hours), "mart_ohlcv")
+    stored(staging.stg_symbol_config(_state(spark, d)), "stg_symbol_config")
+    stored(marts.liquidity(ticks, AS_OF), "mart_liquidity")
+    stored(marts.spread_metrics(ticks), "int_spread_metrics")
+    stored(marts.imbalance_signal(ticks), "int_order_book_imbalance")
+    stored(marts.freshness_status(ticks, AS_OF), "int_freshness_status")
+    stored(marts.exchange_health(ticks, AS_OF), "mart_exchange_health")
+    return reduce(DataFrame.unionByName, reports)
+
+
 @query
 def dq_violations(spark, d):
     """Rules with something to find: nulls, bounds, repeated values, too few rows."""
@@ -653,6 +691,20 @@ def stream_bars_retried(spark, d):
     return _bars(spark.read.parquet(f"{out}/table"))
 
 
+@query
+def stream_typed_source(spark, d):
+    """Raw diffs delivered twice, as a typed stream in which each event is once.
+
+    The watermark is longer than the table's time, so that no event is late.
+    """
+    out = shared_dir(spark, "diffs")
+    raw, again = (adapters.raw_payloads(spark, d, stream=True) for _ in range(2))
+    _finish(
+        jobs.start_diffs_job(raw.unionByName(again), f"{out}/table", f"{out}/state", "3650 days", available_now=True)
+    )
+    return _level_text(spark.read.parquet(f"{out}/table").drop("event_date"))
+
+
 def _ticker_job(spark, d) -> str:
     out = shared_dir(spark, "ticker")
     raw = adapters.raw_payloads(spark, d, stream=True)

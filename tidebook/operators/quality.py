@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidebook.functions.clock import as_of_column, seconds_between
@@ -81,6 +81,7 @@ ACCEPTED = {
     "mart_exchange_health": {"freshness_status": FRESHNESS},
 }
 UNIQUE = {"stg_symbol_config": ["symbol"]}
+REPORT = "table_name string, rule string, column_name string, checked_rows long, failures long, passed boolean"
 
 
 @dataclass(frozen=True)
@@ -170,6 +171,41 @@ def check(df: DataFrame, table: str, rules: list[Rule]) -> DataFrame:
     )
 
 
+def observed(df: DataFrame, rules: list[Rule]) -> tuple[DataFrame, Observation]:
+    """``df`` with the row rules counted while it is written or otherwise run once: they cost no scan.
+
+    A uniqueness rule needs a group-by and is left to ``check`` on the stored column.
+    """
+    found = Observation()
+    row_rules = [r for r in rules if r.kind != "unique"]
+    counts = [_failures(r).alias(f"f{i}") for i, r in enumerate(row_rules)]
+    return df.observe(found, F.count(F.lit(1)).alias("checked_rows"), *counts), found
+
+
+def observed_report(spark: SparkSession, found: Observation, table: str, rules: list[Rule]) -> DataFrame:
+    """The report of ``check`` from the metrics of a finished run; one row a rule."""
+    counts = found.get
+    row_rules = [r for r in rules if r.kind != "unique"]
+    rows = [
+        (table, r.kind, r.column or "", counts["checked_rows"], counts[f"f{i}"], counts[f"f{i}"] == 0)
+        for i, r in enumerate(row_rules)
+    ]
+    return spark.createDataFrame(rows, REPORT)
+
+
+def write_checked(df: DataFrame, path: str, table: str, rules: list[Rule]) -> tuple[DataFrame, DataFrame]:
+    """Store ``df``; returns the stored rows and the report of its rules.
+
+    Row rules are counted by the write itself; only the columns of uniqueness rules are read again.
+    """
+    marked, found = observed(df, rules)
+    marked.write.mode("overwrite").parquet(path)
+    stored = df.sparkSession.read.schema(df.schema).parquet(path)
+    report = observed_report(df.sparkSession, found, table, rules)
+    unique = [r for r in rules if r.kind == "unique"]
+    return stored, report.unionByName(check(stored, table, unique)) if unique else report
+
+
 def check_recent(
     df: DataFrame,
     table: str,

@@ -1,4 +1,4 @@
-"""The three streaming jobs: tickers, bars and symbol changes."""
+"""The streaming jobs: tickers, typed diffs, synced books, bars and symbol changes."""
 
 from __future__ import annotations
 
@@ -17,7 +17,7 @@ from tidebook.functions import market
 from tidebook.operators.bars import ohlcv, partial_bars
 from tidebook.operators.changes import audit_rows, flatten_envelopes, rejected_envelopes
 from tidebook.sinks import files, tables, topics
-from tidebook.sources.wire import RAW_TOPIC, WATERMARK
+from tidebook.sources.wire import RAW_TOPIC, WATERMARK, diff_stream
 from tidebook.streaming.changelog import changelog_rows
 from tidebook.streaming.synced import gaps, synced_rows, synced_tickers
 from tidebook.streaming.ticker import letters, ticker_rows, tickers
@@ -112,6 +112,33 @@ def start_ticker_job(
     return _trigger(writer, available_now, interval).start()
 
 
+def start_diffs_job(
+    raw: DataFrame,
+    path: str,
+    checkpoint: str,
+    watermark: str = WATERMARK,
+    name: str = "diffs",
+    available_now: bool = False,
+    interval: str = COMMIT_INTERVAL,
+) -> StreamingQuery:
+    """Raw records to a table of typed diffs, each event once; no book is kept."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        tag = _batch_tag(batch, name, checkpoint, batch_id)
+        with _held(batch) as held:
+            rows = tables.with_event_date(held, "exchange_event_ts")
+            tables.append_once(rows, path, tables.TICK_PARTITIONS, ["event_id"], tag)
+
+    writer = (
+        diff_stream(raw, watermark)
+        .writeStream.queryName(name)
+        .outputMode("append")
+        .option("checkpointLocation", checkpoint)
+        .foreachBatch(write)
+    )
+    return _trigger(writer, available_now, interval).start()
+
+
 def start_synced_job(
     diffs: DataFrame,
     snapshots: DataFrame,
