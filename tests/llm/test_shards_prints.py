@@ -110,3 +110,53 @@ def test_merged_sketch_is_sketch_of_union(spark):
         both = set(r.ka) | set(r.kb)
         low = sorted(x for x in both if x < fingerprint.FRACTION * 2**32)
         assert r.m == (low or sorted(both)[:1])
+
+
+def test_map_is_stored_edited_and_read(spark, folder):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    first = sharding.shard_documents(docs, shards=8, maps=folder).collect()
+    assert sharding.map_versions(spark, folder) == [0, 1] and {r.map_version for r in first} == {1}
+    even, edited = sharding.read_map(spark, 0, folder), sharding.read_map(spark, 1, folder)
+    assert Counter(even) == dict.fromkeys(range(8), sharding.SLOTS // 8) and even != edited
+    assert all(edited[r.virtual_slot] == r.shard for r in first)
+    # The same sizes move nothing; one more shard takes slots only into itself; one less gives its slots away.
+    assert {r.map_version for r in sharding.shard_documents(docs, shards=8, maps=folder).collect()} == {1}
+    grown = {r.doc_id: r for r in sharding.shard_documents(docs, shards=9, maps=folder).collect()}
+    assert {r.map_version for r in grown.values()} == {2}
+    moved = [r for r in first if grown[r.doc_id].shard != r.shard]
+    assert moved and {grown[r.doc_id].shard for r in moved} == {8}
+    shrunk = sharding.shard_documents(docs, shards=7, maps=folder).collect()
+    assert {r.map_version for r in shrunk} == {3} and {r.shard for r in shrunk} == set(range(7))
+    assert sharding.read_map(spark, 1, folder) == edited
+
+
+def test_containment_of_unequal_texts(spark):
+    words = [f"w{i * 7919 % 100_003}" for i in range(20_000)]
+    whole = " ".join(words)
+    pairs = [(" ".join(words[a : a + n]), whole) for a, n in [(0, 300), (500, 2_000), (9_000, 9_000)]]
+    pairs += [(" ".join(words[:1_000] + [f"x{i}" for i in range(1_000)]), whole), ("", whole), ("other words here", whole)]
+    rows = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(pairs)], "i long, a string, b string")
+    staged = fingerprint.with_sketch(fingerprint.with_sketch(rows, "a", "ka"), "b", "kb")
+    got = staged.select(
+        "i",
+        fingerprint.containment(F.col("ka"), F.col("kb")).alias("a_in_b"),
+        fingerprint.containment(F.col("kb"), F.col("ka")).alias("b_in_a"),
+    ).collect()
+    for r in got:
+        a, b = (h.shingles(t, 3) for t in pairs[r.i])
+        assert abs(r.a_in_b - (len(a & b) / len(a) if a else 1.0)) < 0.06
+        assert abs(r.b_in_a - len(a & b) / len(b)) < 0.03
+
+
+def test_containment_columns(spark):
+    rows = op9_scaled_sketch(spark, "/root/testdata/sf0.001").collect()
+    docs = sorted(
+        ((r.doc_id, r.text) for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()), reverse=True
+    )
+    by_id, edited = {r.doc_id: r for r in rows}, _edited(docs)
+    for i, (doc_id, text) in enumerate(docs):
+        a, b, c = h.shingles(text, 3), h.shingles(edited[i], 3), h.shingles(docs[(i + 1) % len(docs)][1], 3)
+        if min(len(a), len(b), len(c)) > 200:
+            r = by_id[doc_id]
+            assert abs(r.within_edited - len(a & b) / len(a)) < 0.25
+            assert abs(r.within_next - len(a & c) / len(a)) < 0.25 and abs(r.holds_next - len(a & c) / len(c)) < 0.25

@@ -133,8 +133,9 @@ def _rank(cuts: list[int]) -> Column:
 def fingerprint_documents(docs: DataFrame, shingle: int = SHINGLE, fraction: float = FRACTION) -> DataFrame:
     """Fingerprint of each text and of its edited text, whose last third is the next document's beginning.
 
-    Returns doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next and
-    kept (hashes in the fingerprint), one row for each row.  A null text counts as empty; null ids come
+    Returns doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next, kept
+    (hashes in the fingerprint), within_edited, within_next (shares of this text's shingles that the other has)
+    and holds_next (the reverse), one row for each row.  A null text counts as empty; null ids come
     last in the order; repeated ids are ordered by text; a lone row follows itself.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text(F.col("text")).alias("text"))
@@ -161,4 +162,7 @@ def fingerprint_documents(docs: DataFrame, shingle: int = SHINGLE, fraction: flo
         likeness(F.col("_kept"), F.col("_edited_kept")).alias("near_edited"),
         likeness(F.col("_kept"), F.col("next__kept")).alias("near_next"),
         F.size("_kept").alias("kept"),
+        containment(F.col("_kept"), F.col("_edited_kept")).alias("within_edited"),
+        containment(F.col("_kept"), F.col("next__kept")).alias("within_next"),
+        containment(F.col("next__kept"), F.col("_kept")).alias("holds_next"),
     )

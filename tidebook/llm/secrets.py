@@ -7,7 +7,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidebook.llm.common import apart, count_kind, hash_sample, located, named_spans, span_string, whole_text
+from tidebook.llm.common import apart, count_kind, located, named_spans, span_string, whole_text
 
 # The kinds that are always reported, in report order.
 BASE = {
@@ -18,7 +18,6 @@ BASE = {
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 CANDIDATE = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{16,}+"
 PLAIN = r"(?<![A-Za-z0-9+/_=-])[A-Za-z][A-Za-z0-9_-]{6,}+"
-SAMPLE_DOCS = 20_000
 MIN_RATIO = 8.0
 MIN_RATIO_PER_STEP = 0.6
 
@@ -40,16 +39,16 @@ def _steps(value: Column) -> Column:
     return F.zip_with(F.slice(codes, F.lit(1), rest), F.slice(codes, F.lit(2), rest), lambda a, b: a * n + b)
 
 
-def train_ratio(docs: DataFrame, text_col: str = "text", sample: int = SAMPLE_DOCS) -> list[float]:
+def train_ratio(docs: DataFrame, text_col: str = "text") -> list[float]:
     """Log-likelihood ratio, random over ordinary, of each step between two characters.
 
-    Labelled samples come from about ``sample`` documents at most (chosen by hash): values that a base
-    pattern found are random strings, words and identifiers outside such spans are ordinary.  Each model
-    is a first-order chain with one added to every count, so an empty sample gives zeros.  Only the
-    counts, at most two tables of steps, reach the driver.
+    All documents supply labelled values: what a base pattern found is a random string, words and identifiers
+    outside such spans are ordinary.  A value that occurs n times counts as often as n has binary digits, so
+    copies of a text don't outweigh the rest.  Each model is a first-order chain with one added to every
+    count, so an empty table gives zeros.  Only the counts, at most two tables of steps, reach the driver.
     """
     text = F.col("_text")
-    rows = hash_sample(docs, F.col(text_col), sample).select(whole_text(F.col(text_col)).alias("_text"))
+    rows = docs.select(whole_text(F.col(text_col)).alias("_text"))
     # A generator of one row keeps the optimizer from searching the text again for each of its words.
     once = F.struct(base_spans(text).alias("base"), located(text, PLAIN).alias("plain"))
     rows = rows.select(F.inline(F.array(once)))
@@ -70,9 +69,11 @@ def train_ratio(docs: DataFrame, text_col: str = "text", sample: int = SAMPLE_DO
     )
     counts = (
         labelled.where(F.length("value") > 1)
-        .select("random", F.explode(_steps(F.col("value"))).alias("step"))
-        .groupBy("random", "step")
+        .groupBy("random", "value")
         .count()
+        .select("random", F.length(F.bin("count")).alias("weight"), F.explode(_steps(F.col("value"))).alias("step"))
+        .groupBy("random", "step")
+        .agg(F.sum("weight").alias("count"))
     )
     n = len(ALPHABET)
     tables = {0: [1] * (n * n), 1: [1] * (n * n)}

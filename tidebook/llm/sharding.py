@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidebook.llm.common import whole_text
+from tidebook.session import shared_dir
+from tidebook.sinks import files
 
 SLOTS = 4096
 SHARDS = 16
@@ -98,6 +100,30 @@ def read_map(spark: SparkSession, version: int, path: str) -> list[int]:
     return [r["shard"] for r in rows]
 
 
+def map_versions(spark: SparkSession, path: str) -> list[int]:
+    """Complete versions of the map below ``path``, oldest first."""
+    names = [name for name in files.children(spark, path) if name.startswith("version=")]
+    return sorted(int(n.split("=", 1)[1]) for n in names if files.exists(spark, f"{path}/{n}/_SUCCESS"))
+
+
+def rebalance(spark: SparkSession, sizes: dict[int, int], path: str, slots: int = SLOTS, shards: int = SHARDS) -> int:
+    """Edit the newest map for the present sizes and shards; the version that then holds.
+
+    Without a map, version 0 deals the slots out evenly, as before any size is known.  An edit that moves
+    nothing makes no version.
+    """
+    versions = map_versions(spark, path)
+    if not versions:
+        store_map(spark, first_map({}, slots, shards), 0, path)
+        versions = [0]
+    placed = read_map(spark, versions[-1], path)
+    edited = edited_map(placed, sizes, shards)
+    if edited == placed:
+        return versions[-1]
+    store_map(spark, edited, versions[-1] + 1, path)
+    return versions[-1] + 1
+
+
 def shard_rows(slotted: DataFrame, sizes: DataFrame, placed: list[int]) -> DataFrame:
     """Rows with their shard and their place in it: ``slot`` counts from 0 in each shard without gaps.
 
@@ -123,15 +149,23 @@ def shard_rows(slotted: DataFrame, sizes: DataFrame, placed: list[int]) -> DataF
     )
 
 
-def shard_documents(docs: DataFrame, shards: int = SHARDS, slots: int = SLOTS) -> DataFrame:
-    """All rows of ``docs`` in ``shards`` shards of nearly equal bytes, map version 0 by slot sizes.
+def shard_documents(docs: DataFrame, shards: int = SHARDS, slots: int = SLOTS, maps: str | None = None) -> DataFrame:
+    """All rows of ``docs`` in ``shards`` shards of nearly equal bytes, by the newest version of the map in ``maps``.
 
-    Size is the UTF-8 length of the text plus one; a null text has size 1 and crc 0.  Rows with the same
-    id share a virtual slot; other columns are not read.  An empty table gives no rows.
+    The map is edited first if sizes or ``shards`` call for it, stored as the next version and read from there;
+    without ``maps`` it lives in a new shared folder.  Size is the UTF-8 length of the text plus one; a null
+    text has size 1 and crc 0.  Rows with the same id share a virtual slot; other columns are not read.  An
+    empty table gives no rows.
     """
+    spark = docs.sparkSession
+    maps = maps or shared_dir(spark, "slot-map")
     slotted = with_slots(docs, slots)
     sizes = slot_bytes(slotted)
     known = {r["virtual_slot"]: r["bytes"] for r in sizes.collect()}  # one entry a slot, `slots` at most
-    return shard_rows(slotted, sizes, first_map(known, slots, shards)).select(
-        "*", F.lit("bytes").alias("law"), F.lit(None).cast("int").alias("grown_shard")
+    version = rebalance(spark, known, maps, slots, shards)
+    return shard_rows(slotted, sizes, read_map(spark, version, maps)).select(
+        "*",
+        F.lit("bytes").alias("law"),
+        F.lit(None).cast("int").alias("grown_shard"),
+        F.lit(version).alias("map_version"),
     )
