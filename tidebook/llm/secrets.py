@@ -50,8 +50,7 @@ def train_ratio(docs: DataFrame, text_col: str = "text") -> list[float]:
     text = F.col("_text")
     rows = docs.select(whole_text(F.col(text_col)).alias("_text"))
     # A generator of one row keeps the optimizer from searching the text again for each of its words.
-    once = F.struct(base_spans(text).alias("base"), located(text, PLAIN).alias("plain"))
-    rows = rows.select(F.inline(F.array(once)))
+    rows = rows.select(F.inline(F.array(F.struct(text, base_spans(text).alias("base")))))
     secret = F.transform(
         "base",
         lambda s: F.struct(
@@ -61,11 +60,14 @@ def train_ratio(docs: DataFrame, text_col: str = "text") -> list[float]:
             .alias("value"),
         ),
     )
-    plain = F.transform(
-        apart(F.col("plain"), F.col("base")), lambda s: F.struct(F.lit(0).alias("random"), s["value"].alias("value"))
+    # Positions of the words matter only where there are spans to keep clear of.
+    words = F.when(F.size("base") == 0, F.regexp_extract_all(text, F.lit(PLAIN), F.lit(0))).otherwise(
+        F.transform(apart(located(text, PLAIN), F.col("base")), lambda s: s["value"])
     )
+    plain = F.transform(words, lambda w: F.struct(F.lit(0).alias("random"), w.alias("value")))
+    # Of the characters that a value can have only the full stop is outside the alphabet.
     labelled = rows.select(F.explode(F.concat(secret, plain)).alias("s")).select(
-        "s.random", F.regexp_replace("s.value", r"[^A-Za-z0-9+/_=-]", "").alias("value")
+        "s.random", F.translate("s.value", ".", "").alias("value")
     )
     counts = (
         labelled.where(F.length("value") > 1)
