@@ -3,6 +3,7 @@ from __future__ import annotations
 import dataclasses
 import math
 import random
+import time
 
 import numpy as np
 import sentencepiece
@@ -82,3 +83,29 @@ def test_known_words_are_forgotten_beyond_the_limit():
     for text in ("a b c", "d e", "a b c"):
         ids, _ = pieces.encode_texts(known, [text])
         assert ids.tolist() == LIBRARY.encode(text) and len(known.place) <= 3
+
+
+def test_known_words_are_forgotten_beyond_their_characters():
+    known = pieces.Known(pieces.load_vocabulary(), chars=50)
+    for text in ("=" * 80, "a b", "-" * 80, "a b"):
+        ids, _ = pieces.encode_texts(known, [text])
+        assert ids.tolist() == LIBRARY.encode(text) and len(known.place) <= 3
+
+
+def test_a_heap_gives_the_merges_of_the_rounds():
+    rng, vocab = random.Random(9), pieces.load_vocabulary()
+    for letters in ("ab", "=-", "the andingo", "▁x漢🙂"):
+        for _ in range(40):
+            codes = np.array([ord(rng.choice(letters)) for _ in range(rng.randint(1, 60))], dtype=np.uint32)
+            flat, counts = pieces.merge(vocab, codes[None, :])
+            assert pieces.merge_long(vocab, codes).tolist() == flat.tolist() and counts[0] == len(flat)
+
+
+def test_long_words_take_seconds():
+    rng, vocab = random.Random(3), pieces.load_vocabulary()
+    texts = ["=" * 200_000, "-=" * 50_000, "".join(rng.choice("etaoinshr") for _ in range(200_000)), "漢" * 30_000]
+    start = time.monotonic()
+    got, ids, counts = _encode(vocab, texts)
+    assert time.monotonic() - start < 30
+    assert got == [LIBRARY.encode(t) for t in texts]
+    assert [b.decode() for b in pieces.decode_ids(vocab, ids, counts)] == texts

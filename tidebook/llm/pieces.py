@@ -7,6 +7,8 @@ probes choose merges by vectorised maxima, which gives the ids of the reference
 
 from __future__ import annotations
 
+import functools
+import heapq
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -41,6 +43,11 @@ class Vocabulary:
     decoded: np.ndarray  # all bytes
     starts: np.ndarray
 
+    @functools.cached_property
+    def place(self) -> dict[int, int]:
+        """Where each piece hash stands among the keys."""
+        return {key: i for i, key in enumerate(self.keys.tolist())}
+
 
 def load_vocabulary(path: str = MODEL) -> Vocabulary:
     """Read a model file on the driver; workers get arrays only.
@@ -206,6 +213,52 @@ def merge(vocab: Vocabulary, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return flat, counts
 
 
+def merge_long(vocab: Vocabulary, codes: np.ndarray) -> np.ndarray:
+    """Pieces of one long unit by the merges of ``merge``: the best union comes from a heap, the leftmost of equals.
+
+    Work is the length times its logarithm, where a round for each merge would be the length squared.
+    """
+    length, mask, base = len(codes), (1 << 64) - 1, int(_BASE)
+    power = [int(p) for p in _powers(vocab.longest)]
+    prefix = [0]
+    for c in codes.tolist():
+        prefix.append((prefix[-1] * base + c) & mask)
+    scores = vocab.scores.tolist()
+    stop = list(range(1, length + 1))  # end of the piece that starts here; 0 where none does
+    before = list(range(-1, length - 1))  # start of the piece to its left
+
+    def place(start: int, end: int) -> int | None:
+        size = end - start
+        if size > vocab.longest:
+            return None
+        return vocab.place.get((prefix[end] - prefix[start] * power[size]) & mask)
+
+    def offer(start: int, middle: int, end: int) -> None:
+        at = place(start, end)
+        if at is not None:
+            heapq.heappush(unions, (-scores[at], start, middle, end))
+
+    unions: list[tuple[float, int, int, int]] = []
+    for start in range(length - 1):
+        offer(start, start + 1, start + 2)
+    while unions:
+        _, start, middle, end = heapq.heappop(unions)
+        if stop[start] != middle or stop[middle] != end:
+            continue  # one of the two has been merged since
+        stop[start], stop[middle] = end, 0
+        if end < length:
+            before[end] = start
+            offer(start, end, stop[end])
+        if before[start] >= 0:
+            offer(before[start], start, end)
+    out, start = [], 0
+    while start < length:
+        at = place(start, stop[start])
+        out.append(-1 - int(codes[start]) if at is None else int(vocab.ids[at]))
+        start = stop[start]
+    return np.array(out, dtype=np.int32)
+
+
 def _bytes_for_unknown(vocab: Vocabulary, flat: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Replace unknown characters by the ids of their UTF-8 bytes."""
     unknown = np.flatnonzero(flat < 0)
@@ -241,8 +294,12 @@ def encode_words(vocab: Vocabulary, words: list[str]) -> tuple[np.ndarray, np.nd
         size = sizes[order[first]]
         last = min(int(np.searchsorted(sizes[order], size, "right")), first + max(1, _CELLS // int(size)))
         chosen = order[first:last]
-        search = merge if vocab.merges else viterbi
-        flat, counts = search(vocab, np.stack([units[i] for i in chosen]))
+        if vocab.merges and size > _LONG:
+            each = [merge_long(vocab, units[i]) for i in chosen]
+            flat, counts = np.concatenate(each), np.array([len(e) for e in each], dtype=np.int64)
+        else:
+            search = merge if vocab.merges else viterbi
+            flat, counts = search(vocab, np.stack([units[i] for i in chosen]))
         flat, counts = _bytes_for_unknown(vocab, flat, counts)
         n_ids[chosen] = counts
         found[first] = (chosen, flat, counts)
@@ -275,22 +332,24 @@ def split_words(text: str) -> list[str]:
 
 
 class Known:
-    """Ids of the words that a task has met; forgets all of them beyond ``limit`` words."""
+    """Ids of the words that a task has met; forgets all of them beyond ``limit`` words or ``chars`` characters."""
 
-    def __init__(self, vocab: Vocabulary, limit: int = 400_000):
-        self.vocab, self.limit = vocab, limit
+    def __init__(self, vocab: Vocabulary, limit: int = 400_000, chars: int = 1 << 24):
+        self.vocab, self.limit, self.chars = vocab, limit, chars
         self.clear()
 
     def clear(self) -> None:
         self.place: dict[str, int] = {}
+        self.held = 0
         self.flat, self.counts = np.zeros(0, np.int32), np.zeros(0, np.int64)
 
     def find(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """All known ids, and where those of each of the distinct ``words`` start and how many they are."""
-        if len(self.place) + len(words) > self.limit:
+        if len(self.place) + len(words) > self.limit or self.held > self.chars:
             self.clear()
         new = [w for w in words if w not in self.place]
         if new:
+            self.held += sum(map(len, new))
             flat, counts = encode_words(self.vocab, new)
             self.place.update(zip(new, range(len(self.place), len(self.place) + len(new)), strict=True))
             self.flat, self.counts = np.concatenate([self.flat, flat]), np.concatenate([self.counts, counts])
