@@ -18,6 +18,7 @@ from tidebook.operators.bars import ohlcv, partial_bars
 from tidebook.operators.changes import audit_rows, flatten_envelopes, rejected_envelopes
 from tidebook.sinks import files, tables, topics
 from tidebook.sources.wire import RAW_TOPIC, WATERMARK, diff_stream
+from tidebook.streaming.arrival import local_sorts
 from tidebook.streaming.changelog import changelog_rows
 from tidebook.streaming.synced import gaps, synced_rows, synced_tickers
 from tidebook.streaming.ticker import letters, ticker_rows, tickers
@@ -109,7 +110,8 @@ def start_ticker_job(
             _publish_letters(lambda: letters(held), sinks.dead_letters, sinks.servers, tag)
 
     writer = rows.writeStream.queryName(name).option("checkpointLocation", checkpoint).foreachBatch(write)
-    return _trigger(writer, available_now, interval).start()
+    with local_sorts(raw.sparkSession):
+        return _trigger(writer, available_now, interval).start()
 
 
 def start_diffs_job(

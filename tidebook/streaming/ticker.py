@@ -15,6 +15,7 @@ from tidebook.operators.orderbook import QUOTE, finish_ticker
 from tidebook.operators.sequence import is_late
 from tidebook.schemas import DIFF, names
 from tidebook.sources.wire import ERRORS, RAW_TOPIC, dead_letters, parse_diff_events
+from tidebook.streaming.arrival import Arrival, in_order
 
 _REJECT_SHARDS = 64
 # The state runner renames columns that start with an underscore.
@@ -40,8 +41,8 @@ OUTPUT = T.StructType(
 class BookProcessor(StatefulProcessor):
     """Keeps the last update id and the book of one instrument.
 
-    The book is read and written once per micro-batch, not once per level.  A micro-batch
-    holds at most the records the source admits per trigger.
+    The book is read and written once per micro-batch, not once per level.  Of a micro-batch only
+    one piece (an Arrow batch) is held at a time, however many rows an instrument has in it.
     """
 
     def __init__(self, depth: int = market.TOP_DEPTH, ttl_ms: int | None = None):
@@ -52,32 +53,37 @@ class BookProcessor(StatefulProcessor):
         self.state = handle.getValueState("book", _STATE, self.ttl_ms)
 
     def handleInputRows(self, key, rows, timerValues):
-        batch = pd.concat(list(rows), ignore_index=True)
-        rejects = batch["error_type"].notna() & (batch["error_type"] != "late_event")
-        if rejects.any():
-            yield self._shape(batch[rejects], {})
-        batch = batch[~rejects].sort_values(["kafka_partition", "kafka_offset"], kind="stable")
-        if batch.empty:
-            return
-        last_id, book = self._load()
-        kept, quotes = [], []
-        columns = [batch[c].tolist() for c in ("last_update_id", "error_type", *_LEVELS)]
-        for position, (update_id, error, *update) in enumerate(zip(*columns)):
-            if last_id is not None and update_id <= last_id:
+        """Folds the rows piece by piece; ``ticker_rows`` brings them in order of arrival."""
+        stored, arrival = None, Arrival()
+        for batch in rows:
+            rejects = batch["error_type"].notna() & (batch["error_type"] != "late_event")
+            if rejects.any():
+                yield self._shape(batch[rejects], {})
+            batch = batch[~rejects]
+            if batch.empty:
                 continue
-            last_id = update_id  # a late diff uses its id but leaves the book alone
-            if error == "late_event":
-                kept.append(position)
-                quotes.append((None,) * len(QUOTE))
-                continue
-            book.apply(*[part if part is not None else () for part in update])
-            quote = book.quote(self.depth)
-            if quote is not None:
-                kept.append(position)
-                quotes.append(quote)
-        self._save(last_id, book)
-        if kept:
-            yield self._shape(batch.iloc[kept], dict(zip(QUOTE, zip(*quotes))))
+            arrival.check(batch)
+            last_id, book = stored or self._load()
+            kept, quotes = [], []
+            columns = [batch[c].tolist() for c in ("last_update_id", "error_type", *_LEVELS)]
+            for position, (update_id, error, *update) in enumerate(zip(*columns)):
+                if last_id is not None and update_id <= last_id:
+                    continue
+                last_id = update_id  # a late diff uses its id but leaves the book alone
+                if error == "late_event":
+                    kept.append(position)
+                    quotes.append((None,) * len(QUOTE))
+                    continue
+                book.apply(*[part if part is not None else () for part in update])
+                quote = book.quote(self.depth)
+                if quote is not None:
+                    kept.append(position)
+                    quotes.append(quote)
+            stored = last_id, book
+            if kept:
+                yield self._shape(batch.iloc[kept], dict(zip(QUOTE, zip(*quotes))))
+        if stored:
+            self._save(*stored)
 
     def close(self) -> None:
         pass
@@ -131,6 +137,7 @@ def ticker_rows(
     """Quotes, late diffs and rejects of a raw stream from one scan; see ``tickers`` and ``letters``.
 
     Rejects have no instrument, so they travel under numbered shards instead of one null key.
+    Start the query within ``arrival.local_sorts``.
     """
     shard = F.when(
         F.col("error_type").isNull() | (F.col("error_type") == "late_event"), F.lit(-1)
@@ -149,7 +156,9 @@ def ticker_rows(
         *[F.when(F.col("shard") == -1, F.col(c)).alias(c) for c in _LEVELS],
         "shard",
     )
-    return ready.groupBy("exchange", "symbol", "shard").transformWithStateInPandas(
+    key = ["exchange", "symbol", "shard"]
+    order = [F.col(c).asc_nulls_last() for c in ("kafka_partition", "kafka_offset")]
+    return in_order(ready, key, order).groupBy(*key).transformWithStateInPandas(
         statefulProcessor=BookProcessor(depth, ttl_ms),
         outputStructType=OUTPUT,
         outputMode="Append",
