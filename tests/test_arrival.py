@@ -4,13 +4,14 @@ import random
 
 import pandas as pd
 import pytest
-from helpers import at, quotes_of, random_diffs, sequential_quotes
+from helpers import at, diff, diffs, quotes_of, random_diffs, sequential_quotes, snapshots
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from test_writes_streams import _payload, _put, _stream
 
-from tidebook.schemas import BOOK_TICKER, RAW_RECORD
-from tidebook.streaming import jobs, ticker
+from tidebook.operators.orderbook import book_from_snapshots
+from tidebook.schemas import BOOK_TICKER, DEPTH_SNAPSHOT, DIFF, RAW_RECORD
+from tidebook.streaming import jobs, synced, ticker
 
 
 class _Value:
@@ -88,3 +89,52 @@ def test_ticker_stream_in_small_pieces_equals_batch(spark, folder, small_pieces)
     letters = spark.read.schema("key string, value string").json(f"{folder}/dlq")
     assert letters.where(F.get_json_object("value", "$.error_type") != "late_event").count() == 20
     assert spark.conf.get("spark.sql.streaming.unsupportedOperationCheck", "true") == "true"
+
+
+class _Map(dict):
+    def updateValue(self, key, value):
+        self[key] = value
+
+    def getValue(self, key):
+        return self.get(key)
+
+    def removeKey(self, key):
+        del self[key]
+
+
+def test_held_diffs_wait_in_blocks_of_state(monkeypatch):
+    monkeypatch.setattr(synced, "BLOCK_ROWS", 4)
+    state = _Map()
+    held = synced.Held(state)
+    for n in range(10):
+        held.append((n,))
+    assert len(held) == 2 and len(state) == 2  # before: all rows were in memory
+    held.store()
+    held = synced.Held(state, held.first, held.end)  # the next micro-batch
+    held.append((10,))
+    seen = []
+    for (n,) in held.drain():
+        seen.append(n)
+        if n > 5:
+            held.append((n,))
+    assert seen == list(range(11)) and [n for (n,) in held.drain()] == [6, 7, 8, 9, 10] and not state
+
+
+def test_synced_stream_in_small_pieces_equals_batch(spark, folder, small_pieces):
+    """Diffs that arrive shuffled, pieces of seven, held diffs over several micro-batches."""
+    rows = [diff(u, [(f"{100 - u % 3}", "1")], [(f"{101 + u % 3}", "2")], offset=u) for u in range(1, 90) if u not in (30, 61)]
+    starts = [("btc", 9, [("99", "1")], [("102", "1")]), ("btc", 45, [("98", "1")], [("103", "1")]), ("btc", 70, [("98", "1")], [("103", "1")])]
+    cuts = [(rows[:50], []), (rows[50:], starts)]
+    for number, (part, images) in enumerate(cuts):
+        random.Random(number).shuffle(part := list(part))
+        _put(diffs(spark, part), f"{folder}/diffs", number)
+        _put(snapshots(spark, images), f"{folder}/images", number)
+        job = jobs.start_synced_job(
+            _stream(spark, f"{folder}/diffs", DIFF), _stream(spark, f"{folder}/images", DEPTH_SNAPSHOT),
+            f"{folder}/silver", f"{folder}/gaps", f"{folder}/state", available_now=True,
+        )
+        job.awaitTermination()
+    got = spark.read.parquet(f"{folder}/silver").drop("event_date")
+    want = book_from_snapshots(snapshots(spark, starts), diffs(spark, rows))
+    assert quotes_of(got) == quotes_of(want) and got.count() > 40
+    assert spark.read.parquet(f"{folder}/gaps").count() == 2

@@ -162,7 +162,8 @@ def start_synced_job(
             tables.append_once(gaps(held), gap_table, ["exchange", "symbol"], ["kafka_partition", "kafka_offset"], tag)
 
     writer = rows.writeStream.queryName(name).option("checkpointLocation", checkpoint).foreachBatch(write)
-    return _trigger(writer, available_now, interval).start()
+    with local_sorts(diffs.sparkSession):
+        return _trigger(writer, available_now, interval).start()
 
 
 def start_changelog_job(

@@ -1,15 +1,19 @@
 """Order books that start from snapshots, as a stream: hold diffs, start, go live, break on a gap, wait again.
 
 Each instrument is ``waiting`` (no snapshot yet), ``live`` or ``broken`` (an id was missed).  Diffs that come
-while it is not live are held in a state list; a snapshot drops those it already covers and replays the rest
+while it is not live are held in blocks of state; a snapshot drops those it already covers and replays the rest
 up to the next gap.  A live book restarts from a snapshot that is not behind it and ignores an older one.
 Gaps of the arriving sequence go to a side output whatever the state.  Given snapshots no later than the
 diffs that a live book has used, the result equals the batch form, however rows are cut into micro-batches.
+
+Of a micro-batch, memory holds the snapshots of an instrument, one piece (an Arrow batch) of its diffs, one block
+of held diffs and the book.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections import deque
+from collections.abc import Iterable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -22,6 +26,7 @@ from tidebook.functions import market
 from tidebook.operators.book import Book, Side
 from tidebook.operators.orderbook import QUOTE
 from tidebook.schemas import BOOK_TICKER, DIFF, names
+from tidebook.streaming.arrival import Arrival, in_order
 
 WAITING, LIVE, BROKEN = "waiting", "live", "broken"
 TICKER, GAP = "ticker", "gap"
@@ -32,7 +37,10 @@ _TIMES = [f.name for f in DIFF.fields if isinstance(f.dataType, T.TimestampType)
 _FIELDS = [T.StructField(c, T.LongType() if c in _TIMES else DIFF[c].dataType) for c in _PLAIN]
 _ARRAYS = [T.StructField(c, T.ArrayType(T.StringType() if t == "string" else T.DoubleType())) for c, t in _LEVELS.items()]
 _HELD = T.StructType([*_FIELDS, *_ARRAYS, T.StructField("before_id", T.LongType())])
-_META = "last_id long, status string, snapshot_id long, applied_id long"
+_META = "last_id long, status string, snapshot_id long, applied_id long, first_block long, end_block long"
+_BLOCK = T.StructType([T.StructField("rows", T.ArrayType(_HELD))])
+BLOCK_ROWS = 1000  # held diffs of a block
+PIECE_ROWS = 10_000  # rows of an output frame
 OUTPUT = T.StructType(
     [T.StructField("kind", T.StringType()), *_FIELDS]
     + [T.StructField(c, T.DoubleType()) for c in QUOTE]
@@ -42,13 +50,52 @@ OUTPUT = T.StructType(
 _AT = {c: i for i, c in enumerate(_HELD.names)}
 
 
+class Held(list):
+    """Diffs that wait, oldest first: blocks ``first`` to ``end`` of a map state, then the rows of the list itself.
+
+    Without a state all are in the list.
+    """
+
+    def __init__(self, state=None, first: int = 0, end: int = 0):
+        super().__init__()
+        self.state, self.first, self.end = state, first, end
+
+    def append(self, row: tuple) -> None:
+        super().append(row)
+        if self.state is not None and len(self) >= BLOCK_ROWS:
+            self.store()
+
+    def store(self) -> None:
+        if self:
+            self.state.updateValue((self.end,), (list(self),))
+            self.end += 1
+            self.clear()
+
+    def drain(self) -> Iterator[tuple]:
+        """All that wait now; a block leaves the state as it is read, and rows appended meanwhile stay."""
+        blocks, rows = range(self.first, self.end), list(self)
+        self.clear()
+        self.first = self.end
+        for block in blocks:
+            (stored,) = self.state.getValue((block,))
+            self.state.removeKey((block,))
+            yield from map(tuple, stored)  # the state takes no Row back
+        yield from rows
+
+
 class Sync:
     """The state machine of one instrument.  Diffs are tuples in the order of ``_HELD``."""
 
-    def __init__(self, depth: int, status: str = WAITING, snapshot_id: int | None = None, applied_id: int | None = None):
+    def __init__(
+        self,
+        depth: int,
+        status: str = WAITING,
+        snapshot_id: int | None = None,
+        applied_id: int | None = None,
+        held: Held | None = None,
+    ):
         self.depth, self.status, self.snapshot_id, self.applied_id = depth, status, snapshot_id, applied_id
-        self.book, self.held = Book(), []
-        self.restarted = False
+        self.book, self.held = Book(), Held() if held is None else held
 
     def diff(self, row: tuple) -> tuple | None:
         """The quote after a diff, or None when it was held, is covered by the snapshot, or a side is empty."""
@@ -60,7 +107,8 @@ class Sync:
         before = row[_AT["before_id"]]
         known = self.snapshot_id if before is None else max(before, self.snapshot_id)
         if row[_AT["first_update_id"]] > known + 1:
-            self.status, self.held = BROKEN, [row]
+            self.status = BROKEN  # a live book holds nothing, or is just replaying what it held
+            self.held.append(row)
             return None
         self.book.apply(*[row[_AT[c]] or () for c in _LEVELS])
         self.applied_id = row[_AT["last_update_id"]]
@@ -70,11 +118,10 @@ class Sync:
         """Start from a full image; yields the held diffs that now have quotes."""
         if self.status == LIVE and update_id < self.applied_id:
             return
-        held, self.held = self.held, []
         self.book = Book()
         self.book.apply(*[part if part is not None else () for part in levels])
-        self.status, self.snapshot_id, self.applied_id, self.restarted = LIVE, update_id, update_id, True
-        for row in held:
+        self.status, self.snapshot_id, self.applied_id = LIVE, update_id, update_id
+        for row in self.held.drain():
             quote = self.diff(row)
             if quote is not None:
                 yield row, quote
@@ -88,37 +135,56 @@ class SyncedBookProcessor(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.meta = handle.getValueState("meta", _META)
-        self.waiting = handle.getListState("waiting", _HELD)
+        self.waiting = handle.getMapState("held", "block long", _BLOCK)
         self.sides = [handle.getMapState(name, "price string", "qty double, age long") for name in ("bids", "asks")]
 
     def handleInputRows(self, key, rows, timerValues):
-        batch = pd.concat(list(rows), ignore_index=True)
-        last_id, status, snapshot_id, applied_id = self.meta.get() if self.meta.exists() else (None, WAITING, None, None)
-        sync = Sync(self.depth, status, snapshot_id, applied_id)
-        images = batch[batch["is_snapshot"]]
-        before_levels = self._load(sync) if status == LIVE else [{}, {}]
-        if status != LIVE and len(images):
-            sync.held = [tuple(row) for row in self.waiting.get()]
-        stored = len(sync.held)
-        out, last_id, accepted = [], *self._accepted(batch[~batch["is_snapshot"]], last_id)
-        events = [(row[_AT["last_update_id"]], 0, row) for row in accepted]
-        columns = [images[c].tolist() for c in ("last_update_id", *_LEVELS)]
-        events += [(update_id, 1, levels) for update_id, *levels in zip(*columns, strict=True)]
-        for update_id, is_image, body in sorted(events, key=lambda e: e[:2]):
-            if is_image:
-                out += [self._ticker(row, quote, sync) for row, quote in sync.snapshot(update_id, body)]
-                continue
-            quote = sync.diff(body)
-            before = body[_AT["before_id"]]
-            if before is not None and body[_AT["first_update_id"]] > before + 1:
-                out.append((GAP, *body[: len(_PLAIN)], *[None] * len(QUOTE), None, before + 1, sync.status))
-            if quote is not None:
-                out.append(self._ticker(body, quote, sync))
-        self._save(sync, before_levels, stored, last_id, len(images) > 0)
+        """``synced_rows`` brings the snapshots first, by id, then the diffs in order of arrival."""
+        out = []
+        for row in self._results(rows):
+            out.append(row)
+            if len(out) == PIECE_ROWS:
+                yield self._frame(out)
+                out = []
         if out:
-            yield pd.DataFrame(out, columns=OUTPUT.names).astype({c: "float64" for c in QUOTE}).astype(
-                {c: "Int64" for c in ("snapshot_id", "expected_update_id")}
-            )
+            yield self._frame(out)
+
+    def _results(self, rows: Iterable[pd.DataFrame]) -> Iterator[tuple]:
+        stored = self.meta.get() if self.meta.exists() else (None, WAITING, None, None, 0, 0)
+        last_id, status, snapshot_id, applied_id, first, end = stored
+        sync = Sync(self.depth, status, snapshot_id, applied_id, Held(self.waiting, first, end))
+        before_levels = self._load(sync) if status == LIVE else [{}, {}]
+        images, arrival = deque(), Arrival()
+        for batch in rows:
+            is_image = batch["is_snapshot"]
+            images.extend(zip(*[batch.loc[is_image, c].tolist() for c in ("last_update_id", *_LEVELS)], strict=True))
+            diffs = batch[~is_image]
+            arrival.check(diffs)
+            last_id, accepted = self._accepted(diffs, last_id)
+            for row in accepted:
+                # A snapshot follows the diff of its own id.
+                while images and images[0][0] < row[_AT["last_update_id"]]:
+                    yield from self._start(sync, images.popleft())
+                quote = sync.diff(row)
+                before = row[_AT["before_id"]]
+                if before is not None and row[_AT["first_update_id"]] > before + 1:
+                    yield (GAP, *row[: len(_PLAIN)], *[None] * len(QUOTE), None, before + 1, sync.status)
+                if quote is not None:
+                    yield self._ticker(row, quote, sync)
+        while images:
+            yield from self._start(sync, images.popleft())
+        self._save(sync, before_levels, last_id)
+
+    def _start(self, sync: Sync, image: tuple) -> Iterator[tuple]:
+        update_id, *levels = image
+        for row, quote in sync.snapshot(update_id, levels):
+            yield self._ticker(row, quote, sync)
+
+    @staticmethod
+    def _frame(out: list[tuple]) -> pd.DataFrame:
+        return pd.DataFrame(out, columns=OUTPUT.names).astype({c: "float64" for c in QUOTE}).astype(
+            {c: "Int64" for c in ("snapshot_id", "expected_update_id")}
+        )
 
     def close(self) -> None:
         pass
@@ -129,10 +195,9 @@ class SyncedBookProcessor(StatefulProcessor):
 
     @staticmethod
     def _accepted(diffs: pd.DataFrame, last_id: int | None) -> tuple[int | None, list[tuple]]:
-        """Diffs with rising ids, in order of arrival, each with the id before it."""
+        """Those of a piece whose ids rise, each with the id before it."""
         rows = []
-        ordered = diffs.sort_values(["kafka_partition", "kafka_offset", "last_update_id"], kind="stable")
-        columns = [ordered[c].tolist() for c in (*_PLAIN, *_LEVELS)]
+        columns = [diffs[c].tolist() for c in (*_PLAIN, *_LEVELS)]
         for *plain, bid_px, bid_qty, ask_px, ask_qty in zip(*columns, strict=True):
             update_id = plain[_AT["last_update_id"]]
             if last_id is None or update_id > last_id:
@@ -152,17 +217,11 @@ class SyncedBookProcessor(StatefulProcessor):
             found.append(levels)
         return found
 
-    def _save(self, sync: Sync, before: list[dict], stored: int, last_id: int | None, had_image: bool) -> None:
-        self.meta.update((last_id, sync.status, sync.snapshot_id, sync.applied_id))
+    def _save(self, sync: Sync, before: list[dict], last_id: int | None) -> None:
         for state, side, old in zip(self.sides, (sync.book.bids, sync.book.asks), before, strict=True):
             write_levels(state, side if sync.status == LIVE else Side(side.sign), old)
-        if sync.status == LIVE:
-            if stored:
-                self.waiting.clear()
-        elif had_image:
-            self.waiting.put(sync.held)
-        elif sync.held:
-            self.waiting.appendList(sync.held)
+        sync.held.store()
+        self.meta.update((last_id, sync.status, sync.snapshot_id, sync.applied_id, sync.held.first, sync.held.end))
 
 
 def write_levels(state, side: Side, old: dict[str, tuple[float, int]]) -> int:
@@ -193,9 +252,13 @@ def _inputs(rows: DataFrame, is_snapshot: bool) -> DataFrame:
 
 
 def synced_rows(diffs: DataFrame, snapshots: DataFrame, depth: int = market.TOP_DEPTH) -> DataFrame:
-    """Tickers and gaps of a stream of diffs and a stream of snapshots; see ``synced_tickers`` and ``gaps``."""
+    """Tickers and gaps of a stream of diffs and a stream of snapshots; see ``synced_tickers`` and ``gaps``.
+
+    Start the query within ``arrival.local_sorts``.
+    """
     both = _inputs(diffs, False).unionByName(_inputs(snapshots, True))
-    rows = both.groupBy("exchange", "symbol").transformWithStateInPandas(
+    order = [F.col("is_snapshot").desc(), *[F.col(c).asc() for c in ("kafka_partition", "kafka_offset", "last_update_id")]]
+    rows = in_order(both, ["exchange", "symbol"], order).groupBy("exchange", "symbol").transformWithStateInPandas(
         statefulProcessor=SyncedBookProcessor(depth),
         outputStructType=OUTPUT,
         outputMode="Append",
