@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import os
+import re
 from datetime import date
 
 import pytest
@@ -105,6 +106,22 @@ def test_compaction_into_several_files_of_closed_dates_only(spark, folder):
         tables.compact(spark, path, tables.TICK_PARTITIONS, before=date(9999, 1, 1))
 
 
+def test_compaction_writes_the_files_that_each_folder_needs(spark, folder):
+    """Also beside a folder that needs more; a task of the overwrite has the rows of one file."""
+    path = f"{folder}/t"
+    rows = spark.range(6000).selectExpr("'x' exchange", "if(id < 5000, 'big', concat('s', id % 5)) symbol", "date'2024-01-01' event_date", "rand(1) v")
+    for i in range(12):
+        rows.where(f"pmod(hash(v), 12) = {i}").coalesce(1).write.mode("append").partitionBy(*tables.TICK_PARTITIONS).parquet(path)
+    wanted = {r["folder"]: r["needed_files"] for r in tables.compact(spark, path, tables.TICK_PARTITIONS, target_bytes=12_000).collect()}
+    assert len(wanted) == 6 and len(set(wanted.values())) == 2
+    files = spark.read.parquet(path).groupBy("symbol", "_metadata.file_path").count().collect()
+    left = {f: sum(f"/symbol={f.split("symbol=")[1].split("/")[0]}/" in r["file_path"] for r in files) for f in wanted}
+    assert left == wanted
+    tasks = {re.search(r"part-(\d+)", f["file_path"]).group(1) for f in files}
+    assert len(tasks) == len(files)
+    assert _rows(spark.read.parquet(path).select("v")) == _rows(rows.select("v"))
+
+
 def test_registered_tables_are_compacted(spark, folder):
     path, df = f"{folder}/book", _slices(spark, folder, "book")
     assert tables.compact_all(spark, {"book_ticker": path}) == {"book_ticker": 6}

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from datetime import date, datetime, timezone
+from functools import reduce
+from operator import and_
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -230,10 +232,10 @@ def compact(
     for row in found.toLocalIterator():
         batch.append(row)
         if len(batch) == _FOLDERS_PER_JOB:
-            _rewrite(spark, path, partitions, batch)
+            _rewrite(spark, path, partitions, batch, target_bytes)
             batch = []
     if batch:
-        _rewrite(spark, path, partitions, batch)
+        _rewrite(spark, path, partitions, batch, target_bytes)
     return found
 
 
@@ -249,20 +251,30 @@ def compact_all(spark: SparkSession, paths: dict[str, str], before: date | None
     }
 
 
-def _rewrite(spark: SparkSession, path: str, partitions: list[str], found: list) -> None:
+def _rewrite(spark: SparkSession, path: str, partitions: list[str], found: list, target_bytes: int) -> None:
     """Compact some folders.  Partition values are read as text, so that their spelling stays."""
     read = spark.read.option("basePath", path)
     folders = [r["folder"] for r in found]
     data = [f for f in read.parquet(*folders).schema.fields if f.name not in partitions]
     schema = T.StructType([*data, *[T.StructField(p, T.StringType()) for p in partitions]])
     rows = read.schema(schema).parquet(*folders)
-    # The shard follows from the row's position: a recomputed task places its rows as before.  About one
-    # shard for each file wanted, so that a large partition is not one task.
-    most, total = max(r["needed_files"] for r in found), sum(r["needed_files"] for r in found)
+    # Each file wanted is one task of the overwrite, and each task one file: hashed together, several would share a
+    # task, which sorts all it gets.  The file follows from the row's position: a recomputed task places its rows as
+    # before.  Folders (at most _FOLDERS_PER_JOB) are numbered by a window.
+    sizes = rows.groupBy(*partitions, "_metadata.file_path").agg(F.max("_metadata.file_size").alias("bytes"))
+    wanted = sizes.groupBy(*partitions).agg(F.ceil(F.sum("bytes") / F.lit(target_bytes)).alias("_files"))
+    before = Window.orderBy(*partitions).rowsBetween(Window.unboundedPreceding, -1)
+    wanted = wanted.withColumn("_first", F.coalesce(F.sum("_files").over(before), F.lit(0)))
+    wanted = wanted.select(*[F.col(p).alias(f"_of_{p}") for p in partitions], "_files", "_first")
     place = F.xxhash64(F.col("_metadata.file_path"), F.col("_metadata.row_index"))
+    placed = rows.select("*", place.alias("_place")).join(
+        F.broadcast(wanted), reduce(and_, [F.col(p).eqNullSafe(F.col(f"_of_{p}")) for p in partitions])
+    )
+    shard = (F.col("_first") + F.pmod("_place", "_files")).cast("int")
     staged = shared_dir(spark, "compacted")
-    rows.select("*", F.pmod(place, F.lit(most)).alias("_shard")).write.parquet(staged)
-    copy = spark.read.parquet(staged).repartition(total, *partitions, "_shard").drop("_shard")
+    placed.select(*rows.columns, shard.alias("_shard")).write.parquet(staged)
+    total = sum(r["needed_files"] for r in found)
+    copy = spark.read.parquet(staged).repartitionById(total, "_shard").drop("_shard")
     try:
         copy.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partitions).parquet(path)
     except Exception as error:
