@@ -80,3 +80,18 @@ def test_awkward_rows_and_missing_labels(spark):
         assert all(0 <= r.score <= 1 for r in rows)
     machine = toxicity.fit(docs, labels)
     assert toxicity.score_documents(docs.limit(0), machine).count() == 0
+
+
+def test_the_driver_gets_the_machine_only(spark, monkeypatch):
+    """Training runs in a task, on the rows in the order of their ids; no row of the sample reaches the driver."""
+    docs = spark.createDataFrame([(i, f"{'alpha' if i % 2 else 'beta'} w{i % 7}") for i in range(400)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1, i % 2) for i in range(400)], "doc_id long, quality int, toxic int")
+    rows = toxicity.training_rows(docs, labels).orderBy("doc_id").select("toxic", "terms").toPandas()
+    rows["terms"] = [np.sort(np.asarray(t, dtype=np.int64)) for t in rows["terms"]]
+    wanted, got = toxicity.train(rows), []
+    to_arrow = type(docs).toArrow
+    monkeypatch.setattr(type(docs), "toArrow", lambda df: got.append(to_arrow(df)) or got[-1])
+    machine = toxicity.fit(docs, labels)
+    assert [t.num_rows for t in got] == [len(wanted.keys) + 1]
+    assert np.array_equal(machine.keys, wanted.keys) and machine.bias == wanted.bias
+    assert np.array_equal(machine.linear, wanted.linear) and np.array_equal(machine.factors, wanted.factors)

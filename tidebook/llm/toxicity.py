@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -143,10 +145,35 @@ def train(rows: pd.DataFrame, factors: int = FACTORS, epochs: int = EPOCHS, seed
     return Machine(keys, w * x_of, v * pair_of[:, None], float(bias))
 
 
+def _training_frame(batches: Iterator[pa.RecordBatch]) -> pd.DataFrame:
+    """``toxic`` and ``terms``; the lists are views of the batches, no Python numbers."""
+    lists, toxic = [], []
+    for batch in batches:
+        held = batch.column("terms")
+        values, ends = held.values.to_numpy(zero_copy_only=False), held.offsets.to_numpy()
+        lists += [values[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
+        toxic += batch.column("toxic").to_pylist()
+    return pd.DataFrame({"toxic": pd.Series(toxic, dtype="int32"), "terms": pd.Series(lists, dtype=object)})
+
+
+def _learned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The machine as rows: a key with its weight and factors, and the bias as the weight of a row without key."""
+    machine = train(_training_frame(batches))
+    n = len(machine.keys)
+    keys = pa.array(np.append(machine.keys, 0), pa.int64(), mask=np.arange(n + 1) == n)
+    linear = np.append(machine.linear, machine.bias)
+    factors = pa.array(np.append(machine.factors, np.zeros((1, machine.factors.shape[1])), axis=0).ravel())
+    starts = np.arange(n + 2, dtype=np.int32) * machine.factors.shape[1]
+    yield pa.RecordBatch.from_arrays(
+        [keys, pa.array(linear), pa.ListArray.from_arrays(pa.array(starts), factors)], ["key", "linear", "factors"]
+    )
+
+
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_ROWS) -> Machine:
     """Train on a bounded sample of labelled rows.
 
-    Spark counts the sample's terms; the driver gets its rows with those terms only that ``train`` uses.
+    Spark counts the sample's terms; one task gets its rows with those terms only that ``train`` uses.  The
+    driver gets the machine alone, so that its memory does not hold the sample.
     """
     rows = training_rows(docs, labels, sample).withColumn("row", F.monotonically_increasing_id())
     rows = settle(rows, "training")
@@ -156,13 +183,16 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_ROWS) -> Machin
         F.sort_array(F.collect_set("term")).alias("terms")
     )
     none = F.expr("cast(array() as array<bigint>)")
-    chosen = rows.select("row", "doc_id", "toxic").join(kept, "row", "left").orderBy("doc_id", "row")
-    got = chosen.select("toxic", F.coalesce("terms", none).alias("terms")).toArrow()
-    lists = []  # views of the arrays that came, no Python numbers
-    for chunk in got["terms"].chunks:
-        values, ends = chunk.values.to_numpy(zero_copy_only=False), chunk.offsets.to_numpy()
-        lists += [values[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
-    return train(pd.DataFrame({"toxic": got["toxic"].to_pandas(), "terms": pd.Series(lists, dtype=object)}))
+    chosen = rows.select("row", "doc_id", "toxic").join(kept, "row", "left")
+    chosen = chosen.select("doc_id", "row", "toxic", F.coalesce("terms", none).alias("terms"))
+    # At most about `sample` rows; their order decides the steps of the training.
+    ordered = chosen.repartition(1).sortWithinPartitions("doc_id", "row").select("toxic", "terms")
+    got = ordered.mapInArrow(_learned, "key long, linear double, factors array<double>").toArrow()
+    if not got.num_rows:  # no task ran
+        return train(_training_frame(iter(())))
+    known, weights = got["key"].is_valid().to_numpy(), got["linear"].to_numpy()
+    factors = got["factors"].combine_chunks().flatten().to_numpy().reshape(got.num_rows, -1)
+    return Machine(got["key"].drop_null().to_numpy(), weights[known], factors[known], float(weights[~known][0]))
 
 
 def with_score(docs: DataFrame, machine: Machine) -> DataFrame:
