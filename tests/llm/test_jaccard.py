@@ -99,6 +99,29 @@ def test_star_of_copies_beyond_the_radius(spark, monkeypatch, block, depth):
         assert links <= held
 
 
+def test_possible_pairs_of_many_regions_are_compared_once(spark, monkeypatch):
+    """Pairs just beyond the radius share many anchors; before, leaves got both sets once for each anchor."""
+    held, leaf = [], jaccard._leaf_links
+
+    def counted(cells, *rest):
+        held.append(cells.count())
+        return leaf(cells, *rest)
+
+    monkeypatch.setattr(jaccard, "_leaf_links", counted)
+    texts = []
+    for pair in range(60):
+        text = [f"p{pair}w{i}" for i in range(120)]
+        texts.append(" ".join(text))
+        for at in (20, 23, 70):  # 13 of 116 shingles
+            text[at] = f"x{pair}y{at}"
+        texts.append(" ".join(text))
+    docs = list(enumerate([*texts, *(f"{t} tail" for t in texts[:20])]))
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    assert _rows(jaccard.jaccard_join(df)) == plain_components(docs, 5, 80)
+    assert len({c for _, _, c in plain_components(docs, 5, 80)}) == 110  # ten pairs are joined by their tails
+    assert held == [0]
+
+
 def test_voronoi_cells_keep_every_link(spark):
     """Two linked documents are together in some cell, whatever the pivots."""
     rng = random.Random(4)

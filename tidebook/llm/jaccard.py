@@ -28,6 +28,8 @@ LEAST_BITS = 512  # of a sketch
 SAMPLE_DOCS = 10_000
 SAMPLE_SHARE = 4  # sampled documents that make a shingle frequent
 BLOCK = 512  # documents of each side of a leaf
+FEW_PAIRS = 4  # possible pairs for a document of a cell, so that the cell ends as pairs
+BROADCAST_NODES = 500_000
 PIVOTS = 4  # of a split
 DEPTH = 6  # rounds of pivots before cells become leaves whatever their size
 SHRINK = 0.7  # a split must leave no cell larger than this share
@@ -187,6 +189,8 @@ def _may_link(n: np.ndarray, sketch: np.ndarray, x: np.ndarray, y: np.ndarray, p
 def exact_sets(wanted: DataFrame, nodes: DataFrame, docs: DataFrame, k: int, name: str) -> DataFrame:
     """node and its set, hashed again from the texts of just the ``wanted`` nodes, written once."""
     wanted = settle(wanted.distinct().join(nodes.select("node", "doc_id", "d1"), "node"), "wanted")
+    if wanted.count() <= BROADCAST_NODES:  # else all texts would be shuffled
+        wanted = F.broadcast(wanted)
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -308,7 +312,7 @@ def _blocks(cells: DataFrame) -> DataFrame:
     rest = rest.join(strays, "cell")
     blocks, folds = F.ceil(F.col("m") / BLOCK), F.ceil(F.col("strays") / BLOCK)
     spread = F.xxhash64("node")
-    columns = ["cell", "node", "label", "stray"]
+    columns = ["cell", "node", "label", "stray", (F.col("m") <= BLOCK).alias("whole")]
     one = rest.select(
         *columns, F.lit(0).alias("side"),
         F.pmod(spread, blocks).alias("block"), F.explode(F.sequence(F.lit(0).cast("long"), folds - 1)).alias("fold"),
@@ -366,25 +370,58 @@ def _candidates(rows: pd.DataFrame, percent: int, chunk: int = 1 << 18) -> Itera
         at = stop
 
 
-def _within_windows(cells: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """cell and node of the documents that have a possible partner in their cell; lengths and sketches rule out the others."""
+def _joined(root: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """``root``, the least place of each place's component, after the pairs of places ``x``, ``y`` are joined."""
+    while True:
+        a, b = root[x], root[y]
+        if (a == b).all():
+            return root
+        np.minimum.at(root, np.maximum(a, b), np.minimum(a, b))
+        while (root[root] != root).any():
+            root = root[root]
+
+
+def _within_windows(cells: DataFrame, nodes: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Documents that have a possible partner in their cell, by cell and node, and distinct possible pairs a, b.
+
+    Lengths and sketches rule out the others.  Possible partners share most of their anchors, so they meet in many cells: a cell
+    of one block is cut into the components of its possible pairs.  Those with few pairs for their documents end as pairs, each of
+    which is compared once; the others are named by their documents, so the same documents from many cells are one cell.
+    """
 
     def pick(rows: pd.DataFrame) -> pd.DataFrame:
-        seen = np.zeros(len(rows), bool)
+        place = rows.groupby([*_KEYS, "node"], sort=False).ngroup().to_numpy()  # one of both sides
+        first = np.unique(place, return_index=True)[1]
+        cell, node, whole = (rows[c].to_numpy()[first] for c in ("cell", "node", "whole"))
+        root, near, others = np.arange(len(first)), [], []
+        seen = np.zeros(len(first), bool)
         for x, y in _candidates(rows, percent):
+            x, y = place[x], place[y]
             seen[x] = seen[y] = True
-        return rows.loc[seen, ["cell", "node"]].drop_duplicates()
+            root = _joined(root, x, y)
+            near.append(x[whole[x]])
+            others.append(y[whole[x]])
+        x, y = (np.concatenate(p) if p else np.zeros(0, np.int64) for p in (near, others))
+        few = np.bincount(root[x], minlength=len(root)) <= FEW_PAIRS * np.bincount(root[seen], minlength=len(root))
+        name = np.zeros(len(root), np.uint64)
+        np.add.at(name, root, _mix(node.astype(np.uint64) + np.uint64(1)))
+        pairs, held = few[root[x]], np.flatnonzero(seen & ~(whole & few[root]))
+        a, b = node[x[pairs]], node[y[pairs]]
+        dense = pd.DataFrame({"cell": np.where(whole, name[root].astype(np.int64), cell)[held], "node": node[held]})
+        sparse = pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+        return pd.concat([dense, sparse]).astype("Int64").drop_duplicates()[["cell", "node", "a", "b"]]
 
     facts = nodes.select("node", "n", "sketch")
-    picked = _by_group(_blocks(cells).join(facts, "node"), pick, "cell long, node long")
-    return settle(picked.distinct(), "within")
+    picked = _by_group(_blocks(cells).join(facts, "node"), pick, "cell long, node long, a long, b long")
+    picked = settle(picked.distinct(), "within")
+    return picked.where("a is null").select("cell", "node"), picked.where("a is not null").select("a", "b")
 
 
 def _leaf_links(cells: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """A spanning forest of the links of each leaf; leaves beyond ``BLOCK`` documents meet block by block."""
 
     def forest(rows: pd.DataFrame) -> pd.DataFrame:
-        node, held = rows["node"].to_numpy(), rows["shingles"].to_numpy()
+        node, held = rows["node"].to_numpy(), rows.groupby([*_KEYS, "node"], sort=False)["shingles"].transform("first").to_numpy()
         # Components inside each group: documents of one label are joined from the start.
         root, found = rows.groupby([*_KEYS, "label"], sort=False).ngroup().to_numpy().copy(), []
         for near, others in _candidates(rows, percent):
@@ -398,15 +435,24 @@ def _leaf_links(cells: DataFrame, nodes: DataFrame, sets: DataFrame, percent: in
         return pd.DataFrame(found, columns=["a", "b"], dtype=np.int64)
 
     facts = nodes.select("node", "n", "sketch").join(sets, "node")
-    return settle(_by_group(_blocks(cells).join(facts, "node"), forest, "a long, b long"), "links")
+    # In a cell of one block both sides are in one group, and one of them brings the set.
+    once = F.when(~F.col("whole") | (F.col("side") == 0), F.col("shingles"))
+    met = _blocks(cells).join(facts, "node").withColumn("shingles", once)
+    return settle(_by_group(met, forest, "a long, b long"), "links")
 
 
 def _open_links(regions: DataFrame, labels: DataFrame, links: DataFrame, nodes: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
     """All links that regions with several components lack, up to a spanning forest."""
     radius = 1 - percent / 100
     cells = _open(regions.select(F.col("region").alias("cell"), "node"), labels)
-    cells = _open(_within_windows(cells, nodes, percent), labels)
-    sets = exact_sets(cells.select("node"), nodes, docs, k, "open-sets")
+    cells, pairs = _within_windows(cells, nodes, percent)
+    ends = pairs.select(F.col("a").alias("node")).union(pairs.select("b"))
+    sets = exact_sets(cells.select("node").union(ends), nodes, docs, k, "open-sets")
+    found = distances(pairs, sets, sets, percent, "distances").where("linked").select("a", "b")
+    if not found.isEmpty():
+        links = links.union(found)
+        labels = components(links)
+    cells = _open(cells, labels)
     before = None
     for depth in range(DEPTH):
         strays = cells.where("label <> main").count()
@@ -435,7 +481,9 @@ def _open_links(regions: DataFrame, labels: DataFrame, links: DataFrame, nodes:
         )
         kept = cells.join(whole.where("not whole"), "cell", "left_anti").select("cell", "node")
         cells = _open(kept.union(parts), labels)
-    cells = _open(_within_windows(cells, nodes, percent), labels)
+    cells, pairs = _within_windows(cells, nodes, percent)
+    links = links.union(distances(pairs, sets, sets, percent, "distances").where("linked").select("a", "b"))
+    cells = _open(cells, labels)
     return links.union(_leaf_links(cells, nodes, sets, percent))
 
 
