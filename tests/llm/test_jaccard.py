@@ -4,8 +4,10 @@ import random
 
 import pytest
 from llm import helpers as h
+from pyspark.sql import functions as F
 
 from tidebook.llm import jaccard
+from tidebook.llm.common import hash_sample
 from tidebook.llm.components import components
 from tidebook.llm.queries import op4_jaccard_regions
 
@@ -122,6 +124,21 @@ def test_possible_pairs_of_many_regions_are_compared_once(spark, monkeypatch):
     assert held == [0]
 
 
+def test_frequent_shingles_are_counted_over_all_documents(spark):
+    """A phrase of documents that no sample of 10,000 holds; before, only such a sample was counted."""
+    df = spark.range(11_000).selectExpr("id as doc_id", "concat('t', id, ' u', id, ' v', id) as text")
+    inside = {r.doc_id for r in hash_sample(df, F.col("doc_id"), 10_000).collect()}
+    outside = [i for i in range(11_000) if i not in inside][:6]
+    six, four = (jaccard.shingle_sets([t.encode()], 3)[0][0] for t in ("of six documents", "of four documents"))
+    phrase = F.when(F.col("doc_id").isin(outside[:4]), " of six documents and of four documents").when(
+        F.col("doc_id").isin(outside), " of six documents"
+    )
+    df = df.withColumn("text", F.concat("text", F.coalesce(phrase, F.lit(""))))
+    slots = {int(s) & 0xFFFFFFFF for s in jaccard.frequent_shingles(df, 3)}
+    assert int(six) & 0xFFFFFFFF in slots and int(four) & 0xFFFFFFFF not in slots and len(slots) == 1
+    assert len(jaccard.frequent_shingles(df.limit(0), 3)) == 0
+
+
 def test_voronoi_cells_keep_every_link(spark):
     """Two linked documents are together in some cell, whatever the pivots."""
     rng = random.Random(4)

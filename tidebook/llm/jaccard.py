@@ -20,13 +20,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidebook.llm.common import bounded_batches, hash_sample, whole_text
+from tidebook.llm.common import bounded_batches, whole_text
 from tidebook.llm.components import components
 from tidebook.session import settle
 
 LEAST_BITS = 512  # of a sketch
-SAMPLE_DOCS = 10_000
-SAMPLE_SHARE = 4  # sampled documents that make a shingle frequent
+FREQUENT, FREQUENT_OF = 4, 10_000  # documents that make a shingle frequent
+PIECE_CHARS, PIECES = 1 << 23, 4096  # text for a piece of the slots' range, and pieces at most
 BLOCK = 512  # documents of each side of a leaf
 FEW_PAIRS = 4  # possible pairs for a document of a cell, so that the cell ends as pairs
 BROADCAST_NODES = 500_000
@@ -90,21 +90,51 @@ def prefix_length(n: int, percent: int) -> int:
     return n - -(-percent * n // 100) + 1
 
 
-def frequent_shingles(docs: DataFrame, k: int, sample: int = SAMPLE_DOCS) -> np.ndarray:
-    """Sorted hashes of shingles that several documents of a bounded sample have.
+def frequent_shingles(docs: DataFrame, k: int) -> np.ndarray:
+    """Sorted slots (low 32 bits) of shingles that ``FREQUENT`` of ``FREQUENT_OF`` documents hold, and as many documents at least.
 
-    They only move to the end of the shared order, so the sample bears on speed, never on results.
+    All documents are counted: a batch sends the slots it holds with their counts, cut into pieces of the slots' range, and each
+    piece is summed as a whole.  Frequent shingles move to the end of the shared order, which bears on speed, never on results.
     """
+    size = docs.agg(F.count(F.lit(1)).alias("rows"), F.sum(F.octet_length("text")).alias("chars")).first()
+    least = max(FREQUENT, -(-FREQUENT * size["rows"] // FREQUENT_OF))
+    pieces = min(PIECES, 1 + (size["chars"] or 0) // PIECE_CHARS)
 
-    def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = shingle_sets(_texts(batch, 0), k)
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(sets).astype(np.int64))], ["s"])
+            slots = np.concatenate(shingle_sets(_texts(batch, 0), k)).astype(np.uint32)
+            slots, times = np.unique(slots, return_counts=True)
+            times = times.astype(np.uint32)
+            ends = np.searchsorted(slots.astype(np.uint64) * np.uint64(pieces) >> np.uint64(32), np.arange(pieces + 1))
+            full = np.flatnonzero(np.diff(ends))
+            parts = [[a[ends[i] : ends[i + 1]].tobytes() for i in full] for a in (slots, times)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(full, pa.int32()), *[pa.array(p, pa.binary()) for p in parts]], ["piece", "slots", "times"]
+            )
+
+    def most(held: list[tuple[bytes, bytes]]) -> pa.RecordBatch:
+        slots, times = (np.frombuffer(b"".join(p), np.uint32) for p in zip(*held, strict=True))
+        order = np.argsort(slots, kind="stable")
+        slots, first = np.unique(slots[order], return_index=True)
+        found = slots[np.add.reduceat(times[order].astype(np.int64), first) >= least]
+        return pa.RecordBatch.from_arrays([pa.array(found.astype(np.int64))], ["s"])
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, at = [], None
+        for batch in batches:
+            for piece, *part in zip(*[batch.column(i).to_pylist() for i in range(3)], strict=True):
+                if piece != at and held:
+                    yield most(held)
+                    held = []
+                at = piece
+                held.append(tuple(part))
+        if held:
+            yield most(held)
 
-    chosen = hash_sample(docs, F.col("doc_id"), sample).select("text")
-    counted = chosen.mapInArrow(explode, "s long").groupBy("s").count().where(F.col("count") >= SAMPLE_SHARE)
-    found = counted.select("s").toPandas()["s"].to_numpy(np.int64)
-    return np.sort(found.astype(np.uint64))
+    dealt = docs.select("text").mapInArrow(deal, "piece int, slots binary, times binary")
+    dealt = dealt.repartition(pieces, "piece").sortWithinPartitions("piece")
+    found = dealt.mapInArrow(count, "s long").toPandas()["s"].to_numpy(np.int64)
+    return np.sort(found.astype(np.uint32))
 
 
 def signatures(docs: DataFrame, k: int, percent: int) -> DataFrame:
@@ -120,8 +150,9 @@ def signatures(docs: DataFrame, k: int, percent: int) -> DataFrame:
                 d1.append(int(_mix(s).sum(dtype=np.uint64).astype(np.int64)))
                 d2.append(int(_mix(s ^ _GOLD).sum(dtype=np.uint64).astype(np.int64)))
                 if len(frequent) and len(s):
-                    at = np.minimum(np.searchsorted(frequent, s), len(frequent) - 1)
-                    late = frequent[at] == s
+                    slots = s.astype(np.uint32)
+                    at = np.minimum(np.searchsorted(frequent, slots), len(frequent) - 1)
+                    late = frequent[at] == slots
                     order = np.concatenate([s[~late], s[late]])
                 else:
                     order = s
